@@ -262,3 +262,75 @@ def with_ctes(body_sql: str, **ctes: str) -> str:
     """Prefix ``body_sql`` with named CTEs (panel=..., half=..., ...)."""
     parts = [f"{name} AS ({sql})" for name, sql in ctes.items()]
     return "WITH " + ",\n".join(parts) + "\n" + body_sql
+
+
+def cells_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by (region, year) laid out positionally: a title row, a header
+    row, one row per year with the label ``'<y>/<y+1>'`` in column 1 and four
+    counts in columns 3, 5, 7, 9, and a footer note row."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = table(spark, sf_dir, "region")
+    file = F.concat(F.lit("national_"), F.lower(F.col("r_name")),
+                    F.when(F.col("r_regionkey") % 2 == 0, F.lit("_maha")).otherwise(F.lit("_yala")), F.lit(".xlsx"))
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", file.alias("file"))
+    counts = (
+        orders.join(cust, orders.o_custkey == cust.c_custkey).join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy("file", F.year("o_orderdate").cast("int").alias("yr"))
+        .agg(
+            F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("c0"),
+            F.count_if(F.col("o_orderpriority") == "2-HIGH").alias("c1"),
+            F.count_if(~F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("c2"),
+            F.count(F.lit(1)).alias("c3"),
+        )
+    )
+    files = counts.select("file").distinct()
+    first = counts.groupBy("file").agg(F.min("yr").alias("y0"), F.max("yr").alias("y1"))
+    body = counts.join(first, "file").select(
+        "file", (F.col("yr") - F.col("y0") + 2).alias("row_idx"),
+        F.explode(F.array(
+            F.struct(F.lit(1).alias("col_idx"), F.concat(F.col("yr").cast("string"), F.lit("/"), (F.col("yr") + 1).cast("string")).alias("value")),
+            F.struct(F.lit(3).alias("col_idx"), F.col("c0").cast("string").alias("value")),
+            F.struct(F.lit(5).alias("col_idx"), F.col("c1").cast("string").alias("value")),
+            F.struct(F.lit(7).alias("col_idx"), F.col("c2").cast("string").alias("value")),
+            F.struct(F.lit(9).alias("col_idx"), F.col("c3").cast("string").alias("value")),
+        )).alias("c"),
+    ).select("file", "row_idx", "c.col_idx", "c.value")
+    title = files.select("file", F.lit(0).alias("row_idx"), F.lit(1).alias("col_idx"), F.lit("Orders by season").alias("value"))
+    head = files.select("file", F.lit(1).alias("row_idx"), F.explode(F.array(
+        F.struct(F.lit(1).alias("col_idx"), F.lit("Year").alias("value")),
+        F.struct(F.lit(3).alias("col_idx"), F.lit("Sown").alias("value")),
+        F.struct(F.lit(9).alias("col_idx"), F.lit("Production").alias("value")),
+    )).alias("c")).select("file", "row_idx", "c.col_idx", "c.value")
+    foot = first.select("file", (F.col("y1") - F.col("y0") + 3).alias("row_idx"), F.lit(1).alias("col_idx"),
+                        F.lit("Source: orders").alias("value"))
+    out = body.unionByName(title).unionByName(head).unionByName(foot)
+    return out.select("file", F.col("row_idx").cast("int"), F.col("col_idx").cast("int"), "value")
+
+
+CELLS_POS_SQL = """
+WITH geo AS (
+  SELECT n_nationkey, 'national_' || lower(r_name) || CASE WHEN r_regionkey % 2 = 0 THEN '_maha' ELSE '_yala' END || '.xlsx' AS file
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+counts AS (
+  SELECT file, CAST(year(o_orderdate) AS INT) AS yr,
+         COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS c0,
+         COUNT(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS c1,
+         COUNT(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) AS c2,
+         COUNT(*) AS c3
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey GROUP BY 1, 2),
+first AS (SELECT file, min(yr) AS y0, max(yr) AS y1 FROM counts GROUP BY file),
+b AS (SELECT c.*, yr - y0 + 2 AS row_idx FROM counts c JOIN first USING (file)),
+cells AS (
+  SELECT file, row_idx, 1 AS col_idx, CAST(yr AS VARCHAR) || '/' || CAST(yr + 1 AS VARCHAR) AS value FROM b
+  UNION ALL SELECT file, row_idx, 3, CAST(c0 AS VARCHAR) FROM b
+  UNION ALL SELECT file, row_idx, 5, CAST(c1 AS VARCHAR) FROM b
+  UNION ALL SELECT file, row_idx, 7, CAST(c2 AS VARCHAR) FROM b
+  UNION ALL SELECT file, row_idx, 9, CAST(c3 AS VARCHAR) FROM b
+  UNION ALL SELECT file, 0, 1, 'Orders by season' FROM first
+  UNION ALL SELECT file, 1, 1, 'Year' FROM first
+  UNION ALL SELECT file, 1, 3, 'Sown' FROM first
+  UNION ALL SELECT file, 1, 9, 'Production' FROM first
+  UNION ALL SELECT file, y1 - y0 + 3, 1, 'Source: orders' FROM first)
+SELECT file, CAST(row_idx AS INT) AS row_idx, CAST(col_idx AS INT) AS col_idx, value FROM cells"""
