@@ -71,9 +71,9 @@ def feature_ctes(spec: PanelSpec = PANEL, src: str = "clean") -> dict:
     }
 
 
-def clean_sql(body: str, spec: PanelSpec = PANEL) -> str:
-    return with_ctes(body, panel=PANEL_SQL, **clean_ctes(spec))
+def clean_sql(body: str, spec: PanelSpec = PANEL, **extra) -> str:
+    return with_ctes(body, panel=PANEL_SQL, **clean_ctes(spec), **extra)
 
 
-def features_sql(body: str, spec: PanelSpec = PANEL) -> str:
-    return with_ctes(body, panel=PANEL_SQL, **clean_ctes(spec), **feature_ctes(spec))
+def features_sql(body: str, spec: PanelSpec = PANEL, **extra) -> str:
+    return with_ctes(body, panel=PANEL_SQL, **clean_ctes(spec), **feature_ctes(spec), **extra)
