@@ -1,8 +1,19 @@
 """Quantiles with linear interpolation (the pandas / numpy default).
 
-Three methods:
+Four methods:
 
-* ``"rank"`` (default) - exact and distributed.  All requested columns are
+* ``"bracket"`` (default) - exact, two aggregation passes, no sort.  Pass 1
+  computes ``percentile_approx`` at p -/+ a margin of a few times its rank
+  error (1/accuracy) together with the row count, which brackets every
+  target order statistic between two values a <= v <= b.  Pass 2 joins the
+  (small, size-checked) bracket table to the rows and aggregates, per
+  target, the count of rows below ``a`` and the count of every distinct
+  value inside [a, b] - map-side partial aggregation, so a hot value costs
+  one counter per task.  The exact order statistics are then read from the
+  band table (about 2 x margin x n rows per target at most).  A target whose
+  bracket misses (should not happen; the sketch error is bounded) is
+  recomputed with ``"rank"``.
+* ``"rank"`` - exact and distributed by a global sort.  All requested columns are
   stacked into (group, column, value) rows, sorted once with a range
   partitioner (a random last key splits runs of equal values, so one hot value
   or group cannot pile into one task), given global ordinals, and the two
@@ -25,7 +36,9 @@ from pyspark.sql import functions as F
 
 from .ordinal import with_ordinal
 
-DEFAULT_METHOD = "rank"
+DEFAULT_METHOD = "bracket"
+DEFAULT_ACCURACY = 100_000
+_MARGIN = 3.0  # bracket half-width in units of the sketch's rank error
 _BROADCAST_TARGETS = 2_000_000
 
 
@@ -36,11 +49,13 @@ def _stack(df: DataFrame, cols, by) -> DataFrame:
     )
 
 
-def quantiles(df: DataFrame, cols, probs, by=(), method: str | None = None, accuracy: int = 10000) -> DataFrame:
+def quantiles(df: DataFrame, cols, probs, by=(), method: str | None = None, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     method = method or DEFAULT_METHOD
     cols, probs, by = list(cols), [float(p) for p in probs], list(by)
     if method == "rank":
         return _rank_quantiles(df, cols, probs, by)
+    if method == "bracket":
+        return _bracket_quantiles(df, cols, probs, by, accuracy)
     long = _stack(df, cols, by)
     if method == "exact":
         agg = F.percentile("value", F.array(*[F.lit(p) for p in probs]))
@@ -55,6 +70,51 @@ def quantiles(df: DataFrame, cols, probs, by=(), method: str | None = None, accu
     )
 
 
+def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int) -> DataFrame:
+    from pyspark import StorageLevel
+    from pyspark.sql import Window
+
+    long = _stack(df, cols, by)
+    eps = _MARGIN / float(accuracy)
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    s1 = long.groupBy(*by, "column").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), accuracy).alias("__q"),
+    )
+    idx = {e: i for i, e in enumerate(edges)}
+    tgt = s1.select(*by, "column", "__n", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.element_at("__q", idx[min(1.0, max(0.0, p - eps))] + 1).alias("__a"),
+                 F.element_at("__q", idx[min(1.0, max(0.0, p + eps))] + 1).alias("__b"))
+        for p in probs])).alias("t")).select(*by, "column", "__n", "t.p", "t.__a", "t.__b")
+    tgt = tgt.withColumn("__pos", F.col("p") * (F.col("__n") - 1)).withColumn(
+        "__lo", F.floor("__pos").cast("long")).withColumn("__hi", F.ceil("__pos").cast("long")).withColumn(
+        "__frac", F.col("__pos") - F.col("__lo"))
+    tgt = tgt.persist(StorageLevel.MEMORY_AND_DISK)
+    small = tgt.count() <= _BROADCAST_TARGETS
+    keys = [*by, "column"]
+    j = long.join(F.broadcast(tgt) if small else tgt, keys).where(F.col("value") <= F.col("__b"))
+    key = F.when(F.col("value") < F.col("__a"), F.lit(None).cast("double")).otherwise(F.col("value"))
+    band = j.groupBy(*keys, "p", key.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*keys, "p").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    band = band.withColumn("__start", F.coalesce(F.sum("__c").over(w), F.lit(0)))
+    band = band.join(tgt.select(*keys, "p", "__lo", "__hi", "__frac"), [*keys, "p"])
+    inside = lambda r: F.col("__v").isNotNull() & (F.col("__start") <= r) & (r < F.col("__start") + F.col("__c"))
+    g = band.groupBy(*keys, "p").agg(
+        F.max(F.when(inside(F.col("__lo")), F.col("__v"))).alias("__vlo"),
+        F.max(F.when(inside(F.col("__hi")), F.col("__v"))).alias("__vhi"),
+        F.first("__frac").alias("__frac"),
+    )
+    val = F.when(F.col("__frac") == 0, F.col("__vlo")).otherwise(
+        F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac"))
+    out = g.select(*keys, "p", val.alias("value"), (F.col("__vlo").isNull() | F.col("__vhi").isNull()).alias("__miss"))
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    if out.where("__miss").limit(1).count() > 0:  # bracket missed: exact fallback
+        out.unpersist()
+        tgt.unpersist()
+        return _rank_quantiles(df, cols, probs, by)
+    return out.drop("__miss")
+
+
 def _rank_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
     long = _stack(df, cols, by)
     keys = [*by, "column", "value", F.rand(17)]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,8 +69,11 @@ FEATURES = [
 
 
 def clean(df: DataFrame, spec: PanelSpec = PANEL, method: str | None = None) -> DataFrame:
-    d = QL.dedup_keep_first(df, spec.keys)
-    d = QL.impute(d, spec.impute, method=method)
+    """Each statistics step reads its input twice (fit, then apply), so the
+    inputs of those steps are persisted rather than recomputed from the
+    source joins."""
+    d = QL.dedup_keep_first(df, spec.keys).persist(StorageLevel.MEMORY_AND_DISK)
+    d = QL.impute(d, spec.impute, method=method).persist(StorageLevel.MEMORY_AND_DISK)
     d = QL.winsorize(d, spec.continuous, method=method)
     d = d.withColumn("season_binary", S.encode_binary(spec.season, spec.positive_season))
     d = SP.split_chrono(d, list(spec.split_order), spec.ratio)

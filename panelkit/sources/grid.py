@@ -11,6 +11,7 @@ the cells would otherwise land in one task).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -97,6 +98,7 @@ def unpivot_banded(cells: DataFrame, value_label: str = "value") -> DataFrame:
     """Banded layout: header row with period labels over groups of
     sub-columns, sub-header row naming them; only the ``total`` sub-columns
     are kept.  Emits (district, year, season, value)."""
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)  # read by every step below
     hdr = header_rows(cells)
     keys = key_columns(cells, hdr)
     fill = header_fill(cells, hdr)
@@ -109,6 +111,7 @@ def unpivot_banded(cells: DataFrame, value_label: str = "value") -> DataFrame:
 def unpivot_simple(cells: DataFrame, value_label: str = "value", lo: int = 1900, hi: int = 2100) -> DataFrame:
     """Simple layout: one column per period in the header row, kept when
     lo < year < hi; key column = the last header cell equal to ``district``."""
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     hdr = header_rows(cells)
     keys = key_columns(cells, hdr, last=True)
     h = cells.join(_bc(hdr), "file").where((F.col("row_idx") == F.col("header_row")) & F.col("value").isNotNull()
@@ -127,6 +130,7 @@ def positional(cells: DataFrame, columns: dict = POSITIONAL, min_year: int = 190
     """Fixed-position layout: data starts at the first row whose year cell
     contains '/' or is all digits > ``min_year``; rows whose year label does
     not parse are skipped.  Emits (year, season, measures...)."""
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     yc = columns["year"]
     ycell = cells.where(F.col("col_idx") == yc)
     sv = S.strip("value")
