@@ -12,12 +12,12 @@ from .joins import attach_group_stats
 
 
 def lags_and_rolls(df: DataFrame, series, order, lags: dict | None = None, rolls: dict | None = None,
-                   backfill: dict | None = None) -> DataFrame:
+                   backfill: dict | None = None, block_rows: int = Q.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """One sequencing pass shared by every look-back feature.  ``series`` may
     be empty (one national series)."""
     series = list(series)
-    sdf = Q.sequenced(df, series, order)
-    out = Q.add_lookback(sdf, series, lags, rolls)
+    sdf = Q.sequenced(df, series, order, block_rows)
+    out = Q.add_lookback(sdf, series, lags, rolls, block_rows)
     if backfill:
         out = Q.add_backfill(out, series, backfill)
     return Q.finish(out)

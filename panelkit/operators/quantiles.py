@@ -90,7 +90,8 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int) -> DataFra
         "__lo", F.floor("__pos").cast("long")).withColumn("__hi", F.ceil("__pos").cast("long")).withColumn(
         "__frac", F.col("__pos") - F.col("__lo"))
     tgt = tgt.persist(StorageLevel.MEMORY_AND_DISK)
-    small = tgt.count() <= _BROADCAST_TARGETS
+    # ungrouped: exactly len(cols) x len(probs) rows; grouped: count first
+    small = (not by) or tgt.count() <= _BROADCAST_TARGETS
     keys = [*by, "column"]
     j = long.join(F.broadcast(tgt) if small else tgt, keys).where(F.col("value") <= F.col("__b"))
     key = F.when(F.col("value") < F.col("__a"), F.lit(None).cast("double")).otherwise(F.col("value"))

@@ -283,15 +283,23 @@ def agg_box_points(spark, sf):
     return pts.select("o_orderkey", "decade", "season", "o_totalprice")
 
 
-@query("agg_trend", rsql(W("SELECT year, season, sum(production) AS production FROM panel GROUP BY 1, 2", panel=PANEL), ["production"]))
+# production carries at most 7 decimals: summing it as DECIMAL(38,7) is exact
+# in both engines (a double sum depends on the summation order)
+_DEC7 = "decimal(38,7)"
+
+
+@query("agg_trend", rsql(W("SELECT year, season, CAST(sum(CAST(production AS DECIMAL(38,7))) AS DOUBLE) AS production FROM panel GROUP BY 1, 2", panel=PANEL), ["production"]))
 def agg_trend(spark, sf):
     p = B.panel(spark, sf)
-    return rounded(p.groupBy("year", "season").agg(F.sum("production").alias("production")).orderBy("season", "year"))
+    return rounded(p.groupBy("year", "season").agg(F.sum(F.col("production").cast(_DEC7)).cast("double").alias("production"))
+                   .orderBy("season", "year"))
 
 
-@query("agg_group_mean", rsql(W("SELECT season, avg(production) AS mean_target FROM half GROUP BY 1", half=HALF), ["mean_target"]))
+@query("agg_group_mean", rsql(W("SELECT season, CAST(sum(CAST(production AS DECIMAL(38,7))) AS DOUBLE) / COUNT(*) AS mean_target FROM half GROUP BY 1", half=HALF), ["mean_target"]))
 def agg_group_mean(spark, sf):
-    return rounded(B.half(spark, sf).groupBy("season").agg(F.avg("production").alias("mean_target")))
+    h = B.half(spark, sf)
+    return rounded(h.groupBy("season").agg(
+        (F.sum(F.col("production").cast(_DEC7)).cast("double") / F.count(F.lit(1))).alias("mean_target")))
 
 
 @query("agg_group_mean_std", rsql(W("SELECT season, avg(rainfall) AS mean, stddev_samp(rainfall) AS std FROM panel GROUP BY 1", panel=PANEL), ["mean", "std"]))

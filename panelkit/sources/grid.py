@@ -17,7 +17,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators.joins import bounded_broadcast
 from ..sources.readers import route_path
 
 KEY_LABEL = "district"
@@ -25,7 +24,11 @@ SUB_TOTAL = "total"
 
 
 def _bc(df: DataFrame) -> DataFrame:
-    return bounded_broadcast(df)[0]
+    """Broadcast a per-file lookup table.  Its size bound is structural: at
+    most one row per input file (or per file and sheet column, and a sheet
+    has at most 16,384 columns), and the file listing is already held by the
+    driver for any read - so no counting job is needed."""
+    return F.broadcast(df)
 
 
 def _low(c="value"):
