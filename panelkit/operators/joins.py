@@ -27,13 +27,23 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
     return (F.broadcast(cached), True) if n <= max_rows else (cached, False)
 
 
+def attach_row(big: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row table (fitted parameters, global
+    statistics) to every row of ``big``.  The row is an uncorrelated scalar
+    subquery: computed once, then used as a constant in the projection, so
+    there is no join at all."""
+    cols = one_row.columns
+    p = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("__p")).scalar()
+    return big.withColumn("__p", p).withColumns({c: F.col("__p").getField(c) for c in cols}).drop("__p")
+
+
 def attach_group_stats(big: DataFrame, stats: DataFrame, keys, how: str = "left",
                        max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join per-group statistics onto every row of ``big``.  With no keys the
-    statistics are a single row and are cross-joined as a broadcast."""
+    statistics are a single row attached by :func:`attach_row`."""
     keys = list(keys)
     if not keys:
-        return big.crossJoin(F.broadcast(stats))
+        return attach_row(big, stats)
     s, _ = bounded_broadcast(stats, max_rows)
     cond = reduce(lambda a, b: a & b, [big[k].eqNullSafe(s[k]) for k in keys])
     return big.join(s, cond, how).drop(*[s[k] for k in keys])

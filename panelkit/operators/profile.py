@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import attach_group_stats
+from .joins import attach_group_stats, attach_row
 from .quantiles import quantile_row, quantiles
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -128,7 +128,7 @@ def iqr_outliers(df: DataFrame, cols, factor: float = 1.5, method: str | None =
     """Per column: Q1, Q3, fences and the count strictly outside them."""
     cols = list(cols)
     qs = quantile_row(df, cols, [0.25, 0.75], method=method, names=["q1", "q3"])
-    j = df.select(*cols).crossJoin(F.broadcast(qs))  # one-row parameter table
+    j = attach_row(df.select(*cols), qs)  # one-row parameter table
     aggs, items = [], []
     for i, c in enumerate(cols):
         q1, q3 = F.col(f"{c}_q1"), F.col(f"{c}_q3")

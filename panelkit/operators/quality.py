@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .joins import inner_merge
+from .joins import attach_row, inner_merge
 from .quantiles import quantile_row
 
 
@@ -30,8 +30,8 @@ def dedup_keep_first(df: DataFrame, keys, order=None) -> DataFrame:
 
 def impute(df: DataFrame, methods: dict, method: str | None = None) -> DataFrame:
     """Fill NULLs with the column median or mean computed over all rows.
-    ``methods`` maps column -> 'median' | 'mean'.  The statistics form one
-    row, cross-joined as a broadcast."""
+    ``methods`` maps column -> 'median' | 'mean'.  The statistics form
+    one-row tables attached as scalar subqueries."""
     med = [c for c, m in methods.items() if m == "median"]
     mean = [c for c, m in methods.items() if m == "mean"]
     parts = []
@@ -40,10 +40,9 @@ def impute(df: DataFrame, methods: dict, method: str | None = None) -> DataFrame
     if med:
         q = quantile_row(df, med, [0.5], method=method, names=["fill"])
         parts.append(q.select(*[F.col(f"{c}_fill").alias(f"{c}__fill") for c in med]))
-    stats = parts[0]
-    for p in parts[1:]:
-        stats = stats.crossJoin(p)
-    j = df.crossJoin(F.broadcast(stats))  # one-row parameter table
+    j = df
+    for p in parts:
+        j = attach_row(j, p)
     out = j.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__fill").cast(df.schema[c].dataType)) for c in methods})
     return out.drop(*[f"{c}__fill" for c in methods])
 
@@ -68,7 +67,7 @@ def winsorize(df: DataFrame, cols, factor: float = 1.5, method: str | None = Non
     ``bounds`` - a one-row table from :func:`iqr_bounds` - is given)."""
     cols = list(cols)
     b = bounds if bounds is not None else iqr_bounds(df, cols, factor, method)
-    j = df.crossJoin(F.broadcast(b))
+    j = attach_row(df, b)
     out = j.withColumns({c: _clip(c, F.col(f"{c}_lo"), F.col(f"{c}_hi")) for c in cols})
     return out.drop(*[f"{c}_{s}" for c in cols for s in ("lo", "hi")])
 
@@ -77,7 +76,7 @@ def winsor_counts(df: DataFrame, cols, factor: float = 1.5, method: str | None =
     """Rows strictly outside the fences (= rows capped) per column."""
     cols = list(cols)
     b = iqr_bounds(df, cols, factor, method)
-    j = df.select(*cols).crossJoin(F.broadcast(b))
+    j = attach_row(df.select(*cols), b)
     row = j.agg(*[F.count_if((F.col(c) < F.col(f"{c}_lo")) | (F.col(c) > F.col(f"{c}_hi"))).alias(f"n{i}")
                   for i, c in enumerate(cols)])
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_capped")) for i, c in enumerate(cols)])

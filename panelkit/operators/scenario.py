@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .joins import attach_group_stats
+from .joins import attach_group_stats, attach_row
 from .split import _param_row
 
 # Drought cut-offs of the scenario form (first season 900,
@@ -50,7 +50,7 @@ def scenario_features(scen: DataFrame, params: DataFrame, cols: dict, season: st
     names = c.get("param_names", {})
     scaled_roles = ["rainfall", "temperature", "gdp", "inflation", "sown", "harvested"]
     pnames = [names.get(r, r) for r in scaled_roles]
-    j = scen.withColumn("__harvested", F.col(c["sown"]) * F.col(c["ratio"])).crossJoin(F.broadcast(_param_row(params, pnames)))
+    j = attach_row(scen.withColumn("__harvested", F.col(c["sown"]) * F.col(c["ratio"])), _param_row(params, pnames))
     src = {r: (F.col("__harvested") if r == "harvested" else F.col(c[r])) for r in scaled_roles}
     feats = {f"{names.get(r, r)}_scaled": (src[r] - F.col(f"{names.get(r, r)}__mean")) / F.col(f"{names.get(r, r)}__std")
              for r in scaled_roles}

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import attach_row
 from .ordinal import row_count, with_ordinal
 
 
@@ -15,7 +16,7 @@ def split_chrono(df: DataFrame, order, ratio: float = 0.85, ordinal: str = "ordi
     o = with_ordinal(df, order, name=ordinal)
     n = row_count(o)  # one row
     ntr = n.select(F.floor(F.col("n") * F.lit(float(ratio))).cast("long").alias("__ntr"))
-    j = o.crossJoin(F.broadcast(ntr))
+    j = attach_row(o, ntr)
     return j.withColumn(name, F.when(F.col(ordinal) < F.col("__ntr"), "train").otherwise("test")).drop("__ntr")
 
 
@@ -46,9 +47,9 @@ def _param_row(params: DataFrame, cols) -> DataFrame:
 
 def scale_apply(df: DataFrame, params: DataFrame, cols, suffix: str = "_scaled") -> DataFrame:
     """(x - mean) / std for every row, with the one-row parameter table
-    broadcast."""
+    attached as a scalar subquery."""
     cols = list(cols)
-    j = df.crossJoin(F.broadcast(_param_row(params, cols)))
+    j = attach_row(df, _param_row(params, cols))
     out = j.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__std") for c in cols})
     return out.drop(*[f"{c}__{s}" for c in cols for s in ("mean", "std")])
 
@@ -59,7 +60,7 @@ def expanding_folds(df: DataFrame, ordinal: str = "ordinal", n_splits: int = 5)
     tail and trains on every earlier row.  Emits (fold, role, row...)."""
     n = row_count(df)
     ts = n.select(F.col("n").alias("__n"), (F.col("n") / (n_splits + 1)).cast("long").alias("__ts"))
-    j = df.crossJoin(F.broadcast(ts)).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
+    j = attach_row(df, ts).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     start = F.col("__n") - F.lit(n_splits) * F.col("__ts") + F.col("fold") * F.col("__ts")
     role = (F.when(F.col(ordinal) < start, "train")
             .when(F.col(ordinal) < start + F.col("__ts"), "test"))

@@ -11,6 +11,7 @@ import threading
 
 from pyspark.sql import functions as F
 
+from ..operators import joins as J
 from ..operators import ml as M
 from ..operators import scenario as SC
 from ..operators import split as SP
@@ -187,7 +188,7 @@ def ml_mlp(spark, sf):
     va = sc.where((F.col("split") == "train") & (F.col("ordinal") >= cut))
     model = M.fit_mlp(tr, inputs, f"{LABEL}_z", hidden=(64, 32), alpha=1e-3, rate=0.01, max_iter=40, valid=va, patience=8)
     pr = params.where(F.col("column_name") == LABEL).select(F.col("mean").alias("__m"), F.col("std").alias("__s"))
-    out = M.mlp_predict(model, sc, "__z").crossJoin(F.broadcast(pr)).withColumn(M.PRED, F.col("__z") * F.col("__s") + F.col("__m"))
+    out = J.attach_row(M.mlp_predict(model, sc, "__z"), pr).withColumn(M.PRED, F.col("__z") * F.col("__s") + F.col("__m"))
     return M.metrics_wide(M.scored("mlp", out, M.PRED, LABEL))
 
 
@@ -289,7 +290,7 @@ def scenario_features(spark, sf):
 def _scored_scenarios(spark, sf):
     s = _scenario_feats(spark, sf)
     coef = M.one_feature_ols(feature_table(spark, sf).where(F.col("split") == "train"), "harvested_scaled", LABEL)
-    return s.crossJoin(F.broadcast(coef)).withColumn(
+    return J.attach_row(s, coef).withColumn(
         "pred", F.col("intercept") + F.col("slope") * F.col("harvested_scaled")).withColumn(
         "harvested", F.col("sown") * F.col("harvest_efficiency"))
 
