@@ -404,6 +404,22 @@ def flag_anomaly(spark, sf):
     return out.select("series", "year", "month", "drought_flag")
 
 
+_GRP = ["l_returnflag", "l_linestatus"]
+
+
+@query("join_group_stats", rsql("""SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_extendedprice, grp_mean, grp_std
+    FROM lineitem LEFT JOIN (SELECT l_returnflag, l_linestatus, avg(l_extendedprice) AS grp_mean, stddev_samp(l_extendedprice) AS grp_std
+    FROM lineitem GROUP BY 1, 2) s USING (l_returnflag, l_linestatus)""", ["l_extendedprice", "grp_mean", "grp_std"]))
+def join_group_stats(spark, sf):
+    """Per-row lookup of its group's mean / std: grouped statistics (partial
+    aggregation, one row per group) joined back, broadcast under the checked
+    row bound."""
+    li = _t(spark, sf, "lineitem")
+    st = li.groupBy(*_GRP).agg(F.avg("l_extendedprice").alias("grp_mean"), F.stddev_samp("l_extendedprice").alias("grp_std"))
+    out = J.attach_group_stats(li.select("l_orderkey", "l_linenumber", *_GRP, "l_extendedprice"), st, _GRP)
+    return rounded(out.select("l_orderkey", "l_linenumber", *_GRP, "l_extendedprice", "grp_mean", "grp_std"))
+
+
 # ---------------------------------------------------------------- 2.7 sort / top-k / dedup / union
 @query("sort_keys", W("SELECT row_number() OVER (ORDER BY year, season NULLS LAST, series NULLS LAST, month) - 1 AS position, series, year, month, season FROM panel", panel=PANEL))
 def sort_keys(spark, sf):
@@ -572,6 +588,11 @@ def recon_summary(spark, sf):
     return rounded(QL.recon_summary(_recon_rows(spark, sf)))
 
 
+@query("filter_threshold", rsql(f"SELECT * FROM ({_RECON}) WHERE diff_pct > 5", ["orders_total", "lines_total", "diff_pct"]))
+def filter_threshold(spark, sf):
+    return rounded(_recon_rows(spark, sf).where(F.col("diff_pct") > 5.0))
+
+
 @query("recon_exceptions", rsql(f"SELECT * FROM ({_RECON}) WHERE diff_pct > 5 ORDER BY year, season LIMIT 10", ["orders_total", "lines_total", "diff_pct"]))
 def recon_exceptions(spark, sf):
     return rounded(QL.recon_exceptions(_recon_rows(spark, sf), ["year", "season"]))

@@ -108,6 +108,13 @@ def src_load_all(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@query("src_passthrough", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def src_passthrough(spark, sf):
+    """A side table read as is (no parsing); a missing required input raises
+    FileNotFoundError instead of yielding an empty frame."""
+    return R.read_passthrough(spark, f"{sf}/supplier.parquet").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
 _PCOLS = ["sown", "harvested", "rainfall", "temperature", "gdp", "inflation", "production"]
 
 
