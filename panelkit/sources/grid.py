@@ -35,11 +35,25 @@ def _low(c="value"):
     return F.lower(S.strip(F.col(c)))
 
 
-def header_rows(cells: DataFrame, label: str = KEY_LABEL, scan_rows: int = 10, strict: bool = True) -> DataFrame:
+SCAN_ROWS = 10
+
+
+def header_region(cells: DataFrame, scan_rows: int = SCAN_ROWS) -> DataFrame:
+    """The cells of each file's first ``scan_rows`` rows plus the two rows a
+    header found there can reach (its sub-header).  Every per-file lookup is
+    derived from this small persisted slice, so the full cell table is
+    scanned only by the body join."""
+    return cells.where(F.col("row_idx") < scan_rows + 2).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def header_rows(cells: DataFrame, label: str = KEY_LABEL, scan_rows: int = SCAN_ROWS, strict: bool = True,
+                head: DataFrame | None = None) -> DataFrame:
     """(file, header_row): first row among the first ``scan_rows`` with a cell
     equal to ``label`` (trimmed, case-insensitive).  With ``strict`` a file
-    without one raises, naming the file."""
-    hits = cells.where((F.col("row_idx") < scan_rows) & (_low() == label))
+    without one raises, naming the file.  ``head`` is an optional
+    :func:`header_region` of ``cells`` to search instead of all cells."""
+    src = head if head is not None else cells
+    hits = src.where((F.col("row_idx") < scan_rows) & (_low() == label))
     hdr = hits.groupBy("file").agg(F.min("row_idx").alias("header_row"))
     if strict:
         missing = cells.select("file").distinct().join(hdr, "file", "left_anti").limit(1).collect()
@@ -101,10 +115,11 @@ def unpivot_banded(cells: DataFrame, value_label: str = "value") -> DataFrame:
     """Banded layout: header row with period labels over groups of
     sub-columns, sub-header row naming them; only the ``total`` sub-columns
     are kept.  Emits (district, year, season, value)."""
-    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)  # read by every step below
-    hdr = header_rows(cells)
-    keys = key_columns(cells, hdr)
-    fill = header_fill(cells, hdr)
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)  # file listing, body keys, values
+    head = header_region(cells)
+    hdr = header_rows(cells, head=head).persist(StorageLevel.MEMORY_AND_DISK)  # one row per file
+    keys = key_columns(head, hdr)
+    fill = header_fill(head, hdr)
     year_cols = fill.select("file", "col_idx", S.parse_period_label("period_label").alias("year")).where(
         F.col("year").isNotNull())
     starts = hdr.select("file", (F.col("header_row") + 2).alias("data_start"))
@@ -115,9 +130,10 @@ def unpivot_simple(cells: DataFrame, value_label: str = "value", lo: int = 1900,
     """Simple layout: one column per period in the header row, kept when
     lo < year < hi; key column = the last header cell equal to ``district``."""
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
-    hdr = header_rows(cells)
-    keys = key_columns(cells, hdr, last=True)
-    h = cells.join(_bc(hdr), "file").where((F.col("row_idx") == F.col("header_row")) & F.col("value").isNotNull()
+    head = header_region(cells)
+    hdr = header_rows(cells, head=head).persist(StorageLevel.MEMORY_AND_DISK)
+    keys = key_columns(head, hdr, last=True)
+    h = head.join(_bc(hdr), "file").where((F.col("row_idx") == F.col("header_row")) & F.col("value").isNotNull()
                                            & (_low() != KEY_LABEL))
     year_cols = h.select("file", "col_idx", S.parse_period_label("value").alias("year")).where(
         (F.col("year") > lo) & (F.col("year") < hi))
