@@ -36,30 +36,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _cents(c: str) -> F.Column:
+    """The value rounded to 2 decimals as DECIMAL(18,2) (half-up), as an
+    exact count of hundredths in a long."""
+    return (F.col(c).cast(D) * 100).cast("long")
+
+
 def _lines_per_order(lineitem: DataFrame) -> DataFrame:
-    q = F.col("l_quantity").cast(D)
-    one = F.lit(1).cast(D)
+    """Exact per-order sums in fixed-point longs: q, hq, tx, px, dc in
+    hundredths, rv = price x (1 - discount) in ten-thousandths.  Summing longs
+    keeps this lineitem-sized pass on the fast primitive path; a DECIMAL sum
+    would widen past 18 digits and aggregate through BigDecimal."""
+    q, px, dc = _cents("l_quantity"), _cents("l_extendedprice"), _cents("l_discount")
     return lineitem.groupBy(F.col("l_orderkey").alias("o_key")).agg(
         F.sum(q).alias("q"),
-        F.sum(F.when(F.col("l_returnflag") != "R", q).otherwise(F.lit(0).cast(D))).alias("hq"),
-        F.sum(F.col("l_tax").cast(D)).alias("tx"),
-        F.sum(F.col("l_extendedprice").cast(D)).alias("px"),
-        F.sum(F.col("l_discount").cast(D)).alias("dc"),
-        F.sum(F.col("l_extendedprice").cast(D) * (one - F.col("l_discount").cast(D))).alias("rv"),
+        F.sum(F.when(F.col("l_returnflag") != "R", q).otherwise(F.lit(0).cast("long"))).alias("hq"),
+        F.sum(_cents("l_tax")).alias("tx"),
+        F.sum(px).alias("px"),
+        F.sum(dc).alias("dc"),
+        F.sum(px * (F.lit(100) - dc)).alias("rv"),
         F.count(F.lit(1)).alias("n"),
     )
 
 
+def _exact(c: str, scale: float) -> F.Column:
+    """Group sum of a per-order fixed-point column: summed as DECIMAL(38,0)
+    (no overflow at any scale), then divided once - the nearest double to the
+    exact decimal sum."""
+    return F.sum(F.col(c).cast("decimal(38,0)")).cast("double") / F.lit(scale)
+
+
 def _measures(grouped) -> DataFrame:
     n = F.sum("n")
     return grouped.agg(
-        F.sum("q").cast("double").alias("sown"),
-        F.sum("hq").cast("double").alias("harvested"),
-        (F.sum("tx").cast("double") * 100).alias("rainfall"),
-        (F.sum("q").cast("double") / n).alias("temperature"),
-        (F.sum("px").cast("double") / n).alias("gdp"),
-        (F.sum("dc").cast("double") * 100 / n).alias("inflation"),
-        (F.sum("rv").cast("double") / 1000).alias("production"),
+        _exact("q", 100.0).alias("sown"),
+        _exact("hq", 100.0).alias("harvested"),
+        (_exact("tx", 100.0) * 100).alias("rainfall"),
+        (_exact("q", 100.0) / n).alias("temperature"),
+        (_exact("px", 100.0) / n).alias("gdp"),
+        (_exact("dc", 100.0) * 100 / n).alias("inflation"),
+        (_exact("rv", 10000.0) / 1000).alias("production"),
     )
 
 
