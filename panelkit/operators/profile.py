@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .joins import attach_group_stats, attach_row
-from .quantiles import quantile_row, quantiles
+from .quantiles import quantile_row, quantiles, quantiles_and_stats
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -53,16 +53,12 @@ def profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols, method: str | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 %, max per column (exact quantiles)."""
     cols = list(cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    basic = _long(df.agg(*aggs), [
-        (c, {"count": f"n{i}", "mean": f"m{i}", "std": f"s{i}", "min": f"lo{i}", "max": f"hi{i}"})
-        for i, c in enumerate(cols)
-    ])
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
+    q, st = quantiles_and_stats(df, cols, [0.25, 0.5, 0.75], ["count", "mean", "std", "min", "max"], method=method)
+    # every requested column gets a row, even one with no values
+    names = F.explode(F.array(*[F.lit(c) for c in cols])).alias("column_name")
+    basic = df.sparkSession.range(1).select(names).join(
+        st.withColumnRenamed("column", "column_name"), "column_name", "left").select(
+        "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"), "mean", "std", "min", "max")
     qw = q.groupBy(F.col("column").alias("column_name")).agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("p50"),

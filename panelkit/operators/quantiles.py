@@ -70,22 +70,49 @@ def quantiles(df: DataFrame, cols, probs, by=(), method: str | None = None, accu
     )
 
 
-def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int) -> DataFrame:
+# Per-column statistics that can share the bracket method's first pass
+# (over non-missing values, as pandas' describe).
+STATS = {
+    "count": lambda v: F.count(v),
+    "mean": lambda v: F.avg(v),
+    "std": lambda v: F.stddev_samp(v),
+    "min": lambda v: F.min(v),
+    "max": lambda v: F.max(v),
+}
+
+
+def quantiles_and_stats(df: DataFrame, cols, probs, stats, by=(), method: str | None = None,
+                        accuracy: int = DEFAULT_ACCURACY):
+    """``(quantiles long table, stats table (*by, column, *stats))``.  With the
+    bracket method the statistics are computed in the same aggregation pass
+    as the sketch, so the data is read twice in total, not three times."""
+    method = method or DEFAULT_METHOD
+    cols, probs, by, stats = list(cols), [float(p) for p in probs], list(by), list(stats)
+    if method == "bracket":
+        return _bracket_quantiles(df, cols, probs, by, accuracy, stats=stats)
+    st = _stack(df, cols, by).groupBy(*by, "column").agg(*[STATS[s](F.col("value")).alias(s) for s in stats])
+    return quantiles(df, cols, probs, by, method, accuracy), st
+
+
+def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None):
     from pyspark import StorageLevel
     from pyspark.sql import Window
 
     long = _stack(df, cols, by)
     eps = _MARGIN / float(accuracy)
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    extra = [STATS[s](F.col("value")).alias(f"__st_{s}") for s in (stats or [])]
     s1 = long.groupBy(*by, "column").agg(
         F.count(F.lit(1)).alias("__n"),
         F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), accuracy).alias("__q"),
+        *extra,
     )
     idx = {e: i for i, e in enumerate(edges)}
-    tgt = s1.select(*by, "column", "__n", F.explode(F.array(*[
+    st_cols = [f"__st_{s}" for s in (stats or [])]
+    tgt = s1.select(*by, "column", "__n", *st_cols, F.explode(F.array(*[
         F.struct(F.lit(p).alias("p"), F.element_at("__q", idx[min(1.0, max(0.0, p - eps))] + 1).alias("__a"),
                  F.element_at("__q", idx[min(1.0, max(0.0, p + eps))] + 1).alias("__b"))
-        for p in probs])).alias("t")).select(*by, "column", "__n", "t.p", "t.__a", "t.__b")
+        for p in probs])).alias("t")).select(*by, "column", "__n", *st_cols, "t.p", "t.__a", "t.__b")
     tgt = tgt.withColumn("__pos", F.col("p") * (F.col("__n") - 1)).withColumn(
         "__lo", F.floor("__pos").cast("long")).withColumn("__hi", F.ceil("__pos").cast("long")).withColumn(
         "__frac", F.col("__pos") - F.col("__lo"))
@@ -109,11 +136,16 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int) -> DataFra
         F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac"))
     out = g.select(*keys, "p", val.alias("value"), (F.col("__vlo").isNull() | F.col("__vhi").isNull()).alias("__miss"))
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    st = None
+    if stats is not None:  # one row per (group, column): the first target's row of the cached table
+        st = tgt.where(F.col("p") == F.lit(probs[0])).select(
+            *by, "column", *[F.col(f"__st_{s}").alias(s) for s in stats])
     if out.where("__miss").limit(1).count() > 0:  # bracket missed: exact fallback
         out.unpersist()
-        tgt.unpersist()
-        return _rank_quantiles(df, cols, probs, by)
-    return out.drop("__miss")
+        q = _rank_quantiles(df, cols, probs, by)
+    else:
+        q = out.drop("__miss")
+    return q if stats is None else (q, st)
 
 
 def _rank_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
