@@ -103,8 +103,14 @@ def load_all(spark: SparkSession, sources: dict) -> dict:
     return {name: loader(spark) for name, loader in sources.items()}
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", header: bool = True) -> str:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", header: bool = True,
+                partition_by=()) -> str:
+    """Write ``df``; ``partition_by`` lays it out as one folder per value (e.g.
+    per season), so a later filter on those columns reads only the matching
+    folders (partition pruning) instead of routing files by name."""
     w = df.write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if fmt == "csv":
         w = w.option("header", str(header).lower())
     w.save(path)

@@ -2,6 +2,9 @@
 the reference's spreadsheets)."""
 
 import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
 
 from panelkit.sources import grid as G
 from panelkit.sources import readers as R
@@ -58,3 +61,18 @@ def test_rename_coerce(spark):
     out = R.rename_coerce(df, R.PRIMARY_HEADERS, strict_int=["year"], labels=["season"],
                           lenient=["gdp_billion_usd", "rainfall_mm"]).first()
     assert (out.year, out.gdp_billion_usd, out.rainfall_mm) == (1950, None, 3.5)
+
+
+def test_season_partitioned_sink_prunes(spark):
+    from panelkit.plans import bindings as B
+    from panelkit.plans.registry import rounded
+
+    p = rounded(B.panel(spark, SF_SMALL))
+    path = R.scratch_path(spark, "pruning-test")
+    R.write_table(p, path, partition_by=["season"])
+    back = spark.read.parquet(path)
+    h1 = back.where(F.col("season") == "H1")
+    plan = h1._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan and "(season#" in plan
+    assert h1.count() == p.where(F.col("season") == "H1").count()
+    assert back.count() == p.count()
