@@ -23,10 +23,12 @@ def lags_and_rolls(df: DataFrame, series, order, lags: dict | None = None, rolls
     return Q.finish(out)
 
 
-def anomaly_flag(df: DataFrame, col: str, by, k: float = 1.0, name: str = "drought_flag") -> DataFrame:
-    """1 if ``col`` < group mean - k * group sample std, else 0 (missing -> 0)."""
+def anomaly_flag(df: DataFrame, col: str, by, k: float = 1.0, name: str = "drought_flag", fit_where=None) -> DataFrame:
+    """1 if ``col`` < group mean - k * group sample std, else 0 (missing -> 0).
+    The group statistics use all rows, or the rows matching ``fit_where``."""
     by = list(by)
-    stats = df.groupBy(*by).agg(F.avg(col).alias("__mean"), F.stddev_samp(col).alias("__std"))
+    fit = df.where(fit_where) if fit_where is not None else df
+    stats = fit.groupBy(*by).agg(F.avg(col).alias("__mean"), F.stddev_samp(col).alias("__std"))
     j = attach_group_stats(df, stats, by)
     cond = F.col(col) < F.col("__mean") - F.lit(k) * F.col("__std")
     return j.withColumn(name, F.coalesce(cond, F.lit(False)).cast("int")).drop("__mean", "__std")

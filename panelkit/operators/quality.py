@@ -28,17 +28,19 @@ def dedup_keep_first(df: DataFrame, keys, order=None) -> DataFrame:
     return g.select(*keys, *[F.col(f"__first.f{i}").alias(c) for i, c in enumerate(fields)]).select(*df.columns)
 
 
-def impute(df: DataFrame, methods: dict, method: str | None = None) -> DataFrame:
-    """Fill NULLs with the column median or mean computed over all rows.
+def impute(df: DataFrame, methods: dict, method: str | None = None, fit_where=None) -> DataFrame:
+    """Fill NULLs with the column median or mean computed over all rows, or
+    over the rows matching ``fit_where`` only (e.g. the training rows).
     ``methods`` maps column -> 'median' | 'mean'.  The statistics form
     one-row tables attached as scalar subqueries."""
     med = [c for c, m in methods.items() if m == "median"]
     mean = [c for c, m in methods.items() if m == "mean"]
+    fit = df.where(fit_where) if fit_where is not None else df
     parts = []
     if mean:
-        parts.append(df.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}__fill") for c in mean]))
+        parts.append(fit.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}__fill") for c in mean]))
     if med:
-        q = quantile_row(df, med, [0.5], method=method, names=["fill"])
+        q = quantile_row(fit, med, [0.5], method=method, names=["fill"])
         parts.append(q.select(*[F.col(f"{c}_fill").alias(f"{c}__fill") for c in med]))
     j = df
     for p in parts:
@@ -62,11 +64,14 @@ def _clip(c, lo, hi):
     return F.when(F.col(c).isNull(), F.col(c)).otherwise(F.least(F.greatest(F.col(c), lo), hi))
 
 
-def winsorize(df: DataFrame, cols, factor: float = 1.5, method: str | None = None, bounds: DataFrame | None = None) -> DataFrame:
-    """Cap each column to its IQR fences (computed over all rows unless
-    ``bounds`` - a one-row table from :func:`iqr_bounds` - is given)."""
+def winsorize(df: DataFrame, cols, factor: float = 1.5, method: str | None = None, bounds: DataFrame | None = None,
+              fit_where=None) -> DataFrame:
+    """Cap each column to its IQR fences, computed over all rows or over the
+    rows matching ``fit_where`` (unless ``bounds`` - a one-row table from
+    :func:`iqr_bounds` - is given)."""
     cols = list(cols)
-    b = bounds if bounds is not None else iqr_bounds(df, cols, factor, method)
+    fit = df.where(fit_where) if fit_where is not None else df
+    b = bounds if bounds is not None else iqr_bounds(fit, cols, factor, method)
     j = attach_row(df, b)
     out = j.withColumns({c: _clip(c, F.col(f"{c}_lo"), F.col(f"{c}_hi")) for c in cols})
     return out.drop(*[f"{c}_{s}" for c in cols for s in ("lo", "hi")])

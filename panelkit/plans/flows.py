@@ -68,22 +68,38 @@ FEATURES = [
 ]
 
 
-def clean(df: DataFrame, spec: PanelSpec = PANEL, method: str | None = None) -> DataFrame:
+def clean(df: DataFrame, spec: PanelSpec = PANEL, method: str | None = None, fit_on: str = "all") -> DataFrame:
     """Each statistics step reads its input twice (fit, then apply), so the
     inputs of those steps are persisted rather than recomputed from the
-    source joins."""
-    d = QL.dedup_keep_first(df, spec.keys).persist(StorageLevel.MEMORY_AND_DISK)
-    d = QL.impute(d, spec.impute, method=method).persist(StorageLevel.MEMORY_AND_DISK)
-    d = QL.winsorize(d, spec.continuous, method=method)
+    source joins.
+
+    ``fit_on='all'`` (default, as the reference) fits the imputation values and
+    winsor fences on every row; ``fit_on='train'`` fits them on the training
+    rows only.  The chronological split depends only on the order columns, so
+    in that mode it is taken first and the result is identical in layout."""
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
+    train = F.col("split") == "train"
+    d = QL.dedup_keep_first(df, spec.keys)
+    if fit_on == "train":
+        d = SP.split_chrono(d, list(spec.split_order), spec.ratio)
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    fw = train if fit_on == "train" else None
+    d = QL.impute(d, spec.impute, method=method, fit_where=fw).persist(StorageLevel.MEMORY_AND_DISK)
+    d = QL.winsorize(d, spec.continuous, method=method, fit_where=fw)
     d = d.withColumn("season_binary", S.encode_binary(spec.season, spec.positive_season))
-    d = SP.split_chrono(d, list(spec.split_order), spec.ratio)
-    params = SP.scale_fit(d, spec.continuous, where=F.col("split") == "train")
+    if fit_on == "all":
+        d = SP.split_chrono(d, list(spec.split_order), spec.ratio)
+    else:  # same column order as the default mode
+        d = d.select(*[c for c in d.columns if c not in ("ordinal", "split")], "ordinal", "split")
+    params = SP.scale_fit(d, spec.continuous, where=train)
     d = SP.scale_apply(d, params, spec.continuous)
     return d.withColumn(spec.target, F.col(spec.target_src))
 
 
-def features(df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
-    """Expects the output of :func:`clean`."""
+def features(df: DataFrame, spec: PanelSpec = PANEL, fit_on: str = "all") -> DataFrame:
+    """Expects the output of :func:`clean`.  ``fit_on='train'`` takes the
+    anomaly statistics from the training rows only."""
     t = spec.target
     out = FE.lags_and_rolls(
         df, spec.series, spec.order,
@@ -95,5 +111,6 @@ def features(df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
         "rain_x_temp": (f"{spec.rainfall}_scaled", f"{spec.temperature}_scaled"),
         "inf_x_gdp": (f"{spec.inflation}_scaled", f"{spec.gdp}_scaled"),
     })
-    out = FE.anomaly_flag(out, spec.rainfall, [*spec.series, spec.season])
+    fw = (F.col("split") == "train") if fit_on == "train" else None
+    out = FE.anomaly_flag(out, spec.rainfall, [*spec.series, spec.season], fit_where=fw)
     return FE.add_efficiency(out, spec.harvested, spec.sown)

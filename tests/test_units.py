@@ -75,3 +75,34 @@ def test_numeric_coerce(spark):
     df = spark.createDataFrame([(" 12 ",), ("1,234",), ("n/a",), ("NaN",), ("-3.5",)], "s string")
     out = [r.x for r in df.select(S.to_double("s").alias("x")).collect()]
     assert out == [12.0, None, None, None, -3.5]
+
+
+def test_fit_where_uses_training_rows_only(spark):
+    # train rows: 1, 2, 3, NULL; test rows: 100, 200 (would move the median and the fences)
+    rows = [(1.0, "train"), (2.0, "train"), (3.0, "train"), (None, "train"), (100.0, "test"), (200.0, "test")]
+    df = spark.createDataFrame(rows, "x double, split string")
+    tr = F.col("split") == "train"
+    filled = QL.impute(df, {"x": "median"}, fit_where=tr).where(F.col("split") == "train").collect()
+    assert sorted(r.x for r in filled) == [1.0, 2.0, 2.0, 3.0]
+    all_rows = QL.impute(df, {"x": "median"}).where(F.col("split") == "train").collect()
+    assert sorted(r.x for r in all_rows) == [1.0, 2.0, 3.0, 3.0]  # median of 1, 2, 3, 100, 200
+    # fences from the train rows: q1 1.5, q3 2.5 -> [0, 4]; test values are capped to 4
+    w = QL.winsorize(df, ["x"], fit_where=tr).where(F.col("split") == "test").collect()
+    assert sorted(r.x for r in w) == [4.0, 4.0]
+
+
+def test_clean_fit_on_train_keeps_layout(spark):
+    from conftest import SF_SMALL
+    from panelkit.plans import bindings as B
+    from panelkit.plans import flows as FL
+
+    p = B.panel(spark, SF_SMALL)
+    a = FL.clean(p)
+    t = FL.clean(p, fit_on="train")
+    assert a.columns == t.columns
+    assert a.count() == t.count()
+    ka = {(r.series, r.year, r.month): r.split for r in a.select("series", "year", "month", "split").collect()}
+    kt = {(r.series, r.year, r.month): r.split for r in t.select("series", "year", "month", "split").collect()}
+    assert ka == kt
+    with pytest.raises(ValueError):
+        FL.clean(p, fit_on="test")
