@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from .joins import attach_row, inner_merge
-from .quantiles import quantile_row
+from .quantiles import DEFAULT_METHOD, quantile_row, quantiles_and_stats
 
 
 def dedup_keep_first(df: DataFrame, keys, order=None) -> DataFrame:
@@ -37,6 +37,14 @@ def impute(df: DataFrame, methods: dict, method: str | None = None, fit_where=No
     mean = [c for c, m in methods.items() if m == "mean"]
     fit = df.where(fit_where) if fit_where is not None else df
     parts = []
+    if med and mean and (method or DEFAULT_METHOD) == "bracket":
+        # the means ride along in the median sketch pass: one read fewer
+        q, st = quantiles_and_stats(fit, med, [0.5], ["mean"], method=method, stats_cols=mean)
+        fills = q.select("column", F.col("value").alias("fill")).unionByName(
+            st.where(F.col("column").isin(*mean)).select("column", F.col("mean").alias("fill")))
+        row = fills.groupBy().pivot("column", med + mean).agg(F.first("fill"))
+        parts.append(row.select(*[F.col(f"`{c}`").alias(f"{c}__fill") for c in med + mean]))
+        med, mean = [], []
     if mean:
         parts.append(fit.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}__fill") for c in mean]))
     if med:

@@ -82,29 +82,35 @@ STATS = {
 
 
 def quantiles_and_stats(df: DataFrame, cols, probs, stats, by=(), method: str | None = None,
-                        accuracy: int = DEFAULT_ACCURACY):
-    """``(quantiles long table, stats table (*by, column, *stats))``.  With the
-    bracket method the statistics are computed in the same aggregation pass
-    as the sketch, so the data is read twice in total, not three times."""
+                        accuracy: int = DEFAULT_ACCURACY, stats_cols=()):
+    """``(quantiles long table, stats table (*by, column, *stats))``.  The
+    statistics cover ``cols`` plus ``stats_cols`` (columns that need no
+    quantile).  With the bracket method they are computed in the same
+    aggregation pass as the sketch, so the data is read twice in total, not
+    three times."""
     method = method or DEFAULT_METHOD
     cols, probs, by, stats = list(cols), [float(p) for p in probs], list(by), list(stats)
+    extra_cols = [c for c in stats_cols if c not in cols]
     if method == "bracket":
-        return _bracket_quantiles(df, cols, probs, by, accuracy, stats=stats)
-    st = _stack(df, cols, by).groupBy(*by, "column").agg(*[STATS[s](F.col("value")).alias(s) for s in stats])
+        return _bracket_quantiles(df, cols, probs, by, accuracy, stats=stats, stats_cols=extra_cols)
+    st = _stack(df, cols + extra_cols, by).groupBy(*by, "column").agg(*[STATS[s](F.col("value")).alias(s) for s in stats])
     return quantiles(df, cols, probs, by, method, accuracy), st
 
 
-def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None):
+def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None, stats_cols=()):
     from pyspark import StorageLevel
     from pyspark.sql import Window
 
-    long = _stack(df, cols, by)
+    stats_cols = list(stats_cols)
+    long = _stack(df, cols + stats_cols, by)
     eps = _MARGIN / float(accuracy)
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
     extra = [STATS[s](F.col("value")).alias(f"__st_{s}") for s in (stats or [])]
+    # statistics-only columns are stacked for the shared pass but not sketched
+    sketched = F.when(F.col("column").isin(*cols), F.col("value")) if stats_cols else F.col("value")
     s1 = long.groupBy(*by, "column").agg(
         F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), accuracy).alias("__q"),
+        F.percentile_approx(sketched, F.array(*[F.lit(e) for e in edges]), accuracy).alias("__q"),
         *extra,
     )
     idx = {e: i for i, e in enumerate(edges)}
@@ -117,6 +123,9 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None
         "__lo", F.floor("__pos").cast("long")).withColumn("__hi", F.ceil("__pos").cast("long")).withColumn(
         "__frac", F.col("__pos") - F.col("__lo"))
     tgt = tgt.persist(StorageLevel.MEMORY_AND_DISK)
+    tgt_all = tgt
+    if stats_cols:
+        tgt = tgt.where(F.col("column").isin(*cols))
     # ungrouped: exactly len(cols) x len(probs) rows; grouped: count first
     small = (not by) or tgt.count() <= _BROADCAST_TARGETS
     keys = [*by, "column"]
@@ -138,7 +147,7 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
     st = None
     if stats is not None:  # one row per (group, column): the first target's row of the cached table
-        st = tgt.where(F.col("p") == F.lit(probs[0])).select(
+        st = tgt_all.where(F.col("p") == F.lit(probs[0])).select(
             *by, "column", *[F.col(f"__st_{s}").alias(s) for s in stats])
     if out.where("__miss").limit(1).count() > 0:  # bracket missed: exact fallback
         out.unpersist()

@@ -60,3 +60,21 @@ def test_ordinal_dense_with_more_input_splits_than_shuffle_partitions(spark):
     assert sorted(out["ordinal"]) == list(range(5000))
     expect = out.sort_values(["k", "id"])["ordinal"].tolist()
     assert expect == list(range(5000))
+
+
+def test_impute_mixed_median_and_mean_matches_pandas(spark):
+    from panelkit.operators import quality as QL
+
+    rng = np.random.default_rng(3)
+    a = rng.normal(50, 10, 800)
+    b = rng.exponential(3.0, 800)
+    a[::7] = np.nan
+    b[::9] = np.nan
+    pdf = pd.DataFrame({"a": a, "b": b})
+    df = spark.createDataFrame([(None if np.isnan(x) else float(x), None if np.isnan(y) else float(y))
+                                for x, y in zip(a, b)], "a double, b double")
+    for method in ("bracket", "rank"):
+        out = QL.impute(df, {"a": "median", "b": "mean"}, method=method).toPandas()
+        exp = pdf.fillna({"a": pdf["a"].median(), "b": pdf["b"].mean()})
+        assert np.allclose(np.sort(out["a"].to_numpy()), np.sort(exp["a"].to_numpy()))
+        assert np.allclose(np.sort(out["b"].to_numpy()), np.sort(exp["b"].to_numpy()))
