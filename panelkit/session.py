@@ -39,7 +39,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a fresh scratch folder is created and recorded in the conf.
+    and the master is local (tests, the bench) a fresh scratch folder is
+    created; on a cluster an unset setting is an error, because a folder on
+    the driver's disk is not visible to the executors and does not survive
+    their loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get(_CKPT_CONF, None) or sc.getConf().get(_CKPT_CONF, None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, S3, ...) "
+                               "for checkpoints and intermediate tables")
         path = tempfile.mkdtemp(prefix="panelkit-ckpt-", dir=os.environ.get("PANELKIT_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
