@@ -31,7 +31,8 @@ All return a long table ``(*by, column, p, value)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordinal import with_ordinal
@@ -40,6 +41,11 @@ DEFAULT_METHOD = "bracket"
 DEFAULT_ACCURACY = 100_000
 _MARGIN = 3.0  # bracket half-width in units of the sketch's rank error
 _BROADCAST_TARGETS = 2_000_000
+# A band (distinct values inside one target's bracket) larger than this is
+# narrowed before its running-sum window, so no window task holds more.
+BAND_MAX = 1_000_000
+_BUCKETS = 1024
+_MAX_NARROW = 8
 
 
 def _stack(df: DataFrame, cols, by) -> DataFrame:
@@ -98,9 +104,6 @@ def quantiles_and_stats(df: DataFrame, cols, probs, stats, by=(), method: str |
 
 
 def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None, stats_cols=()):
-    from pyspark import StorageLevel
-    from pyspark.sql import Window
-
     stats_cols = list(stats_cols)
     long = _stack(df, cols + stats_cols, by)
     eps = _MARGIN / float(accuracy)
@@ -132,6 +135,19 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None
     j = long.join(F.broadcast(tgt) if small else tgt, keys).where(F.col("value") <= F.col("__b"))
     key = F.when(F.col("value") < F.col("__a"), F.lit(None).cast("double")).otherwise(F.col("value"))
     band = j.groupBy(*keys, "p", key.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    # the bracket is ~2 x margin / accuracy of the rows: at 10^12 rows that is
+    # tens of millions of distinct values per target, too many for one
+    # window task - narrow such bands first (distributed, on the band table)
+    ranks = tgt.select(*keys, "p", "__lo", "__hi")
+    band = band.persist(StorageLevel.MEMORY_AND_DISK)
+    prev = None
+    for _ in range(_MAX_NARROW):
+        biggest = band.groupBy(*keys, "p").count().agg(F.max("count")).first()[0]
+        if prev is not None:
+            prev.unpersist()
+        if biggest is None or biggest <= BAND_MAX:
+            break
+        prev, band = band, _narrow_band(band, ranks, [*keys, "p"], small).persist(StorageLevel.MEMORY_AND_DISK)
     w = Window.partitionBy(*keys, "p").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     band = band.withColumn("__start", F.coalesce(F.sum("__c").over(w), F.lit(0)))
     band = band.join(tgt.select(*keys, "p", "__lo", "__hi", "__frac"), [*keys, "p"])
@@ -157,6 +173,36 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None
     return q if stats is None else (q, st)
 
 
+def _narrow_band(band: DataFrame, ranks: DataFrame, t, small: bool) -> DataFrame:
+    """One refinement step of a band table ``(*t, __v, __c)`` (``__v`` NULL =
+    the count of rows below the bracket).  Each target's values are split
+    into equal-width buckets, bucket counts are aggregated (at most
+    ``_BUCKETS + 1`` rows per target), and only the buckets holding the
+    target ranks ``__lo`` / ``__hi`` are kept; everything below them
+    collapses into the NULL row.  Exact: no count is lost.  A target whose
+    ranks fall in no bucket keeps its band, so the miss check still sees it."""
+    bc = F.broadcast if small else (lambda d: d)
+    rng = band.where(F.col("__v").isNotNull()).groupBy(*t).agg(
+        F.min("__v").alias("__vmin"), F.max("__v").alias("__vmax"))
+    b = band.join(bc(rng), t, "left")
+    width = (F.col("__vmax") - F.col("__vmin")) / F.lit(float(_BUCKETS))
+    bucket = (F.when(F.col("__v").isNull(), F.lit(-1))
+              .when(width == 0, F.lit(0))
+              .otherwise(F.least(F.floor((F.col("__v") - F.col("__vmin")) / width).cast("int"), F.lit(_BUCKETS - 1))))
+    b = b.withColumn("__k", bucket)
+    hist = b.groupBy(*t, "__k").agg(F.sum("__c").alias("__kc"))
+    w = Window.partitionBy(*t).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("__ks", F.coalesce(F.sum("__kc").over(w), F.lit(0)))
+    hit = lambda r: (F.col("__ks") <= F.col(r)) & (F.col(r) < F.col("__ks") + F.col("__kc"))
+    pick = hist.join(bc(ranks), t).where(hit("__lo") | hit("__hi")).groupBy(*t).agg(
+        F.min("__k").alias("__k0"), F.max("__k").alias("__k1"))
+    b = b.join(bc(pick), t, "left")
+    keep = b.where(F.col("__k0").isNull() | F.col("__k").between(F.col("__k0"), F.col("__k1"))).select(*t, "__v", "__c")
+    below = b.where(F.col("__k0").isNotNull() & (F.col("__k") < F.col("__k0"))).groupBy(*t).agg(
+        F.sum("__c").alias("__c")).select(*t, F.lit(None).cast("double").alias("__v"), "__c")
+    return keep.unionByName(below)
+
+
 def _rank_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
     long = _stack(df, cols, by)
     keys = [*by, "column", "value", F.rand(17)]

@@ -106,3 +106,16 @@ def test_clean_fit_on_train_keeps_layout(spark):
     assert ka == kt
     with pytest.raises(ValueError):
         FL.clean(p, fit_on="test")
+
+
+def test_bracket_band_narrowing_is_exact(spark, monkeypatch):
+    # force the narrowing path on small data: every band above 5 values is refined
+    monkeypatch.setattr(Qm, "BAND_MAX", 5)
+    rows = [(g, float(i % 97) * 1.5 if i % 4 else 7.5) for g in ("a", "b") for i in range(2000 if g == "a" else 333)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {(r.g, r.p): r.value for r in Qm.quantiles(df, ["x"], probs, by=["g"], method="bracket", accuracy=50).collect()}
+    exp = {(r.g, r.p): r.value for r in Qm.quantiles(df, ["x"], probs, by=["g"], method="exact").collect()}
+    assert got.keys() == exp.keys()
+    for k, v in exp.items():
+        assert got[k] == pytest.approx(v)
