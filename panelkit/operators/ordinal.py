@@ -6,9 +6,9 @@ Instead we:
 1. range-partition + sort on the declared total order (the range partitioner
    samples the keys, so partitions are balanced; a salt column may be added
    as a last sort key so that a run of equal keys is split across tasks).
-   The partition count is at least the input's own (file splits of
-   ``spark.sql.files.maxPartitionBytes`` for a scan), so a sorted partition
-   is about as large as an input split whatever the data size,
+   The partition count is ``num_partitions`` or ``spark.sql.shuffle.partitions``,
+   the cluster's own sizing of a shuffle for its data volume (it is not read
+   from the input: asking an adaptive plan for its partitions runs it),
 2. tag each row with its partition id and its position inside the partition
    (``monotonically_increasing_id`` keeps the record number in its low 33 bits),
 3. write the result to the shared checkpoint folder (lineage cut, survives
@@ -40,8 +40,7 @@ def sorted_tagged(df: DataFrame, order, num_partitions: int | None = None) -> Da
     checkpointed to the shared folder."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    # planning only (no job): the input's partition count
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(order)
     s = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     pid = F.spark_partition_id()

@@ -53,7 +53,7 @@ def test_describe_keeps_all_missing_column(spark):
     assert out["b"]["count"] == 0 and out["b"]["mean"] is None and out["a"]["p50"] == pytest.approx(1.5)
 
 
-def test_ordinal_dense_with_more_input_splits_than_shuffle_partitions(spark):
+def test_ordinal_dense_with_many_input_splits_and_ties(spark):
     # 32 input partitions against 8 shuffle partitions; heavy ties on the first key
     df = spark.range(0, 5000, 1, 32).withColumn("k", (F.col("id") % 3).cast("int"))
     out = OR.with_ordinal(df, ["k", "id"]).select("k", "id", "ordinal").toPandas()
