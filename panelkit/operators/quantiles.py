@@ -129,8 +129,17 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None
     tgt_all = tgt
     if stats_cols:
         tgt = tgt.where(F.col("column").isin(*cols))
-    # ungrouped: exactly len(cols) x len(probs) rows; grouped: count first
-    small = (not by) or tgt.count() <= _BROADCAST_TARGETS
+    # ungrouped: exactly len(cols) x len(probs) rows; grouped: count first,
+    # and in the same job the largest group, which bounds every band
+    band_bound = None
+    if by:
+        n_tgt, n_max = tgt.agg(F.count(F.lit(1)), F.max("__n")).first()
+        small = n_tgt <= _BROADCAST_TARGETS
+        # the sketch's rank error is n / accuracy: a band spans at most
+        # (2 x margin + 2) x n / accuracy rows
+        band_bound = (n_max or 0) * (2 * _MARGIN + 2) / float(accuracy)
+    else:
+        small = True
     keys = [*by, "column"]
     j = long.join(F.broadcast(tgt) if small else tgt, keys).where(F.col("value") <= F.col("__b"))
     key = F.when(F.col("value") < F.col("__a"), F.lit(None).cast("double")).otherwise(F.col("value"))
@@ -141,7 +150,7 @@ def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None
     ranks = tgt.select(*keys, "p", "__lo", "__hi")
     band = band.persist(StorageLevel.MEMORY_AND_DISK)
     prev = None
-    for _ in range(_MAX_NARROW):
+    for _ in range(_MAX_NARROW if band_bound is None or band_bound > BAND_MAX else 0):
         biggest = band.groupBy(*keys, "p").count().agg(F.max("count")).first()[0]
         if prev is not None:
             prev.unpersist()
