@@ -6,9 +6,10 @@ Instead we:
 1. range-partition + sort on the declared total order (the range partitioner
    samples the keys, so partitions are balanced; a salt column may be added
    as a last sort key so that a run of equal keys is split across tasks).
-   The partition count is ``num_partitions`` or ``spark.sql.shuffle.partitions``,
-   the cluster's own sizing of a shuffle for its data volume (it is not read
-   from the input: asking an adaptive plan for its partitions runs it),
+   Without ``num_partitions`` the sort uses ``spark.sql.shuffle.partitions``
+   (the cluster's sizing of a shuffle) as an upper bound that adaptive
+   execution may coalesce: merged range partitions are adjacent, so the
+   order (partition id, position) is still the global order,
 2. tag each row with its partition id and its position inside the partition
    (``monotonically_increasing_id`` keeps the record number in its low 33 bits),
 3. write the result to the shared checkpoint folder (lineage cut, survives
@@ -40,9 +41,9 @@ def sorted_tagged(df: DataFrame, order, num_partitions: int | None = None) -> Da
     checkpointed to the shared folder."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(order)
-    s = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    r = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    s = r.sortWithinPartitions(*keys)
     pid = F.spark_partition_id()
     tagged = s.withColumn(_PID, pid).withColumn(
         _LOC, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)

@@ -78,3 +78,24 @@ def test_impute_mixed_median_and_mean_matches_pandas(spark):
         exp = pdf.fillna({"a": pdf["a"].median(), "b": pdf["b"].mean()})
         assert np.allclose(np.sort(out["a"].to_numpy()), np.sort(exp["a"].to_numpy()))
         assert np.allclose(np.sort(out["b"].to_numpy()), np.sort(exp["b"].to_numpy()))
+
+
+def test_ordinal_in_order_when_adaptive_execution_merges_range_partitions(spark):
+    # many small range partitions merged into several larger ones by AQE
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 20000, 1, 16).withColumn("k", (F.col("id") * 7919 % 1000).cast("int"))
+        out = OR.with_ordinal(df, ["k", "id"], keep_partition=True).select("k", "id", "ordinal", "__pk_pid").toPandas()
+        assert out["__pk_pid"].nunique() > 1  # several (merged) partitions really were used
+        assert sorted(out["ordinal"]) == list(range(20000))
+        assert out.sort_values(["k", "id"])["ordinal"].tolist() == list(range(20000))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
