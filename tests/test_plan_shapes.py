@@ -99,3 +99,21 @@ def test_ordinal_in_order_when_adaptive_execution_merges_range_partitions(spark)
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_group_stats_lookup_same_on_broadcast_and_shuffle_paths(spark):
+    # group "hot" holds a third of the rows; max_rows=0 drops the broadcast hint (the planner
+    # may still broadcast the small side from its own size statistics)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 50}", float(i % 101)) for i in range(6000)]
+    rows += [(None, 1.0), (None, 3.0)]  # NULL keys match each other (as pandas groupby + merge)
+    df = spark.createDataFrame(rows, "g string, x double")
+    st = df.groupBy("g").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s"))
+    a = J.attach_group_stats(df, st, ["g"]).toPandas()
+    b = J.attach_group_stats(df, st, ["g"], max_rows=0).toPandas()
+    key = ["g", "x", "m", "s"]
+    a = a[key].sort_values(["g", "x"], na_position="first").reset_index(drop=True)
+    b = b[key].sort_values(["g", "x"], na_position="first").reset_index(drop=True)
+    assert len(a) == len(df.collect()) and a.equals(b)
+    exp = pd.DataFrame(rows, columns=["g", "x"]).groupby("g", dropna=False)["x"].mean()
+    got = a.groupby("g", dropna=False)["m"].first()
+    assert np.allclose(got.sort_index().to_numpy(), exp.sort_index().to_numpy())
