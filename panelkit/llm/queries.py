@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import bitplane
+from panelkit.llm import bitplane, warc_store
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -22,3 +22,22 @@ def op1_bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = C.scratch(spark, "ids")
     bitplane.write_ids(C.table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return bitplane.read_docs(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op5_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = C.scratch(spark, "warc")
+    warc_store.write_archive(C.table(spark, sf_dir, "pages"), path, revisit_bytes=1000)
+    return warc_store.read_index(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op5_warc_store"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     m AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS d,
+                  max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM m
+"""
