@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import bitplane, warc_store
+from panelkit.llm import bitplane, cascade, warc_store
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -41,3 +42,37 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
 FROM m
 """
+
+
+@query
+def op2_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    out = cascade.apply_rules(C.table(spark, sf_dir, "documents"), report=base)
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return out.select("doc_id", *base, failed.alias("base_failed"), "kept")
+
+
+SQL["op2_cascade"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+     w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+     one AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, ws FROM w),
+     word AS (SELECT doc_id, i, ws[i] AS word, array_to_string(ws[i : i + 4], ' ') AS win, i + 4 <= len(ws) AS whole FROM one),
+     twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) > 1 AS again FROM word WHERE whole),
+     hit AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (SELECT unnest(range(5)) AS o) WHERE again GROUP BY 1),
+     top AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, word, count(*) AS n FROM word GROUP BY 1, 2) GROUP BY 1),
+     line AS (SELECT doc_id, count(*) AS n, count(DISTINCT x) AS u FROM
+              (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY 1),
+     m AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                  coalesce(line.n - line.u, 0)::BIGINT AS n_dup_lines, coalesce(line.n, 0) AS n_lines,
+                  coalesce(hit.n, 0)::BIGINT AS n_repeat_words, coalesce(top.n, 0) AS top_word,
+                  length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+                  length(regexp_replace(text, '[^A-Za-z\x{80}-\x{10FFFF}]', '', 'g')) AS n_letters
+           FROM d JOIN w USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN line USING (doc_id)),
+     b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 4 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR 10 * n_upper > 7 * n_letters
+            OR 10 * n_letters < 4 * word_chars OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 2 * top_word > n_words) AS kept
+FROM b
+"""
