@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bitplane, cascade, warc_store
+from panelkit.llm import bitplane, cascade, recompress, warc_store
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -76,3 +76,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 2 * top_word > n_words) AS kept
 FROM b
 """
+
+
+@query
+def op6_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recompress.remove_repeats(C.table(spark, sf_dir, "documents"), with_text=False)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL["op6_recompress"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     one AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, ws FROM w),
+     word AS (SELECT doc_id, i, ws[i] AS word, array_to_string(ws[i : i + 12], ' ') AS win, i + 12 <= len(ws) AS whole FROM one),
+     least AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS m FROM word WHERE whole),
+     hit AS (SELECT DISTINCT doc_id, i + o AS i FROM least, (SELECT unnest(range(13)) AS o) WHERE m < doc_id),
+     kept AS (SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.i) AS t, count(*) AS n
+              FROM word LEFT JOIN hit ON hit.doc_id = word.doc_id AND hit.i = word.i WHERE hit.i IS NULL GROUP BY 1)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
