@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bitplane, cascade, recompress, warc_store
+from panelkit.llm import bitplane, cascade, hyperminhash, recompress, warc_store
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -95,3 +95,25 @@ WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
+
+
+@query
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hyperminhash.near_duplicates(C.table(spark, sf_dir, "documents"), width=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL["op3_hyperminhash"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  one AS (SELECT doc_id, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1)) + 1)) AS i, ws FROM w),
+  s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 3], ' ') AS x FROM one),
+  size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+  pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  link AS (SELECT a, b FROM pair JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+  reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+  root AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN root USING (doc_id) LEFT JOIN size USING (doc_id)
+"""
