@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bitplane, cascade, hyperminhash, recompress, warc_store
+from panelkit.llm import bitplane, cascade, hyperminhash, recompress, warc_store, winnow
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -117,3 +117,32 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w JOIN root USING (doc_id) LEFT JOIN size USING (doc_id)
 """
+
+
+@query
+def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnow.decontaminate(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        winnow.contaminated().alias("contaminated"))
+
+
+SQL["op10_winnow"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+     b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+     item AS (SELECT DISTINCT item_id, m, array_to_string(ws[i : i + m - 1], ' ') AS win FROM
+              (SELECT item_id, ws, least(len(ws), 13) AS m, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS i FROM b WHERE len(ws) > 0)),
+     doc AS (SELECT doc_id, m, i, array_to_string(ws[i : i + m - 1], ' ') AS win FROM
+             (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (SELECT DISTINCT m FROM item) WHERE len(ws) >= m)),
+     found AS (SELECT doc_id, doc.m, i, item_id FROM doc JOIN item ON doc.m = item.m AND doc.win = item.win),
+     hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM found) GROUP BY 1),
+     items AS (SELECT doc_id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS t FROM
+               (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM found) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items.t, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
