@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bitplane, cascade, hyperminhash, recompress, warc_store, winnow
+from panelkit.llm import bitplane, cascade, cdc_bpe, hd_langid, hyperminhash, pu_quality, recompress, warc_store, winnow
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -146,3 +146,29 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
        coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op8_cdc_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cdc_bpe.encode_documents(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def _fold(n: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n, F.lit(-1))
+
+
+@query
+def op7_hd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    prototypes = hd_langid.learn(docs.where(_fold(3) != 1))
+    out = hd_langid.predict(docs, prototypes)
+    return out.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = C.saved(pu_quality.measure(C.table(spark, sf_dir, "documents")), "measures")
+    model = pu_quality.fit(measured, C.table(spark, sf_dir, "labels"), _fold(5) != 0)
+    out = pu_quality.score(measured, model)
+    return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
