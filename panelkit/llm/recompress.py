@@ -289,7 +289,7 @@ def _keep(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = True, flush_words: int = 1 << 20, spread: int = 4) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = True, flush_words: int = 1 << 20, spread: int = 1) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (UTF-8; null unless ``with_text``), kept_sha256 for each row of ``docs``.
 
     ``spread``: destinations of names per shuffle partition."""
