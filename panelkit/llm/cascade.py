@@ -24,6 +24,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -169,6 +170,27 @@ def plan(docs: DataFrame, rules: dict[str, Callable] = RULES, fraction: float =
     return sorted(said, key=lambda x: -x["rejected"] / max(x["seconds"], 1e-12))
 
 
+def _rejection(m: Measures, order: list[str], rules: dict[str, Callable]) -> tuple[str | None, int]:
+    """The first rule that rejects, and how many were evaluated."""
+    for tested, name in enumerate(order, 1):
+        if rules[name](m):
+            return name, tested
+    return None, len(order)
+
+
+def kept_rows(docs: DataFrame, order: list[str] | None = None, rules: dict[str, Callable] = RULES) -> DataFrame:
+    """The rows of ``docs``, all columns, that no rule rejects."""
+    C.ship(docs.sparkSession)
+    order = order or [x["name"] for x in plan(docs, rules)]
+
+    def keep(batches):
+        for b in batches:
+            mask = [_rejection(Measures(t), order, rules)[0] is None for t in C.payloads(b, "text")]
+            yield b.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def apply_rules(docs: DataFrame, order: list[str] | None = None, rules: dict[str, Callable] = RULES,
                 report: tuple[str, ...] = ("n_words",)) -> DataFrame:
     """doc_id, kept, rejected_by (the first rule in ``order`` that rejects; null if kept), n_tested (rules evaluated), and
@@ -184,12 +206,8 @@ def apply_rules(docs: DataFrame, order: list[str] | None = None, rules: dict[str
         for b in batches:
             rows = {f.name: [] for f in schema}
             for text in C.payloads(b, "text"):
-                m, by, tested = Measures(text), None, 0
-                for name in order:
-                    tested += 1
-                    if rules[name](m):
-                        by = name
-                        break
+                m = Measures(text)
+                by, tested = _rejection(m, order, rules)
                 rows["kept"].append(by is None)
                 rows["rejected_by"].append(by)
                 rows["n_tested"].append(tested)

@@ -274,3 +274,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rou
     out = sketch.select("doc_id", "n_shingles").join(rooted, "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, all columns, whose document is the smallest of its component."""
+    stay = near_duplicates(docs, **how).where("kept").select(F.col("doc_id").alias("__d")).distinct()
+    src = docs.withColumn("__id", F.col("doc_id").cast("long"))
+    return src.join(stay, F.col("__id").eqNullSafe(F.col("__d")), "left_semi").select(*docs.columns)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bitplane, cascade, cdc_bpe, hd_langid, hyperminhash, pu_quality, recompress, warc_store, winnow
+from panelkit.llm import bitplane, cascade, cdc_bpe, hd_langid, hyperminhash, pii_bootstrap, pu_quality, recompress, warc_store, winnow
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -172,3 +172,12 @@ def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pu_quality.fit(measured, C.table(spark, sf_dir, "labels"), _fold(5) != 0)
     out = pu_quality.score(measured, model)
     return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    out = pii_bootstrap.report(docs, pii_bootstrap.find_spans(docs))
+    return out.select("doc_id", *[f"n_{k}" for k in pii_bootstrap.KINDS],
+                      F.sha2(F.array_join("base_spans", ",").cast("binary"), 256).alias("base_sha256"),
+                      F.array_join("spans", ",").alias("spans"))

@@ -71,7 +71,7 @@ def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, k: int = 5) -> DataFrame:
-    """doc_id, n_words, n_hit, item_ids (sorted strings of the items that occur) for each row of ``docs``."""
+    """doc_id, tag (text hash), n_words, n_hit, item_ids (sorted strings of the items that occur) for each row of ``docs``."""
     src = C.texts(docs).withColumn("tag", F.xxhash64("text"))
     bench = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     counted = _words(bench).select("n").where("n > 0").select(F.least(F.col("n"), F.lit(size)).cast("int").alias("m")).distinct()
@@ -102,10 +102,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, k: int = 5)
     found = covered.join(listed.toDF("d", "t", "item_ids"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")))
     found = found.select(F.col("doc_id").alias("d"), F.col("tag").alias("t"), "n_hit", "item_ids")
     return prints.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")), "left").select(
-        "doc_id", F.col("n").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        "doc_id", "tag", F.col("n").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 
 
 def contaminated() -> F.Column:
     """A twentieth of the words or more are hit."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, size: int = 13, k: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    bad = decontaminate(docs, items, size, k).where(contaminated()).select(F.col("doc_id").alias("__d"), F.col("tag").alias("__t"))
+    src = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__tag": F.xxhash64(F.col("text").cast("string"))})
+    return src.join(bad, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__tag") == F.col("__t")), "left_anti").select(*docs.columns)
