@@ -6,7 +6,7 @@ functions and every division that may see a zero uses ``try_divide``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Labels that mark summary / note rows in report grids
@@ -56,9 +56,16 @@ def to_double(c) -> Column:
     return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
-def nan_to_null(c) -> Column:
+def no_nan(c) -> Column:
+    """A float or double column with NaN as NULL (both mean missing)."""
     x = _c(c)
-    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+    return F.when(~F.isnan(x), x)
+
+
+def nan_as_null(df: DataFrame, cols=None) -> DataFrame:
+    """``df`` with NaN as NULL in its float and double columns (those among ``cols``)."""
+    names = [f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double") and (cols is None or f.name in cols)]
+    return df.withColumns({c: no_nan(c) for c in names}) if names else df
 
 
 def to_int_strict(c) -> Column:

@@ -27,6 +27,7 @@ def anomaly_flag(df: DataFrame, col: str, by, k: float = 1.0, name: str = "droug
     """1 if ``col`` < group mean - k * group sample std, else 0 (missing -> 0).
     The group statistics use all rows, or the rows matching ``fit_where``."""
     by = list(by)
+    df = S.nan_as_null(df, [col])
     fit = df.where(fit_where) if fit_where is not None else df
     stats = fit.groupBy(*by).agg(F.avg(col).alias("__mean"), F.stddev_samp(col).alias("__std"))
     j = attach_group_stats(df, stats, by)

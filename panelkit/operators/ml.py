@@ -67,16 +67,19 @@ def scored(model_name: str, df: DataFrame, pred, label: str, split: str = "split
 
 
 def metrics(scores: DataFrame) -> DataFrame:
-    """Per (model, split): n, RMSE, MAE, R^2 = 1 - SSE / SST."""
+    """Per (model, split): n, RMSE, MAE, R^2 = 1 - SSE / SST.  SST comes from the
+    centred variance aggregate; a constant target gives 1 if it is hit exactly, else 0."""
     e = F.col("y") - F.col("pred")
     g = scores.groupBy("model", "split").agg(
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
         F.sum(e * e).alias("__sse"),
-        (F.sum(F.col("y") * F.col("y")) - F.sum("y") * F.sum("y") / F.count(F.lit(1))).alias("__sst"),
+        (F.count("y") * F.var_pop("y")).alias("__sst"),
     )
-    return g.withColumn("r2", 1 - F.try_divide(F.col("__sse"), F.col("__sst"))).drop("__sse", "__sst")
+    flat = F.when(F.col("__sse") == 0, 1.0).otherwise(0.0)
+    r2 = F.when(F.col("__sst") == 0, flat).otherwise(1 - F.try_divide(F.col("__sse"), F.col("__sst")))
+    return g.withColumn("r2", r2).drop("__sse", "__sst")
 
 
 def metrics_wide(scores: DataFrame) -> DataFrame:

@@ -8,43 +8,38 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from .joins import attach_row, inner_merge
-from .quantiles import DEFAULT_METHOD, quantile_row, quantiles_and_stats
+from .quantiles import quantile_row
 
 
-def dedup_keep_first(df: DataFrame, keys, order=None) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys, order) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order`` (ascending, NULLs
-    first), ties broken by every remaining column, so the survivor is fully
-    determined.  Implemented as ``min(struct(order..., rest...))`` per key -
+    last), which names the columns that say which row came first (an ingest
+    ordinal, a load time).  Rows that tie on ``order`` are told apart by their
+    remaining columns, filled ones before NULL, so the survivor is fully
+    determined.  Implemented as ``min`` of one struct per key -
     an aggregate with map-side partial aggregation, so a key holding a large
     share of the rows never lands whole in one task (unlike a
     ``row_number`` window)."""
-    keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    order = list(order) if order else []
-    rest = [c for c in others if c not in order]
-    fields = order + rest
-    packed = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
+    keys, order = list(keys), list(order)
+    if not order:
+        raise ValueError("name the columns that order the rows of a key")
+    fields = order + [c for c in df.columns if c not in keys and c not in order]
+    sort = [x for c in fields for x in (F.col(c).isNull(), F.col(c))]
+    packed = F.struct(*[x.alias(f"f{i}") for i, x in enumerate(sort)])
     g = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
-    return g.select(*keys, *[F.col(f"__first.f{i}").alias(c) for i, c in enumerate(fields)]).select(*df.columns)
+    return g.select(*keys, *[F.col(f"__first.f{2 * i + 1}").alias(c) for i, c in enumerate(fields) if c not in keys]).select(*df.columns)
 
 
 def impute(df: DataFrame, methods: dict, method: str | None = None, fit_where=None) -> DataFrame:
-    """Fill NULLs with the column median or mean computed over all rows, or
+    """Fill missing values (NULL, NaN) with the column median or mean computed over all rows, or
     over the rows matching ``fit_where`` only (e.g. the training rows).
     ``methods`` maps column -> 'median' | 'mean'.  The statistics form
     one-row tables attached as scalar subqueries."""
+    df = S.nan_as_null(df, list(methods))
     med = [c for c, m in methods.items() if m == "median"]
     mean = [c for c, m in methods.items() if m == "mean"]
     fit = df.where(fit_where) if fit_where is not None else df
     parts = []
-    if med and mean and (method or DEFAULT_METHOD) == "bracket":
-        # the means ride along in the median sketch pass: one read fewer
-        q, st = quantiles_and_stats(fit, med, [0.5], ["mean"], method=method, stats_cols=mean)
-        fills = q.select("column", F.col("value").alias("fill")).unionByName(
-            st.where(F.col("column").isin(*mean)).select("column", F.col("mean").alias("fill")))
-        row = fills.groupBy().pivot("column", med + mean).agg(F.first("fill"))
-        parts.append(row.select(*[F.col(f"`{c}`").alias(f"{c}__fill") for c in med + mean]))
-        med, mean = [], []
     if mean:
         parts.append(fit.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}__fill") for c in mean]))
     if med:
@@ -74,10 +69,11 @@ def _clip(c, lo, hi):
 
 def winsorize(df: DataFrame, cols, factor: float = 1.5, method: str | None = None, bounds: DataFrame | None = None,
               fit_where=None) -> DataFrame:
-    """Cap each column to its IQR fences, computed over all rows or over the
+    """Cap each column to its IQR fences (missing values stay missing), computed over all rows or over the
     rows matching ``fit_where`` (unless ``bounds`` - a one-row table from
     :func:`iqr_bounds` - is given)."""
     cols = list(cols)
+    df = S.nan_as_null(df, cols)
     fit = df.where(fit_where) if fit_where is not None else df
     b = bounds if bounds is not None else iqr_bounds(fit, cols, factor, method)
     j = attach_row(df, b)
@@ -88,6 +84,7 @@ def winsorize(df: DataFrame, cols, factor: float = 1.5, method: str | None = Non
 def winsor_counts(df: DataFrame, cols, factor: float = 1.5, method: str | None = None) -> DataFrame:
     """Rows strictly outside the fences (= rows capped) per column."""
     cols = list(cols)
+    df = S.nan_as_null(df, cols)
     b = iqr_bounds(df, cols, factor, method)
     j = attach_row(df.select(*cols), b)
     row = j.agg(*[F.count_if((F.col(c) < F.col(f"{c}_lo")) | (F.col(c) > F.col(f"{c}_hi"))).alias(f"n{i}")

@@ -2,17 +2,13 @@
 
 Four methods:
 
-* ``"bracket"`` (default) - exact, two aggregation passes, no sort.  Pass 1
-  computes ``percentile_approx`` at p -/+ a margin of a few times its rank
-  error (1/accuracy) together with the row count, which brackets every
-  target order statistic between two values a <= v <= b.  Pass 2 joins the
-  (small, size-checked) bracket table to the rows and aggregates, per
-  target, the count of rows below ``a`` and the count of every distinct
-  value inside [a, b] - map-side partial aggregation, so a hot value costs
-  one counter per task.  The exact order statistics are then read from the
-  band table (about 2 x margin x n rows per target at most).  A target whose
-  bracket misses (should not happen; the sketch error is bounded) is
-  recomputed with ``"rank"``.
+* ``"histogram"`` (default) - exact, one lazy plan, no sort of the data.  Three
+  aggregations refine the buckets that hold the wanted order statistics:
+  fixed logarithmic buckets (2^17 over the whole double range), then 2^20 equal buckets inside each
+  wanted one, then the distinct values inside each wanted one of those.  Every aggregation combines on the
+  map side and is keyed by the bucket too, so neither a hot value nor a column
+  or group with a third of the rows meets in one task; running sums are taken over bucket tables only.
+  A bucket whose values are all equal is not refined further.
 * ``"rank"`` - exact and distributed by a global sort.  All requested columns are
   stacked into (group, column, value) rows, sorted once with a range
   partitioner (a random last key splits runs of equal values, so one hot value
@@ -26,26 +22,24 @@ Four methods:
 * ``"approx"`` - ``percentile_approx`` (bounded memory, rank error
   1/accuracy); values are actual data points, not interpolated.
 
-All return a long table ``(*by, column, p, value)``.
+NULL and NaN are missing.  All return a long table ``(*by, column, p, value)``.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import no_nan
 from .ordinal import with_ordinal
 
-DEFAULT_METHOD = "bracket"
+DEFAULT_METHOD = "histogram"
 DEFAULT_ACCURACY = 100_000
-_MARGIN = 3.0  # bracket half-width in units of the sketch's rank error
-_BROADCAST_TARGETS = 2_000_000
-# A band (distinct values inside one target's bracket) larger than this is
-# narrowed before its running-sum window, so no window task holds more.
-BAND_MAX = 1_000_000
-_BUCKETS = 1024
-_MAX_NARROW = 8
+_LOG_MAX = 710.0    # above log1p of the largest double
+_COARSE = 1 << 17   # buckets of the first aggregation
+_FINE = 1 << 20     # buckets inside a wanted one
 
 
 def _stack(df: DataFrame, cols, by) -> DataFrame:
@@ -60,8 +54,8 @@ def quantiles(df: DataFrame, cols, probs, by=(), method: str | None = None, accu
     cols, probs, by = list(cols), [float(p) for p in probs], list(by)
     if method == "rank":
         return _rank_quantiles(df, cols, probs, by)
-    if method == "bracket":
-        return _bracket_quantiles(df, cols, probs, by, accuracy)
+    if method == "histogram":
+        return _histogram_quantiles(df, cols, probs, by)
     long = _stack(df, cols, by)
     if method == "exact":
         agg = F.percentile("value", F.array(*[F.lit(p) for p in probs]))
@@ -76,8 +70,7 @@ def quantiles(df: DataFrame, cols, probs, by=(), method: str | None = None, accu
     )
 
 
-# Per-column statistics that can share the bracket method's first pass
-# (over non-missing values, as pandas' describe).
+# Per-column statistics over non-missing values, as pandas' describe.
 STATS = {
     "count": lambda v: F.count(v),
     "mean": lambda v: F.avg(v),
@@ -87,129 +80,64 @@ STATS = {
 }
 
 
-def quantiles_and_stats(df: DataFrame, cols, probs, stats, by=(), method: str | None = None,
-                        accuracy: int = DEFAULT_ACCURACY, stats_cols=()):
-    """``(quantiles long table, stats table (*by, column, *stats))``.  The
-    statistics cover ``cols`` plus ``stats_cols`` (columns that need no
-    quantile).  With the bracket method they are computed in the same
-    aggregation pass as the sketch, so the data is read twice in total, not
-    three times."""
-    method = method or DEFAULT_METHOD
-    cols, probs, by, stats = list(cols), [float(p) for p in probs], list(by), list(stats)
-    extra_cols = [c for c in stats_cols if c not in cols]
-    if method == "bracket":
-        return _bracket_quantiles(df, cols, probs, by, accuracy, stats=stats, stats_cols=extra_cols)
-    st = _stack(df, cols + extra_cols, by).groupBy(*by, "column").agg(*[STATS[s](F.col("value")).alias(s) for s in stats])
-    return quantiles(df, cols, probs, by, method, accuracy), st
+def column_stats(df: DataFrame, cols, stats) -> DataFrame:
+    """(column, *stats): one wide aggregate, one row per column."""
+    cols, stats = list(cols), list(stats)
+    row = df.agg(*[STATS[s](no_nan(F.col(c).cast("double"))).alias(f"{i}_{s}") for i, c in enumerate(cols) for s in stats])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{i}_{s}").alias(s) for s in stats]) for i, c in enumerate(cols)
+    ])).alias("r")).select("r.*")
 
 
-def _bracket_quantiles(df: DataFrame, cols, probs, by, accuracy: int, stats=None, stats_cols=()):
-    stats_cols = list(stats_cols)
-    long = _stack(df, cols + stats_cols, by)
-    eps = _MARGIN / float(accuracy)
-    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
-    extra = [STATS[s](F.col("value")).alias(f"__st_{s}") for s in (stats or [])]
-    # statistics-only columns are stacked for the shared pass but not sketched
-    sketched = F.when(F.col("column").isin(*cols), F.col("value")) if stats_cols else F.col("value")
-    s1 = long.groupBy(*by, "column").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx(sketched, F.array(*[F.lit(e) for e in edges]), accuracy).alias("__q"),
-        *extra,
-    )
-    idx = {e: i for i, e in enumerate(edges)}
-    st_cols = [f"__st_{s}" for s in (stats or [])]
-    tgt = s1.select(*by, "column", "__n", *st_cols, F.explode(F.array(*[
-        F.struct(F.lit(p).alias("p"), F.element_at("__q", idx[min(1.0, max(0.0, p - eps))] + 1).alias("__a"),
-                 F.element_at("__q", idx[min(1.0, max(0.0, p + eps))] + 1).alias("__b"))
-        for p in probs])).alias("t")).select(*by, "column", "__n", *st_cols, "t.p", "t.__a", "t.__b")
-    tgt = tgt.withColumn("__pos", F.col("p") * (F.col("__n") - 1)).withColumn(
-        "__lo", F.floor("__pos").cast("long")).withColumn("__hi", F.ceil("__pos").cast("long")).withColumn(
-        "__frac", F.col("__pos") - F.col("__lo"))
-    tgt = tgt.persist(StorageLevel.MEMORY_AND_DISK)
-    tgt_all = tgt
-    if stats_cols:
-        tgt = tgt.where(F.col("column").isin(*cols))
-    # ungrouped: exactly len(cols) x len(probs) rows; grouped: count first,
-    # and in the same job the largest group, which bounds every band
-    band_bound = None
-    if by:
-        n_tgt, n_max = tgt.agg(F.count(F.lit(1)), F.max("__n")).first()
-        small = n_tgt <= _BROADCAST_TARGETS
-        # the sketch's rank error is n / accuracy: a band spans at most
-        # (2 x margin + 2) x n / accuracy rows
-        band_bound = (n_max or 0) * (2 * _MARGIN + 2) / float(accuracy)
-    else:
-        small = True
+def _histogram_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
     keys = [*by, "column"]
-    j = long.join(F.broadcast(tgt) if small else tgt, keys).where(F.col("value") <= F.col("__b"))
-    key = F.when(F.col("value") < F.col("__a"), F.lit(None).cast("double")).otherwise(F.col("value"))
-    band = j.groupBy(*keys, "p", key.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    # the bracket is ~2 x margin / accuracy of the rows: at 10^12 rows that is
-    # tens of millions of distinct values per target, too many for one
-    # window task - narrow such bands first (distributed, on the band table)
-    ranks = tgt.select(*keys, "p", "__lo", "__hi")
-    band = band.persist(StorageLevel.MEMORY_AND_DISK)
-    prev = None
-    for _ in range(_MAX_NARROW if band_bound is None or band_bound > BAND_MAX else 0):
-        biggest = band.groupBy(*keys, "p").count().agg(F.max("count")).first()[0]
-        if prev is not None:
-            prev.unpersist()
-        if biggest is None or biggest <= BAND_MAX:
-            break
-        prev, band = band, _narrow_band(band, ranks, [*keys, "p"], small).persist(StorageLevel.MEMORY_AND_DISK)
-    w = Window.partitionBy(*keys, "p").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    band = band.withColumn("__start", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    band = band.join(tgt.select(*keys, "p", "__lo", "__hi", "__frac"), [*keys, "p"])
-    inside = lambda r: F.col("__v").isNotNull() & (F.col("__start") <= r) & (r < F.col("__start") + F.col("__c"))
-    g = band.groupBy(*keys, "p").agg(
-        F.max(F.when(inside(F.col("__lo")), F.col("__v"))).alias("__vlo"),
-        F.max(F.when(inside(F.col("__hi")), F.col("__v"))).alias("__vhi"),
-        F.first("__frac").alias("__frac"),
-    )
+    # without groups the wanted buckets are 2 x columns x probabilities at most
+    small = (lambda d: d) if by else F.broadcast
+    v = F.col("value")
+    scale = F.greatest(F.lit(-_LOG_MAX), F.least(F.lit(_LOG_MAX), F.signum(v) * F.log1p(F.abs(v))))
+    coarse = F.floor((scale + _LOG_MAX) * F.lit(_COARSE / (2 * _LOG_MAX))).cast("int")
+    rows = _stack(df, cols, by).withColumn("__b", coarse)
+    span = [F.count(F.lit(1)).alias("__c"), F.min("value").alias("__lo"), F.max("value").alias("__hi")]
+
+    h = rows.groupBy(*keys, "__b").agg(*span)
+    h = h.withColumn("__upto", F.sum("__c").over(Window.partitionBy(*keys).orderBy("__b")))
+    h = h.withColumn("__n", F.sum("__c").over(Window.partitionBy(*keys)))
+    pos = F.col("p") * (F.col("__n") - 1)
+    wanted = h.withColumn("p", F.explode(F.array(*[F.lit(p) for p in probs]))).select(
+        "*", (pos - F.floor(pos)).alias("__frac"),
+        F.explode(F.array(F.floor(pos).cast("long"), F.ceil(pos).cast("long"))).alias("__rank"))
+    wanted = wanted.where((F.col("__rank") >= F.col("__upto") - F.col("__c")) & (F.col("__rank") < F.col("__upto")))
+    wanted = wanted.select(*keys, "p", "__frac", F.col("__rank").alias("__r0"), "__b", "__lo", "__hi",
+                           (F.col("__rank") - (F.col("__upto") - F.col("__c"))).alias("__rank"))
+    open_, done = F.col("__lo") < F.col("__hi"), F.col("__lo") == F.col("__hi")
+    found = [wanted.where(done).select(*keys, "p", "__frac", "__r0", F.col("__lo").alias("__v"))]
+
+    # inside each wanted bucket: equal buckets between its least and largest value
+    sel = wanted.where(open_).select(*keys, "__b", F.col("__lo").alias("__a"), F.col("__hi").alias("__z")).distinct()
+    part = F.nanvl((v - F.col("__a")) / (F.col("__z") - F.col("__a")), F.lit(1.0))
+    fine = F.least(F.floor(part * _FINE), F.lit(_FINE - 1)).cast("int")
+    rows = rows.join(small(sel), [*keys, "__b"]).withColumn("__f", fine).drop("__a", "__z")
+    h = rows.groupBy(*keys, "__b", "__f").agg(*span)
+    h = h.withColumn("__upto", F.sum("__c").over(Window.partitionBy(*keys, "__b").orderBy("__f")))
+    first = wanted.where(open_).drop("__lo", "__hi")
+    wanted = h.join(small(first), [*keys, "__b"]).where(
+        (F.col("__rank") >= F.col("__upto") - F.col("__c")) & (F.col("__rank") < F.col("__upto")))
+    wanted = wanted.withColumn("__rank", F.col("__rank") - (F.col("__upto") - F.col("__c"))).drop("__upto", "__c")
+    found.append(wanted.where(done).select(*keys, "p", "__frac", "__r0", F.col("__lo").alias("__v")))
+
+    # the distinct values of what is still open
+    sel = wanted.where(open_).select(*keys, "__b", "__f").distinct()
+    h = rows.join(small(sel), [*keys, "__b", "__f"]).groupBy(*keys, "__b", "__f", F.col("value").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    h = h.withColumn("__upto", F.sum("__c").over(Window.partitionBy(*keys, "__b", "__f").orderBy("__v")))
+    last = h.join(small(wanted.where(open_).drop("__lo", "__hi")), [*keys, "__b", "__f"]).where(
+        (F.col("__rank") >= F.col("__upto") - F.col("__c")) & (F.col("__rank") < F.col("__upto")))
+    found.append(last.select(*keys, "p", "__frac", "__r0", "__v"))
+
+    both = reduce(lambda a, b: a.union(b), found).groupBy(*keys, "p").agg(
+        F.first("__frac").alias("__frac"), F.min_by("__v", "__r0").alias("__vlo"), F.max_by("__v", "__r0").alias("__vhi"))
     val = F.when(F.col("__frac") == 0, F.col("__vlo")).otherwise(
         F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac"))
-    out = g.select(*keys, "p", val.alias("value"), (F.col("__vlo").isNull() | F.col("__vhi").isNull()).alias("__miss"))
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    st = None
-    if stats is not None:  # one row per (group, column): the first target's row of the cached table
-        st = tgt_all.where(F.col("p") == F.lit(probs[0])).select(
-            *by, "column", *[F.col(f"__st_{s}").alias(s) for s in stats])
-    if out.where("__miss").limit(1).count() > 0:  # bracket missed: exact fallback
-        out.unpersist()
-        q = _rank_quantiles(df, cols, probs, by)
-    else:
-        q = out.drop("__miss")
-    return q if stats is None else (q, st)
-
-
-def _narrow_band(band: DataFrame, ranks: DataFrame, t, small: bool) -> DataFrame:
-    """One refinement step of a band table ``(*t, __v, __c)`` (``__v`` NULL =
-    the count of rows below the bracket).  Each target's values are split
-    into equal-width buckets, bucket counts are aggregated (at most
-    ``_BUCKETS + 1`` rows per target), and only the buckets holding the
-    target ranks ``__lo`` / ``__hi`` are kept; everything below them
-    collapses into the NULL row.  Exact: no count is lost.  A target whose
-    ranks fall in no bucket keeps its band, so the miss check still sees it."""
-    bc = F.broadcast if small else (lambda d: d)
-    rng = band.where(F.col("__v").isNotNull()).groupBy(*t).agg(
-        F.min("__v").alias("__vmin"), F.max("__v").alias("__vmax"))
-    b = band.join(bc(rng), t, "left")
-    width = (F.col("__vmax") - F.col("__vmin")) / F.lit(float(_BUCKETS))
-    bucket = (F.when(F.col("__v").isNull(), F.lit(-1))
-              .when(width == 0, F.lit(0))
-              .otherwise(F.least(F.floor((F.col("__v") - F.col("__vmin")) / width).cast("int"), F.lit(_BUCKETS - 1))))
-    b = b.withColumn("__k", bucket)
-    hist = b.groupBy(*t, "__k").agg(F.sum("__c").alias("__kc"))
-    w = Window.partitionBy(*t).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("__ks", F.coalesce(F.sum("__kc").over(w), F.lit(0)))
-    hit = lambda r: (F.col("__ks") <= F.col(r)) & (F.col(r) < F.col("__ks") + F.col("__kc"))
-    pick = hist.join(bc(ranks), t).where(hit("__lo") | hit("__hi")).groupBy(*t).agg(
-        F.min("__k").alias("__k0"), F.max("__k").alias("__k1"))
-    b = b.join(bc(pick), t, "left")
-    keep = b.where(F.col("__k0").isNull() | F.col("__k").between(F.col("__k0"), F.col("__k1"))).select(*t, "__v", "__c")
-    below = b.where(F.col("__k0").isNotNull() & (F.col("__k") < F.col("__k0"))).groupBy(*t).agg(
-        F.sum("__c").alias("__c")).select(*t, F.lit(None).cast("double").alias("__v"), "__c")
-    return keep.unionByName(below)
+    return both.select(*keys, "p", val.alias("value"))
 
 
 def _rank_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
@@ -231,11 +159,8 @@ def _rank_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
         )).alias("s"),
     ).select(*by, "column", "p", "__frac", "s.side", "s.__o")
     picks = ranked.select("__o", F.col("value").alias("__v"))
-    # the target table has 2 x groups x columns x probs rows; broadcast it
-    # when that count is small, else a plain (AQE-managed) join on the ordinal.
-    need = need.cache()
-    small = need.count() <= _BROADCAST_TARGETS
-    joined = picks.join(F.broadcast(need) if small else need, "__o")
+    # without groups the targets are 2 x columns x probs rows
+    joined = picks.join(need if by else F.broadcast(need), "__o")
     g = joined.groupBy(*by, "column", "p").agg(
         F.max(F.when(F.col("side") == 0, F.col("__v"))).alias("__vlo"),
         F.max(F.when(F.col("side") == 1, F.col("__v"))).alias("__vhi"),

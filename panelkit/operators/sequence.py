@@ -4,7 +4,7 @@ that stay balanced when one series holds a large share of all rows.
 ``Window.partitionBy(series)`` puts a whole series into one task.  Here the
 rows get a global ordinal over (series, order) from the range-partitioned
 ordinal builder and are cut into fixed-size blocks of consecutive rows.  The
-last ``H`` rows of every block are copied into the next block (a halo), so a
+``H`` rows before every block, from however many blocks, are copied into it (a halo), so a
 look-back of up to ``H`` rows is answered inside one block; neighbours that
 belong to another series are masked.  Back-fill (an unbounded look-ahead) is a
 two-level scan: inside each block, then a carry from later blocks computed on
@@ -53,9 +53,11 @@ def add_lookback(sdf: DataFrame, series, lags: dict | None = None, rolls: dict |
     lags, rolls = lags or {}, rolls or {}
     depth = max([k for _, k in lags.values()] + [w - 1 for _, w in rolls.values()] + [1])
     base = sdf.withColumn(_HALO, F.lit(False))
+    # a row is copied into every later block that looks back at it
+    reach = F.floor((F.col(ORD) + F.lit(depth)) / F.lit(block_rows)).cast("long")
     halo = (
-        sdf.where((F.col(ORD) % F.lit(block_rows)) >= F.lit(block_rows - depth))
-        .withColumn(BLK, F.col(BLK) + 1)
+        sdf.where(reach > F.col(BLK))
+        .withColumn(BLK, F.explode(F.sequence(F.col(BLK) + 1, reach)))
         .withColumn(_HALO, F.lit(True))
     )
     u = base.unionByName(halo).withColumn(_SKEY, _series_key(series))

@@ -19,10 +19,6 @@ def union_all(frames, schema_of: DataFrame | None = None) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def sort_nulls_last(df: DataFrame, keys) -> DataFrame:
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
-
-
 def first_rows(df: DataFrame, keys, n: int) -> DataFrame:
     """First ``n`` rows under an explicit order (top-k: Spark plans this as
     TakeOrderedAndProject - a per-partition top-k, then a merge of n x P rows)."""

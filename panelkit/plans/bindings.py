@@ -123,6 +123,22 @@ def holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Measures that panel_dirty blanks: column -> (modulus, what it becomes).
+_DIRT = {"rainfall": (6, None), "temperature": (9, "nan"), "gdp": (8, None), "inflation": (7, "nan"), "sown": (10, None)}
+
+
+def panel_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``panel`` as it might be delivered: every fifth key comes twice (the
+    later row, seq 1, with other values), and by rule measures are NULL or NaN."""
+    p = panel(spark, sf_dir)
+    again = p.where((F.col("series") + F.col("year") + F.col("month")) % 5 == 0)
+    again = again.withColumns({"production": F.col("production") - 1, "harvested": F.col("harvested") / 2})
+    both = p.withColumn("seq", F.lit(0)).unionByName(again.withColumn("seq", F.lit(1)))
+    k = F.col("series") * 7 + F.col("year") + F.col("month")
+    return both.withColumns({
+        c: F.when(k % m == 0, F.lit(v).cast("double")).otherwise(F.col(c)) for c, (m, v) in _DIRT.items()})
+
+
 # Report grid layout (fixed values of the banded layout): header row index 2,
 # sub-header row 3, body from row 4; key column 1; four sub-columns per year.
 GRID_HEADER_ROW = 2
@@ -207,6 +223,49 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("file", F.col("row_idx").cast("int"), F.col("col_idx").cast("int"), "value")
 
 
+def cells_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by (region, nation, year) as simple report grids: a title, a
+    header row 'District' + one plain year per column (and two columns that
+    hold no year), one row per nation, a TOTAL row of blanks.  Nations without orders in a year have no cell."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    counts = orders.join(cust, orders.o_custkey == cust.c_custkey).groupBy(
+        "c_nationkey", F.year("o_orderdate").cast("int").alias("yr")).agg(F.count(F.lit(1)).cast("string").alias("n"))
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", F.concat(F.lit("simple_"), F.lower("r_name"),
+                                          F.when(F.col("r_regionkey") % 2 == 0, "_yala").otherwise("_maha"), F.lit(".xlsx")).alias("file"))
+    body = counts.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+
+    def cell(r, c, v):
+        return F.struct(F.lit(r).cast("int").alias("row_idx") if isinstance(r, int) else r.cast("int").alias("row_idx"),
+                        F.lit(c).cast("int").alias("col_idx") if isinstance(c, int) else c.cast("int").alias("col_idx"),
+                        F.lit(v).alias("value") if isinstance(v, str) else v.cast("string").alias("value"))
+
+    row = F.col("n_nationkey") + 2
+    per_value = body.select("file", cell(row, F.col("yr") - 1980, F.col("n")).alias("c"))
+    per_year = body.select("file", "yr").distinct().select("file", cell(1, F.col("yr") - 1980, F.col("yr")).alias("c"))
+    per_nation = geo.select("file", cell(row, 1, F.col("n_name")).alias("c"))
+    per_file = geo.select("file").distinct().select("file", F.explode(F.array(
+        cell(0, 0, "Orders"), cell(1, 1, "District"), cell(1, 500, "Total"), cell(1, 501, "1850"), cell(90, 1, "TOTAL"))).alias("c"))
+    return reduce(lambda a, b: a.unionByName(b), [per_value, per_year, per_nation, per_file]).select("file", "c.*")
+
+
+CELLS_SIMPLE_SQL = """
+WITH geo AS (SELECT n_nationkey, n_name, 'simple_' || lower(r_name) || CASE WHEN r_regionkey % 2 = 0 THEN '_yala' ELSE '_maha' END || '.xlsx' AS file
+             FROM nation JOIN region ON n_regionkey = r_regionkey),
+body AS (SELECT file, n_nationkey, CAST(year(o_orderdate) AS INT) AS yr, COUNT(*) AS n
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey GROUP BY 1, 2, 3)
+SELECT file, CAST(n_nationkey + 2 AS INT) AS row_idx, CAST(yr - 1980 AS INT) AS col_idx, CAST(n AS VARCHAR) AS value FROM body
+UNION ALL SELECT DISTINCT file, 1, CAST(yr - 1980 AS INT), CAST(yr AS VARCHAR) FROM body
+UNION ALL SELECT file, CAST(n_nationkey + 2 AS INT), 1, n_name FROM geo
+UNION ALL SELECT DISTINCT file, 0, 0, 'Orders' FROM geo
+UNION ALL SELECT DISTINCT file, 1, 1, 'District' FROM geo
+UNION ALL SELECT DISTINCT file, 1, 500, 'Total' FROM geo
+UNION ALL SELECT DISTINCT file, 1, 501, '1850' FROM geo
+UNION ALL SELECT DISTINCT file, 90, 1, 'TOTAL' FROM geo"""
+
+
 # ---------------------------------------------------------------------------
 # SQL twins (DuckDB dialect; the driver pre-registers the tables as views)
 # ---------------------------------------------------------------------------
@@ -226,6 +285,13 @@ SELECT c_nationkey AS series, CAST(year(o_orderdate) AS INT) AS year, CAST(month
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 GROUP BY 1, 2, 3, 4"""
 
+DIRTY_SQL = f"""WITH p AS ({PANEL_SQL}),
+b AS (SELECT *, 0 AS seq FROM p UNION ALL
+      SELECT * REPLACE (production - 1 AS production, harvested / 2 AS harvested), 1 FROM p WHERE (series + year + month) % 5 = 0)
+SELECT * REPLACE ({", ".join(
+    f"CASE WHEN (series * 7 + year + month) % {m} = 0 THEN CAST({'NULL' if v is None else repr(v)} AS DOUBLE) ELSE {c} END AS {c}"
+    for c, (m, v) in _DIRT.items())}) FROM b"""
+
 HALF_SQL = f"""
 SELECT CAST(year(o_orderdate) AS INT) AS year,
        CASE WHEN month(o_orderdate) <= 6 THEN 'H1' ELSE 'H2' END AS season,{_MEASURES_SQL}

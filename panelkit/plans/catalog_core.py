@@ -101,9 +101,10 @@ def scatter_feed(spark, sf):
 
 
 # ---------------------------------------------------------------- 2.4 joins
-_ORD_NAT = """SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INT) AS year, COUNT(*) AS n_orders
+# per nation and day: many days have orders but no shipments, and the other way round
+_ORD_NAT = """SELECT c_nationkey AS nation, CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n_orders
               FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
-_SUP_NAT = """SELECT s_nationkey AS nation, CAST(year(l_shipdate) AS INT) AS year,
+_SUP_NAT = """SELECT s_nationkey AS nation, CAST(l_shipdate AS DATE) AS day,
               CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS shipped_qty
               FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2"""
 
@@ -111,27 +112,27 @@ _SUP_NAT = """SELECT s_nationkey AS nation, CAST(year(l_shipdate) AS INT) AS yea
 def _orders_by_nation(spark, sf):
     o, c = _t(spark, sf, "orders"), _t(spark, sf, "customer")
     return o.join(c, o.o_custkey == c.c_custkey).groupBy(
-        F.col("c_nationkey").alias("nation"), F.year("o_orderdate").cast("int").alias("year")
+        F.col("c_nationkey").alias("nation"), F.col("o_orderdate").cast("date").alias("day")
     ).agg(F.count(F.lit(1)).alias("n_orders"))
 
 
 def _supply_by_nation(spark, sf):
     li, s = _t(spark, sf, "lineitem"), _t(spark, sf, "supplier")
     return li.join(s, li.l_suppkey == s.s_suppkey).groupBy(
-        F.col("s_nationkey").alias("nation"), F.year("l_shipdate").cast("int").alias("year")
+        F.col("s_nationkey").alias("nation"), F.col("l_shipdate").cast("date").alias("day")
     ).agg(F.sum(F.col("l_quantity").cast(B.D)).cast("double").alias("shipped_qty"))
 
 
-@query("join_outer_metrics", W("""SELECT coalesce(a.nation, b.nation) AS nation, coalesce(a.year, b.year) AS year, n_orders, shipped_qty
-    FROM a FULL OUTER JOIN b ON a.nation IS NOT DISTINCT FROM b.nation AND a.year IS NOT DISTINCT FROM b.year""", a=_ORD_NAT, b=_SUP_NAT))
+@query("join_outer_metrics", W("""SELECT coalesce(a.nation, b.nation) AS nation, coalesce(a.day, b.day) AS day, n_orders, shipped_qty
+    FROM a FULL OUTER JOIN b ON a.nation IS NOT DISTINCT FROM b.nation AND a.day IS NOT DISTINCT FROM b.day""", a=_ORD_NAT, b=_SUP_NAT))
 def join_outer_metrics(spark, sf):
-    return J.outer_merge(_orders_by_nation(spark, sf), _supply_by_nation(spark, sf), ["nation", "year"])
+    return J.outer_merge(_orders_by_nation(spark, sf), _supply_by_nation(spark, sf), ["nation", "day"])
 
 
-@query("join_or_only_side", W("""SELECT nation, year, n_orders, CAST(NULL AS DOUBLE) AS shipped_qty FROM a""", a=_ORD_NAT))
+@query("join_or_only_side", W("""SELECT nation, day, n_orders, CAST(NULL AS DOUBLE) AS shipped_qty FROM a""", a=_ORD_NAT))
 def join_or_only_side(spark, sf):
     empty = _supply_by_nation(spark, sf).where(F.lit(False))
-    return J.outer_merge(_orders_by_nation(spark, sf), empty, ["nation", "year"])
+    return J.outer_merge(_orders_by_nation(spark, sf), empty, ["nation", "day"])
 
 
 _ORD_TOT = """SELECT CAST(year(o_orderdate) AS INT) AS year, CASE WHEN month(o_orderdate) <= 6 THEN 'H1' ELSE 'H2' END AS season,
@@ -154,6 +155,9 @@ def join_inner_recon(spark, sf):
 
 
 # ---------------------------------------------------------------- 2.5 aggregations
+_LABELS = ("o_orderstatus", "o_orderpriority")
+
+
 def _profile_sql():
     cols = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False),
             ("o_totalprice", "double", True), ("o_orderdate", "timestamp_ntz", False), ("o_orderpriority", "string", False)]
@@ -161,14 +165,15 @@ def _profile_sql():
     for c, t, num in cols:
         mn = f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
         mx = f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
-        parts.append(f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, "
-                     f"COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing, {mn} AS min_value, {mx} AS max_value FROM orders")
+        parts.append(f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, {len(cols)} AS n_columns, "
+                     f"COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing, {mn} AS min_value, {mx} AS max_value, "
+                     f"{f'COUNT(DISTINCT {c})' if c in _LABELS else 'CAST(NULL AS BIGINT)'} AS n_labels FROM orders")
     return " UNION ALL ".join(parts)
 
 
 @query("agg_profile", _profile_sql())
 def agg_profile(spark, sf):
-    return P.profile(_t(spark, sf, "orders"))
+    return P.profile(_t(spark, sf, "orders"), labels=_LABELS)
 
 
 _LI4 = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -214,20 +219,28 @@ def agg_dup_key(spark, sf):
     return P.duplicate_count(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-_HIST_SQL = rsql("""WITH d AS (SELECT l_returnflag, l_extendedprice AS x FROM lineitem WHERE l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice)),
-r AS (SELECT l_returnflag, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+def _hist_sql(src):
+    """Bins by their edges: a value's bin is the number of inner edges at or below it."""
+    return rsql(f"""WITH d AS ({src}),
+r AS (SELECT g, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
              CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM d GROUP BY 1),
-c AS (SELECT l_returnflag, CAST(least(floor((x - lo) * (20.0 / (hi - lo))), 19) AS INT) AS bin, COUNT(*) AS n
-      FROM d JOIN r USING (l_returnflag) GROUP BY 1, 2),
-g AS (SELECT l_returnflag, lo, hi, CAST(b AS INT) AS bin FROM r, range(0, 20) t(b))
-SELECT g.l_returnflag, g.bin, lo + g.bin * ((hi - lo) / 20.0) AS bin_lo, lo + (g.bin + 1) * ((hi - lo) / 20.0) AS bin_hi,
-       CAST(coalesce(c.n, 0) AS BIGINT) AS n
-FROM g LEFT JOIN c ON g.l_returnflag = c.l_returnflag AND g.bin = c.bin""", ["bin_lo", "bin_hi"])
+e AS (SELECT g, CAST(b AS INT) AS bin, lo + b * ((hi - lo) / 20.0) AS bin_lo,
+             CASE WHEN b = 19 THEN hi ELSE lo + (b + 1) * ((hi - lo) / 20.0) END AS bin_hi FROM r, range(0, 20) t(b)),
+c AS (SELECT e.g, e.bin, COUNT(*) AS n FROM d JOIN e ON d.g = e.g AND x >= bin_lo AND (x < bin_hi OR bin = 19) GROUP BY 1, 2)
+SELECT e.g, e.bin, bin_lo, bin_hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM e LEFT JOIN c ON e.g = c.g AND e.bin = c.bin""", ["bin_lo", "bin_hi"])
 
 
-@query("agg_histogram", _HIST_SQL)
+@query("agg_histogram", _hist_sql("SELECT l_returnflag AS g, l_extendedprice AS x FROM lineitem WHERE NOT isnan(l_extendedprice)"))
 def agg_histogram(spark, sf):
-    return rounded(P.histogram(_t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"], bins=20))
+    h = P.histogram(_t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"], bins=20)
+    return rounded(h.withColumnRenamed("l_returnflag", "g"))
+
+
+@query("agg_histogram_columns", _hist_sql(" UNION ALL ".join(f"SELECT '{c}' AS g, {c} AS x FROM lineitem WHERE NOT isnan({c})" for c in _LI4)))
+def agg_histogram_columns(spark, sf):
+    """Histograms of several columns in one pass."""
+    return rounded(P.histogram(_t(spark, sf, "lineitem"), _LI4, bins=20).withColumnRenamed("column_name", "g"))
 
 
 def _iqr_sql(cols, table):
@@ -250,7 +263,8 @@ def _box_sql(src, col, by):
     return rsql(f"""WITH d AS (SELECT {b}, CAST({col} AS DOUBLE) AS x FROM {src} WHERE {col} IS NOT NULL),
 q AS (SELECT {b}, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM d GROUP BY {b})
 SELECT {b}, any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3,
-       min(x) FILTER (WHERE x >= q1 - 1.5 * (q3 - q1)) AS whisker_lo, max(x) FILTER (WHERE x <= q3 + 1.5 * (q3 - q1)) AS whisker_hi,
+       least(min(x) FILTER (WHERE x >= q1 - 1.5 * (q3 - q1)), any_value(q1)) AS whisker_lo,
+       greatest(max(x) FILTER (WHERE x <= q3 + 1.5 * (q3 - q1)), any_value(q3)) AS whisker_hi,
        COUNT(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers, COUNT(*) AS n
 FROM d JOIN q USING ({b}) GROUP BY {b}""", ["q1", "median", "q3", "whisker_lo", "whisker_hi"])
 
@@ -275,12 +289,12 @@ def agg_box_decade(spark, sf):
     return rounded(P.box_stats(_orders_decade(spark, sf), "o_totalprice", ["decade", "season"]))
 
 
-@query("agg_box_points", W("""SELECT o_orderkey, decade, season, o_totalprice FROM od JOIN
-    (SELECT decade, season, quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.75) AS q3 FROM od GROUP BY 1, 2) q
-    USING (decade, season) WHERE o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)""", od=_ORD_DEC))
+@query("agg_box_points", """SELECT event_id, event_type, value FROM events JOIN
+    (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1) q
+    USING (event_type) WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
 def agg_box_points(spark, sf):
-    pts = P.box_outlier_points(_orders_decade(spark, sf), "o_totalprice", ["decade", "season"])
-    return pts.select("o_orderkey", "decade", "season", "o_totalprice")
+    """Events have values far outside the fences (about one in twenty)."""
+    return P.box_outlier_points(_t(spark, sf, "events").select("event_id", "event_type", "value"), "value", ["event_type"])
 
 
 # production carries at most 7 decimals: summing it as DECIMAL(38,7) is exact
@@ -431,17 +445,19 @@ def sort_keys(spark, sf):
 
 @query("topk_first", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10")
 def topk_first(spark, sf):
-    o = _t(spark, sf, "orders")
-    return o.orderBy("o_orderdate", "o_orderkey").limit(10).select("o_orderkey", "o_orderdate", "o_totalprice")
+    from ..operators.shaping import first_rows
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return first_rows(o, ["o_orderdate", "o_orderkey"], 10)
 
 
 _LI_REST = [c for c in _LI_ALL if c not in ("l_orderkey", "l_linenumber")]
 
 
 @query("dedup_keep_first", f"""SELECT {', '.join(_LI_ALL)} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in _LI_REST)}) AS rn FROM lineitem) WHERE rn = 1""")
+    ORDER BY l_shipdate ASC NULLS LAST, {', '.join(c + ' ASC NULLS LAST' for c in _LI_REST)}) AS rn FROM lineitem) WHERE rn = 1""")
 def dedup_keep_first(spark, sf):
-    return QL.dedup_keep_first(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """One line per (order, line number): the first one shipped."""
+    return QL.dedup_keep_first(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], order=["l_shipdate"])
 
 
 @query("union_frames", "SELECT event_id, user_id, event_type, value FROM events")
@@ -449,7 +465,7 @@ def union_frames(spark, sf):
     from ..operators.shaping import union_all
     e = _t(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     # split by a rule into parts, then concatenate (duplicates kept)
-    parts = [e.where(F.col("event_id") % 3 == k) for k in range(3)]
+    parts = [e.where(F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(3)) == k) for k in range(3)]
     return union_all(parts, schema_of=e)
 
 
@@ -601,16 +617,17 @@ def recon_exceptions(spark, sf):
 _CLEAN_OUT = ["series", "year", "month", "season", *PCOLS, "season_binary", "ordinal", "split", *_SC, "target"]
 
 
-@query("clean_full", rsql(clean_sql(f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), [*PCOLS, *_SC, "target"]))
+@query("clean_full", rsql(clean_sql(f"SELECT {', '.join(_CLEAN_OUT)} FROM clean", FL.DIRTY, source=B.DIRTY_SQL), [*PCOLS, *_SC, "target"]))
 def clean_full(spark, sf):
-    return rounded(FL.clean(B.panel(spark, sf)).select(*_CLEAN_OUT))
+    """A panel with repeated keys, NULLs and NaNs."""
+    return rounded(FL.clean(B.panel_dirty(spark, sf), FL.DIRTY).select(*_CLEAN_OUT))
 
 
 _FEAT_ALL = _CLEAN_OUT + [c for c in FL.FEATURES if c not in _CLEAN_OUT]
 
 
-@query("features_full", rsql(features_sql(f"SELECT {', '.join(_FEAT_ALL)} FROM features"),
+@query("features_full", rsql(features_sql(f"SELECT {', '.join(_FEAT_ALL)} FROM features", FL.DIRTY, source=B.DIRTY_SQL),
                              [*PCOLS, *_SC, "target", "yield_lag1", "yield_lag2", "rainfall_roll3", "temp_roll3",
                               "rain_x_temp", "inf_x_gdp", "harvest_efficiency"]))
 def features_full(spark, sf):
-    return rounded(FL.features(FL.clean(B.panel(spark, sf))).select(*_FEAT_ALL))
+    return rounded(FL.features(FL.clean(B.panel_dirty(spark, sf), FL.DIRTY), FL.DIRTY).select(*_FEAT_ALL))

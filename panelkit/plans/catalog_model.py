@@ -110,7 +110,8 @@ def _naive_scores(spark, sf):
 _SCORES_SQL = " UNION ALL ".join(
     f"SELECT '{m}' AS model, split, series, year, month, target AS y, {c} AS pred FROM features" for m, c in _NAIVE.items())
 _METRICS_SQL = f"""SELECT model, split, COUNT(*) AS n, sqrt(avg((y - pred) * (y - pred))) AS rmse, avg(abs(y - pred)) AS mae,
-    1 - sum((y - pred) * (y - pred)) / nullif(sum(y * y) - sum(y) * sum(y) / COUNT(*), 0) AS r2 FROM ({_SCORES_SQL}) GROUP BY 1, 2"""
+    CASE WHEN var_pop(y) = 0 THEN CAST(sum((y - pred) * (y - pred)) = 0 AS DOUBLE)
+         ELSE 1 - avg((y - pred) * (y - pred)) / var_pop(y) END AS r2 FROM ({_SCORES_SQL}) GROUP BY 1, 2"""
 _WIDE_SQL = f"""SELECT te.model, te.rmse AS test_rmse, te.mae AS test_mae, te.r2 AS test_r2, tr.rmse AS train_rmse, tr.r2 AS train_r2,
     te.rmse - tr.rmse AS gap FROM (SELECT * FROM m WHERE split = 'test') te FULL JOIN (SELECT * FROM m WHERE split = 'train') tr USING (model)"""
 

@@ -70,20 +70,22 @@ def src_rename_coerce(spark, sf):
                            lenient=["acctbal", "nation"])
 
 
-_PATH_SQL = """url || '/' || CASE page_id % 6 WHEN 0 THEN 'paddy_yield_maha' WHEN 1 THEN 'Paddy_Yeild_Yala' WHEN 2 THEN 'production_MAHA'
+# the folder names a season and a metric of its own: only the file's stem counts
+_PATH_SQL = """'/data/maha/production/p' || page_id || '/' || CASE page_id % 6 WHEN 0 THEN 'paddy_yield_maha' WHEN 1 THEN 'Paddy_Yeild_Yala' WHEN 2 THEN 'production_MAHA'
     WHEN 3 THEN 'sown_extent_yala' WHEN 4 THEN 'harvested_extent' ELSE 'notes' END || '.xlsx'"""
 
 
 @query("src_route_files", f"""SELECT page_id, path,
-    CASE WHEN contains(lower(path), 'yeild') OR contains(lower(path), 'yield') THEN 'yield' WHEN contains(lower(path), 'production') THEN 'production' END AS metric_route,
-    CASE WHEN contains(lower(path), 'sown') THEN 'sown' WHEN contains(lower(path), 'harvested') THEN 'harvested' END AS extent_route,
-    {_season_sql('path')} AS season FROM (SELECT page_id, {_PATH_SQL} AS path FROM pages)""")
+    CASE WHEN contains(stem, 'yeild') OR contains(stem, 'yield') THEN 'yield' WHEN contains(stem, 'production') THEN 'production' END AS metric_route,
+    CASE WHEN contains(stem, 'sown') THEN 'sown' WHEN contains(stem, 'harvested') THEN 'harvested' END AS extent_route,
+    {_season_sql('stem')} AS season
+    FROM (SELECT page_id, path, lower(parse_filename(path, true)) AS stem FROM (SELECT page_id, {_PATH_SQL} AS path FROM pages))""")
 def src_route_files(spark, sf):
     p = B.table(spark, sf, "pages")
     k = F.col("page_id") % 6
     stem = (F.when(k == 0, "paddy_yield_maha").when(k == 1, "Paddy_Yeild_Yala").when(k == 2, "production_MAHA")
             .when(k == 3, "sown_extent_yala").when(k == 4, "harvested_extent").otherwise("notes"))
-    p = p.select("page_id", F.concat(F.col("url"), F.lit("/"), stem, F.lit(".xlsx")).alias("path"))
+    p = p.select("page_id", F.concat(F.lit("/data/maha/production/p"), F.col("page_id"), F.lit("/"), stem, F.lit(".xlsx")).alias("path"))
     return p.withColumns(R.route_path("path"))
 
 
@@ -190,14 +192,14 @@ def grid_unpivot_banded(spark, sf):
     return G.unpivot_banded(B.cells(spark, sf))
 
 
-_SIMPLE = W(_EMIT, cells=B.CELLS_SQL, hdr=_HDR_SQL, keys=_KEY_SQL.format(agg="max"), **_body_ctes(1),
+_SIMPLE = W(_EMIT, cells=B.CELLS_SIMPLE_SQL, hdr=_HDR_SQL, keys=_KEY_SQL.format(agg="max"), **_body_ctes(1),
             ycols=f"""SELECT * FROM (SELECT c.file, c.col_idx, {_parse_year_sql('c.value')} AS year FROM cells c JOIN hdr USING (file)
                       WHERE c.row_idx = header_row AND c.value IS NOT NULL AND {_low('c.value')} <> 'district') WHERE year > 1900 AND year < 2100""")
 
 
 @query("grid_unpivot_simple", _SIMPLE)
 def grid_unpivot_simple(spark, sf):
-    return G.unpivot_simple(B.cells(spark, sf))
+    return G.unpivot_simple(B.cells_simple(spark, sf))
 
 
 _POS_COLS = ", ".join(f"max(value) FILTER (WHERE col_idx = {i}) AS {n}" for n, i in G.POSITIONAL.items())

@@ -6,7 +6,7 @@ size checks and the ordinal checkpoint."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -37,6 +37,7 @@ class PanelSpec:
     target_src: str
     target: str = "target"
     split_order: tuple = ()
+    first_by: tuple = ()   # what says which of several rows with one key came first
     ratio: float = 0.85
     impute: dict = field(default_factory=dict)
 
@@ -55,11 +56,14 @@ PANEL = PanelSpec(
     season="season", positive_season="H1", season_codes={"H1": 0, "H2": 1},
     rainfall="rainfall", temperature="temperature", gdp="gdp", inflation="inflation",
     sown="sown", harvested="harvested", target_src="production",
-    split_order=("year", "month", "series"),
+    split_order=("year", "month", "series"), first_by=("month",),  # its keys don't repeat
     impute={"rainfall": "median", "inflation": "median", "temperature": "mean", "gdp": "median",
             "sown": "mean", "harvested": "mean", "production": "mean"},
 )
 
+# The same with an ingest ordinal, for input whose keys repeat.
+DIRTY = replace(PANEL, first_by=("seq",))
+
 # Feature names (fixed values of the reference's feature table).
 FEATURES = [
     "season_binary", "rainfall_scaled", "temperature_scaled", "gdp_scaled", "inflation_scaled",
@@ -80,7 +84,7 @@ def clean(df: DataFrame, spec: PanelSpec = PANEL, method: str | None = None, fit
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
     train = F.col("split") == "train"
-    d = QL.dedup_keep_first(df, spec.keys)
+    d = QL.dedup_keep_first(df, spec.keys, spec.first_by)
     if fit_on == "train":
         d = SP.split_chrono(d, list(spec.split_order), spec.ratio)
     d = d.persist(StorageLevel.MEMORY_AND_DISK)

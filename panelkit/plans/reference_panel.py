@@ -20,9 +20,10 @@ SPEC = PanelSpec(
     season="season", positive_season="Maha", season_codes=SEASON_CODES,
     rainfall="rainfall_mm", temperature="temperature_c", gdp="gdp_billion_usd", inflation="inflation_pct",
     sown="sown_000_acres", harvested="harvested_000_acres", target_src="production_000_mt",
-    target="target_yield_production", split_order=("year", "season_code"), ratio=0.85,
+    target="target_yield_production", split_order=("year", "season_code"), first_by=("season_code",), ratio=0.85,
 )
 
+# Feature names (fixed values of the reference's feature table).
 FEATURES = [
     "season_binary", "rainfall_mm_scaled", "temperature_c_scaled", "gdp_billion_usd_scaled", "inflation_pct_scaled",
     "sown_000_acres_scaled", "harvested_000_acres_scaled", "yield_lag1", "yield_lag2", "rainfall_roll3", "temp_roll3",

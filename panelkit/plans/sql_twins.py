@@ -15,8 +15,9 @@ def _all_cols_panel():
 def clean_ctes(spec: PanelSpec = PANEL, src: str = "panel") -> dict:
     cols = _all_cols_panel()
     keys = list(spec.keys)
-    rest = [c for c in cols if c not in keys]
-    order = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
+    rest = [*spec.first_by, *[c for c in cols if c not in keys]]
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in rest)
+    real = ", ".join(f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS {c}" for c in spec.impute)
     med = [c for c, m in spec.impute.items() if m == "median"]
     mean = [c for c, m in spec.impute.items() if m == "mean"]
     fills = ", ".join([f"quantile_cont({c}, 0.5) AS {c}__fill" for c in med] + [f"avg({c}) AS {c}__fill" for c in mean])
@@ -34,7 +35,7 @@ def clean_ctes(spec: PanelSpec = PANEL, src: str = "panel") -> dict:
         f"avg({c}) AS {c}__m, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS {c}__s" for c in cont)
     scaled = ", ".join(f"({c} - p.{c}__m) / p.{c}__s AS {c}_scaled" for c in cont)
     return {
-        "c_dedup": f"SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS __rn FROM {src}) WHERE __rn = 1",
+        "c_dedup": f"SELECT * EXCLUDE (__rn) REPLACE ({real}) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS __rn FROM {src}) WHERE __rn = 1",
         "c_imp": f"SELECT d.* REPLACE ({imp_rep}) FROM c_dedup d, (SELECT {fills} FROM c_dedup) s",
         "c_win": f"SELECT i.* REPLACE ({win_rep}) FROM c_imp i, (SELECT {bnd} FROM c_imp) b",
         "c_enc": f"SELECT *, CASE WHEN upper(left(trim({spec.season}), 1)) || lower(substr(trim({spec.season}), 2)) = '{pos}' THEN 1 ELSE 0 END AS season_binary FROM c_win",
@@ -71,9 +72,9 @@ def feature_ctes(spec: PanelSpec = PANEL, src: str = "clean") -> dict:
     }
 
 
-def clean_sql(body: str, spec: PanelSpec = PANEL, **extra) -> str:
-    return with_ctes(body, panel=PANEL_SQL, **clean_ctes(spec), **extra)
+def clean_sql(body: str, spec: PanelSpec = PANEL, source: str = PANEL_SQL, **extra) -> str:
+    return with_ctes(body, panel=source, **clean_ctes(spec), **extra)
 
 
-def features_sql(body: str, spec: PanelSpec = PANEL, **extra) -> str:
-    return with_ctes(body, panel=PANEL_SQL, **clean_ctes(spec), **feature_ctes(spec), **extra)
+def features_sql(body: str, spec: PanelSpec = PANEL, source: str = PANEL_SQL, **extra) -> str:
+    return with_ctes(body, panel=source, **clean_ctes(spec), **feature_ctes(spec), **extra)

@@ -45,11 +45,17 @@ def rename_coerce(df: DataFrame, headers: dict, strict_int=(), labels=(), lenien
     return out.withColumns(conv)
 
 
+def file_stem(path_col):
+    """File name without its folders and its last suffix."""
+    name = F.regexp_extract(F.col(path_col) if isinstance(path_col, str) else path_col, r"([^/\\\\]*)$", 1)
+    return F.regexp_replace(name, r"(.)\.[^.]*$", "$1")
+
+
 def route_path(path_col) -> dict:
-    """Routing columns derived from a file path: metric family, extent
-    family and season, by substring of the lower-cased name (first rule
-    that matches wins)."""
-    p = F.lower(F.col(path_col) if isinstance(path_col, str) else path_col)
+    """Routing columns derived from a file's stem (its name without folders and
+    without the last suffix): metric family, extent family and season, by
+    substring of the lower-cased stem (first rule that matches wins)."""
+    p = F.lower(file_stem(path_col))
     metric = F.when(p.contains("yeild") | p.contains("yield"), "yield").when(p.contains("production"), "production")
     extent = F.when(p.contains("sown"), "sown").when(p.contains("harvested"), "harvested")
     season = F.when(p.contains("maha"), "Maha").when(p.contains("yala"), "Yala").otherwise("Unknown")

@@ -73,7 +73,7 @@ def test_impute_mixed_median_and_mean_matches_pandas(spark):
     pdf = pd.DataFrame({"a": a, "b": b})
     df = spark.createDataFrame([(None if np.isnan(x) else float(x), None if np.isnan(y) else float(y))
                                 for x, y in zip(a, b)], "a double, b double")
-    for method in ("bracket", "rank"):
+    for method in ("histogram", "rank"):
         out = QL.impute(df, {"a": "median", "b": "mean"}, method=method).toPandas()
         exp = pdf.fillna({"a": pdf["a"].median(), "b": pdf["b"].mean()})
         assert np.allclose(np.sort(out["a"].to_numpy()), np.sort(exp["a"].to_numpy()))
