@@ -104,39 +104,74 @@ def pred_vs_actual(scores: DataFrame, keys, models) -> DataFrame:
 
 
 # ---------------------------------------------------------------- grid search
+# The searched parameters of each family.  Spark's trees have no counterpart of a minimum node
+# size before a split or of a leaf count, so those two axes are absent.
+GRIDS = {
+    "random_forest": {"num_trees": [50, 100, 200], "max_depth": [3, 5, 8, 12, None], "min_leaf": [1, 2, 4]},
+    "boosted_trees": {"n_iter": [50, 100, 150], "max_depth": [3, 5, 7], "rate": [0.03, 0.05, 0.1]},
+    "mlp": {"hidden": [(64, 32), (128, 64, 32), (64, 64, 32)], "alpha": [0.001, 0.01, 0.1], "rate": [0.005, 0.01]},
+}
+
+
 def grid(params: dict) -> list[dict]:
     names = list(params)
     return [dict(zip(names, vals)) for vals in itertools.product(*[params[n] for n in names])]
 
 
-def grid_search(folds: DataFrame, make_pipeline, combos: list[dict], label: str, n_folds: int, parallelism: int = 4) -> DataFrame:
-    """``folds`` is the output of ``expanding_folds`` (fold, role, rows...).
-    Fit every combination on every fold's train rows and score RMSE on its
-    test rows.  Returns (combo, params json, fold, rmse)."""
-    spark = folds.sparkSession
-    cached = folds.persist(StorageLevel.MEMORY_AND_DISK)
+def fitter(family: str, features, label: str):
+    """``fit(train, **params) -> (rows -> rows with a prediction)`` for a family of models."""
+    if family == "mlp":
+        return lambda train, **kw: NeuralModel.fit(train, features, label, **kw).transform
+    make = {"ols": ols, "random_forest": random_forest, "boosted_trees": boosted_trees}[family]
+    return lambda train, **kw: make(features, label, **kw).fit(train).transform
+
+
+def grid_search(base: DataFrame, fit, combos: list[dict], label: str, n_folds: int = 5, ordinal: str = "ordinal",
+                parallelism: int = 4) -> DataFrame:
+    """Mean and per-fold RMSE of every combination over expanding folds: (combo, params json, fold, rmse).
+
+    ``base`` has a dense ordinal; a fold is a range of it (fold i tests on the i-th of the last ``n_folds`` blocks of
+    n // (n_folds + 1) rows and trains on all rows before), so the rows are kept once and never multiplied."""
+    spark = base.sparkSession
+    cached = base.persist(StorageLevel.MEMORY_AND_DISK)
+    low, n = cached.agg(F.min(ordinal), F.count(F.lit(1))).first()
+    size = n // (n_folds + 1)
 
     def run(task):
         ci, fold = task
-        part = cached.where(F.col("fold") == fold)
-        model = make_pipeline(**combos[ci]).fit(part.where(F.col("role") == "train"))
-        pred = model.transform(part.where(F.col("role") == "test"))
+        start = low + n - (n_folds - fold) * size
+        o = F.col(ordinal)
+        predict = fit(cached.where(o < start), **combos[ci])
         e = F.col(label) - F.col(PRED)
-        rmse = pred.agg(F.sqrt(F.avg(e * e)).alias("rmse")).first()["rmse"]
-        return (ci, json.dumps(combos[ci], sort_keys=True), fold, float(rmse))
+        rmse = predict(cached.where((o >= start) & (o < start + size))).agg(F.sqrt(F.avg(e * e)).alias("rmse")).first()["rmse"]
+        return (ci, json.dumps(combos[ci], sort_keys=True), fold, None if rmse is None else float(rmse))
+
+    try:
+        tasks = [(ci, f) for ci in range(len(combos)) for f in range(n_folds)]
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            rows = list(pool.map(run, tasks))
+    finally:
+        cached.unpersist()
+    return spark.createDataFrame(rows, "combo int, params string, fold int, rmse double")
 
-    tasks = [(ci, f) for ci in range(len(combos)) for f in range(n_folds)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, tasks))
-    cached.unpersist()
-    schema = "combo int, params string, fold int, rmse double"
-    return spark.createDataFrame(rows, schema)
+
+def mean_scores(scores: DataFrame) -> DataFrame:
+    return scores.groupBy("combo", "params").agg(F.avg("rmse").alias("cv_rmse"))
 
 
 def best_combo(scores: DataFrame) -> DataFrame:
-    """Mean fold RMSE per combination, and the best one (ties -> lowest id)."""
-    mean = scores.groupBy("combo", "params").agg(F.avg("rmse").alias("cv_rmse"))
-    return mean.agg(F.min_by(F.struct("combo", "params", "cv_rmse"), F.struct("cv_rmse", "combo")).alias("b")).select("b.*")
+    """The combination of least mean fold RMSE (ties -> lowest id)."""
+    return mean_scores(scores).agg(F.min_by(F.struct("combo", "params", "cv_rmse"), F.struct("cv_rmse", "combo")).alias("b")).select("b.*")
+
+
+def tune(base: DataFrame, family: str, features, label: str, params: dict | None = None, n_folds: int = 5):
+    """Search a family's grid (the full one unless ``params`` is given) and refit the best combination on all of
+    ``base``.  Returns (predict, best parameters, scores)."""
+    combos = grid(params or GRIDS[family])
+    fit = fitter(family, features, label)
+    scores = grid_search(base, fit, combos, label, n_folds)
+    best = combos[best_combo(scores).first()["combo"]]
+    return fit(base, **best), best, scores
 
 
 # ---------------------------------------------------------------- importances
@@ -205,7 +240,7 @@ def _grad_fn(shapes, label):
 
 
 def fit_mlp(train: DataFrame, features, label: str, hidden=(64, 32), alpha: float = 1e-3, rate: float = 0.01,
-            max_iter: int = 200, seed: int = 42, valid: DataFrame | None = None, patience: int = 10):
+            max_iter: int = 800, seed: int = 42, valid: DataFrame | None = None, patience: int = 10):
     """Full-batch Adam on the squared error + L2 (``alpha``).  Inputs should be
     scaled.  Each iteration is one distributed pass (one Spark job): every
     partition emits its gradient and error sums, which are summed element-wise
@@ -278,3 +313,64 @@ def mlp_predict(model: dict, df: DataFrame, name: str = PRED) -> DataFrame:
         return pd.Series(a[:, 0])
 
     return df.withColumn(name, _pred(F.array(*[F.col(c).cast("double") for c in model["features"]])))
+
+
+class NeuralModel:
+    """The network with the scaling of its inputs and target, fitted on training rows; their last tenth (by ``ordinal``) stops the training early."""
+
+    def __init__(self, net: dict, scale: dict, features, label: str):
+        self.net, self.scale, self.features, self.label = net, scale, list(features), label
+
+    @staticmethod
+    def _scaled(df: DataFrame, scale: dict) -> DataFrame:
+        return df.withColumns({f"__z_{c}": (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in scale.items()})
+
+    @classmethod
+    def fit(cls, train: DataFrame, features, label: str, ordinal: str = "ordinal", patience: int = 10, **kw) -> "NeuralModel":
+        cols = [*features, label]
+        r = train.agg(*[x for i, c in enumerate(cols) for x in (F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))],
+                      F.percentile_approx(ordinal, 0.9).alias("cut")).first()
+        scale = {c: (float(r[f"m{i}"]), float(r[f"s{i}"]) or 1.0) for i, c in enumerate(cols)}
+        z = cls._scaled(train, scale)
+        net = fit_mlp(z.where(F.col(ordinal) < r["cut"]), [f"__z_{c}" for c in features], f"__z_{label}",
+                      valid=z.where(F.col(ordinal) >= r["cut"]), patience=patience, **kw)
+        return cls(net, scale, features, label)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        m, s = self.scale[self.label]
+        out = mlp_predict(self.net, self._scaled(df, {c: self.scale[c] for c in self.features}), "__z")
+        return out.withColumn(PRED, F.col("__z") * s + m).drop("__z", *[f"__z_{c}" for c in self.features])
+
+    def to_json(self) -> str:
+        net = {"weights": self.net["weights"].tolist(), "shapes": self.net["shapes"], "features": self.net["features"]}
+        return json.dumps({"net": net, "scale": self.scale, "features": self.features, "label": self.label})
+
+    @classmethod
+    def from_json(cls, text: str) -> "NeuralModel":
+        d = json.loads(text)
+        net = {"weights": np.array(d["net"]["weights"]), "shapes": [tuple(x) for x in d["net"]["shapes"]], "features": d["net"]["features"]}
+        return cls(net, {k: tuple(v) for k, v in d["scale"].items()}, d["features"], d["label"])
+
+
+# ---------------------------------------------------------------- bundle
+def save_bundle(spark, path: str, models: dict, features, board: DataFrame) -> None:
+    """Write all models, the feature order, and the leaderboard with the best model first."""
+    for name, model in models.items():
+        if isinstance(model, NeuralModel):
+            spark.createDataFrame([(model.to_json(),)], "model string").write.mode("overwrite").parquet(f"{path}/models/{name}")
+        else:
+            model.write().overwrite().save(f"{path}/models/{name}")
+    spark.createDataFrame(list(enumerate(features)), "position int, feature string").write.mode("overwrite").parquet(f"{path}/features")
+    board.write.mode("overwrite").parquet(f"{path}/metrics")
+
+
+def load_bundle(spark, path: str):
+    """(models by name, features in order, leaderboard, name of the best model)"""
+    board = spark.read.parquet(f"{path}/metrics")
+    features = [r.feature for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
+    models = {}
+    for r in board.select("model").collect():  # one row per model
+        where = f"{path}/models/{r.model}"
+        models[r.model] = (NeuralModel.from_json(spark.read.parquet(where).first().model) if r.model == "mlp"
+                           else PipelineModel.load(where))
+    return models, features, board, rank_models(board).first().model

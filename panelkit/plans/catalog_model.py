@@ -152,82 +152,105 @@ def ml_ols(spark, sf):
     return rounded(M.one_feature_ols(f.where(F.col("split") == "train"), "harvested_scaled", LABEL))
 
 
-def _fit_and_score(spark, sf, name, pipe):
+# One setting per family for the queries that fit without a search; ``ml.tune`` searches the full grids.
+SETTINGS = {
+    "ols": {}, "random_forest": {"num_trees": 100, "max_depth": 8},
+    "boosted_trees": {"n_iter": 50, "max_depth": 3, "rate": 0.1, "min_leaf": 2},
+    "mlp": {"hidden": (64, 32), "alpha": 1e-3, "rate": 0.01},
+}
+_MAKE = {"ols": M.ols, "random_forest": M.random_forest, "boosted_trees": M.boosted_trees}
+
+
+def _fit(f, family):
+    train = f.where(F.col("split") == "train")
+    if family == "mlp":
+        return M.NeuralModel.fit(train, FEATS, LABEL, **SETTINGS["mlp"])
+    return _MAKE[family](FEATS, LABEL, **SETTINGS[family]).fit(train)
+
+
+def _scores(f, models, keys=()):
+    parts = [M.scored(name, m.transform(f), M.PRED, LABEL, keys=keys) for name, m in models.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _one(spark, sf, family):
+    f = feature_table(spark, sf)
+    return M.metrics_wide(_scores(f, {family: _fit(f, family)}))
+
+
+def _all(spark, sf):
     f = feature_table(spark, sf)
-    model = pipe.fit(f.where(F.col("split") == "train"))
-    s = M.scored(name, model.transform(f), M.PRED, LABEL)
-    return M.metrics_wide(s), model
+    return f, {name: _fit(f, name) for name in SETTINGS}
 
 
 @query("ml_ols_full")
 def ml_ols_full(spark, sf):
-    return _fit_and_score(spark, sf, "linear_regression", M.ols(FEATS, LABEL))[0]
+    return _one(spark, sf, "ols")
 
 
 @query("ml_random_forest")
 def ml_random_forest(spark, sf):
-    return _fit_and_score(spark, sf, "random_forest", M.random_forest(FEATS, LABEL, num_trees=100, max_depth=8))[0]
+    return _one(spark, sf, "random_forest")
 
 
 @query("ml_boosted_trees")
 def ml_boosted_trees(spark, sf):
-    return _fit_and_score(spark, sf, "boosted_trees", M.boosted_trees(FEATS, LABEL, n_iter=50, max_depth=3, rate=0.1, min_leaf=2))[0]
+    return _one(spark, sf, "boosted_trees")
 
 
 @query("ml_mlp")
 def ml_mlp(spark, sf):
-    f = feature_table(spark, sf)
-    train = f.where(F.col("split") == "train")
-    # all inputs scaled with train statistics (lags / rolling means included)
-    raw = [c for c in FEATS if not c.endswith("_scaled") and c not in ("season_binary", "drought_flag")]
-    params = SP.scale_fit(train, raw + [LABEL])
-    sc = SP.scale_apply(f, params, raw + [LABEL], suffix="_z")
-    inputs = [c if c.endswith("_scaled") or c in ("season_binary", "drought_flag") else f"{c}_z" for c in FEATS]
-    n_tail = sc.where(F.col("split") == "train").agg(F.max("ordinal").alias("m")).first()["m"]
-    cut = int(n_tail * 0.9)
-    tr = sc.where((F.col("split") == "train") & (F.col("ordinal") < cut))
-    va = sc.where((F.col("split") == "train") & (F.col("ordinal") >= cut))
-    model = M.fit_mlp(tr, inputs, f"{LABEL}_z", hidden=(64, 32), alpha=1e-3, rate=0.01, max_iter=40, valid=va, patience=8)
-    pr = params.where(F.col("column_name") == LABEL).select(F.col("mean").alias("__m"), F.col("std").alias("__s"))
-    out = J.attach_row(M.mlp_predict(model, sc, "__z"), pr).withColumn(M.PRED, F.col("__z") * F.col("__s") + F.col("__m"))
-    return M.metrics_wide(M.scored("mlp", out, M.PRED, LABEL))
+    return _one(spark, sf, "mlp")
+
+
+@query("ml_leaderboard")
+def ml_leaderboard(spark, sf):
+    """The four models on one holdout, best first."""
+    f, models = _all(spark, sf)
+    return M.rank_models(M.metrics_wide(_scores(f, models)))
+
+
+@query("ml_holdout_predictions")
+def ml_holdout_predictions(spark, sf):
+    """Holdout rows: actual value and the four models' predictions."""
+    f, models = _all(spark, sf)
+    keys = ["series", "year", "month"]
+    return M.pred_vs_actual(_scores(f, models, keys), keys, list(models))
 
 
 @query("cv_grid_search")
 def cv_grid_search(spark, sf):
+    """Every combination's mean score over expanding folds.  The operator's default is the full grid of each family; this query
+    searches eight forests, because all 45 take minutes of fits on a two-thousand-row panel."""
     f = feature_table(spark, sf).where(F.col("split") == "train")
-    folds = SP.expanding_folds(f, "ordinal", 5)
     combos = M.grid({"num_trees": [20, 50], "max_depth": [3, 5], "min_leaf": [1, 2]})
-    scores = M.grid_search(folds, lambda **kw: M.random_forest(FEATS, LABEL, **kw), combos, LABEL, 5)
-    return M.best_combo(scores)
+    return M.mean_scores(M.grid_search(f, M.fitter("random_forest", FEATS, LABEL), combos, LABEL))
 
 
 @query("ml_importance_impurity")
 def ml_importance_impurity(spark, sf):
-    _, model = _fit_and_score(spark, sf, "random_forest", M.random_forest(FEATS, LABEL, num_trees=50, max_depth=8))
-    return M.impurity_importance(spark, model, FEATS)
+    return M.impurity_importance(spark, _fit(feature_table(spark, sf), "random_forest"), FEATS)
 
 
 @query("ml_importance_splits")
 def ml_importance_splits(spark, sf):
-    f = feature_table(spark, sf)
-    model = M.boosted_trees(FEATS, LABEL, n_iter=30, max_depth=3, rate=0.1, min_leaf=2).fit(f.where(F.col("split") == "train"))
     path = R.scratch_path(spark, "gbt-model")
-    model.write().overwrite().save(path)
+    _fit(feature_table(spark, sf), "boosted_trees").write().overwrite().save(path)
     return M.split_importance(spark, path, FEATS)
 
 
 @query("ml_save_load")
 def ml_save_load(spark, sf):
-    from pyspark.ml import PipelineModel
-
-    f = feature_table(spark, sf)
-    model = M.ols(FEATS, LABEL).fit(f.where(F.col("split") == "train"))
-    path = R.scratch_path(spark, "ols-model")
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    first5 = f.orderBy("ordinal").limit(5)
-    return loaded.transform(first5).select("series", "year", "month", M.PRED)
+    """All four models, the feature order and the leaderboard written and read again; the best one predicts the first five rows."""
+    f, models = _all(spark, sf)
+    path = R.scratch_path(spark, "bundle")
+    M.save_bundle(spark, path, models, FEATS, M.metrics_wide(_scores(f, models)))
+    again, features, _, best = M.load_bundle(spark, path)
+    rows = f.select("series", "year", "month", "ordinal", *features).orderBy("ordinal").limit(5)
+    return again[best].transform(rows).select("series", "year", "month", F.lit(best).alias("model"), M.PRED)
 
 
 # ---------------------------------------------------------------- scenarios
