@@ -76,7 +76,15 @@ def saved(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
     path = scratch(spark, label)
     w = df.write
     (w.partitionBy(*by) if by else w).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete scratch tables that ``saved`` returned and no later plan reads."""
+    for t in tables:
+        drop_folder(t.sparkSession, t.scratch_path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -89,10 +89,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, k: int = 5)
     prints = C.saved(_fingerprints(src, size, k, short).select("doc_id", "tag", "n", "fps"), "prints")
     met = (prints.select("doc_id", "tag", F.explode("fps").alias("fp")).join(wanted, "fp", "left_semi")
            .select("doc_id", "tag").distinct())
-    met = C.saved(met, "met").toDF("d", "t")
-    near = src.join(met, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")), "left_semi").distinct()
+    met = C.saved(met, "met")
+    near = src.join(met.toDF("d", "t"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")), "left_semi").distinct()
     # one row for rows that repeat: the results are joined back to each
     hits = C.saved(_windows(near, lengths or [size]).join(windows.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi"), "hits")
+    C.drop(met, wanted)
 
     span = Window.partitionBy("doc_id", "tag").orderBy("s", "m").rowsBetween(Window.unboundedPreceding, -1)
     gain = F.greatest(F.lit(0), F.col("s") + F.col("m") - F.greatest(F.col("s"), F.coalesce(F.max(F.col("s") + F.col("m")).over(span), F.lit(0))))
