@@ -105,8 +105,8 @@ def _word_counts(src: DataFrame) -> DataFrame:
             .groupBy("left").agg(F.count(F.lit(1)).alias("total")))
 
 
-def _discovered(src: DataFrame, base: DataFrame, context: int, rounds: int, support: int, accept: float) -> DataFrame:
-    """Spans (doc_id, tag, kind, s, e) that bootstrapping adds."""
+def _discovered(src: DataFrame, base: DataFrame, context: int, rounds: int, support: int, accept: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Spans (doc_id, tag, kind, s, e) that bootstrapping adds, and the scratch tables that they are read from."""
     tokens = _trimmed(_matches(src, {"any": CANDIDATE}, context))
     kinds = F.array(*[F.when(F.col("value").rlike(p), F.lit(k)) for k, p in SHAPES.items()])
     tokens = tokens.select("*", F.explode(F.array_compact(kinds)).alias("kind"))
@@ -124,6 +124,7 @@ def _discovered(src: DataFrame, base: DataFrame, context: int, rounds: int, supp
     edges = edges.groupBy("kind", "left", "value").agg(F.max("seed").alias("seed")).join(patterns, ["kind", "left"])
     edges = C.saved(edges.select("kind", "left", "value", "seed", "total"), "edges")
 
+    made = [tokens, patterns, edges]
     scores = edges.groupBy("kind", "value").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
     for _ in range(rounds):
         trust = (edges.drop("seed").join(scores, ["kind", "value"]).groupBy("kind", "left")
@@ -132,11 +133,12 @@ def _discovered(src: DataFrame, base: DataFrame, context: int, rounds: int, supp
         scores = (edges.join(trust, ["kind", "left"]).groupBy("kind", "value").agg(F.max("seed").alias("seed"), (1 - F.exp(miss)).alias("or"))
                   .select("kind", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.col("or")).alias("score")))
         scores = C.saved(scores, "scores")
+        made.append(scores)
     good = scores.where(~F.col("seed") & (F.col("score") >= accept)).select("kind", F.col("value").alias("v"), "score")
     rank = F.struct(F.col("score"), (-F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))).alias("order"))
     # of a value's kinds the best
     chosen = good.groupBy("v").agg(F.max_by("kind", rank).alias("kind"))
-    return tokens.withColumn("v", F.lower("value")).join(chosen, ["v", "kind"], "left_semi").select("doc_id", "tag", "kind", "s", "e")
+    return tokens.withColumn("v", F.lower("value")).join(chosen, ["v", "kind"], "left_semi").select("doc_id", "tag", "kind", "s", "e"), made
 
 
 def find_spans(docs: DataFrame, context: int = 64, rounds: int = 3, support: int = 3, accept: float = 0.6) -> DataFrame:
@@ -144,9 +146,11 @@ def find_spans(docs: DataFrame, context: int = 64, rounds: int = 3, support: int
     src = C.texts(docs).withColumn("tag", F.xxhash64("text"))
     base = _matches(src, PATTERNS, context)
     base = C.saved(base.where(_valid(F.col("kind"), F.col("value"))).drop("i"), "base")
-    more = _discovered(src, base, context, rounds, support, accept)
-    return C.saved(base.select("doc_id", "tag", "kind", "s", "e", F.lit(True).alias("base"))
-                   .union(more.withColumn("base", F.lit(False))), "spans")
+    more, made = _discovered(src, base, context, rounds, support, accept)
+    spans = C.saved(base.select("doc_id", "tag", "kind", "s", "e", F.lit(True).alias("base"))
+                    .union(more.withColumn("base", F.lit(False))), "spans")
+    C.drop(base, *made)
+    return spans
 
 
 def _order() -> Column:
