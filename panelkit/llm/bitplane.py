@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.llm import common as C
-from panelkit.llm.wordcache import WordIds
+from panelkit.llm.wordcache import word_ids
 
 CHUNK = T.StructType([
     T.StructField("shard", T.LongType()), T.StructField("block", T.LongType()),
@@ -124,7 +124,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1
     def encode(batches):
         from pyspark import TaskContext
 
-        words = WordIds(tokenizer, cache_words)
+        words = word_ids(tokenizer, cache_words)
         out = _Writer(TaskContext.get().partitionId(), block_ids, layout, level)
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for b in batches:

@@ -2,7 +2,7 @@
 
 Chunks: a rolling hash of the last eight bytes decides where a text is cut (at code point borders only, about every
 ``2 ** bits`` bytes), so copied passages are cut alike wherever they stand.  A chunk's *core* runs from its first
-to its last safe place: a visible ASCII character before ASCII white space, where byte-level pre-tokenization
+to its last safe place: a visible ASCII or accented Latin-1 character before ASCII white space, where byte-level pre-tokenization
 always splits.  The ids of a core depend on its bytes alone and are encoded once and reused.
 
 Joins: between two cores lies a join (the end of one chunk, the start of the next, and whole chunks without a safe place).
@@ -10,6 +10,9 @@ It is re-encoded on its own, then again with one more piece on either side; if t
 the join's ids end to end, the join is widened by those pieces and the neighbouring cores are cut back, until both agree
 or the text's ends are reached.  The result equals encoding the whole text.
 
+Within a core or a join the library sees each *piece* (white space and the visible run after it) once while a worker's
+second memo holds it; text with unusual white space, control characters or special tokens' strings goes to the library as it is.
+
 Routing: documents that share chunks should meet.  Each goes to the task of its least chunk hash, and documents
 lie sorted by that hash in a task, so a chunk is encoded once where its documents meet and is
 forgotten when the memo is full (``memo_bytes``).  A hash shared by more than half a task's documents is dealt over several tasks:
@@ -26,6 +29,7 @@ doc_id is kept; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.llm import common as C
+from panelkit.llm.wordcache import TAIL, Memo
 
 WINDOW = 8
 FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -40,6 +45,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 13, 32]] = True
 _SEEN = np.zeros(256, bool)
 _SEEN[33:127] = True
+#: Pieces: white space and what follows it.  Their borders are safe places.
+_PIECE = re.compile(rb"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: A space or none and a run of ASCII and accented Latin-1 letters.
+_LETTER_RUN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: What keeps a text from being split into pieces: other white space, control characters, the start of a special token.
+_ODD = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]|\xc2[\x80-\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _ENCODERS: dict[tuple, "ChunkEncoder"] = {}
 
 ROUTE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("route", T.LongType())])
@@ -66,12 +77,28 @@ def route_of(text: bytes, bits: int) -> int:
     raw = np.frombuffer(text, np.uint8)
     _, h = cuts(raw, bits)
     if len(h):
-        return int((h.min() * np.uint64(0xD6E8FEB86659FD93)).view(np.int64))
+        return int((h.min(keepdims=True) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)[0])
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
+def _byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte: visible Latin-1 bytes
+    stand for themselves, the others for the code points from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+_SPELLED = {b: c for c, b in _LETTERS.items()}
+
+
+def _token_bytes(token: str) -> bytes:
+    return bytes(_LETTERS[c] for c in token) if all(c in _LETTERS for c in token) else token.encode()
+
+
 class ChunkEncoder:
-    def __init__(self, path: str, bits: int, memo_bytes: int):
+    def __init__(self, path: str, bits: int, memo_bytes: int, pieces: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -80,14 +107,38 @@ class ChunkEncoder:
         if any(t.lstrip or t.rstrip or t.normalized or any(c.isspace() for c in t.content)
                for t in self.tokenizer.get_added_tokens_decoder().values()) or self.tokenizer.normalizer is not None:
             raise ValueError(f"{path}: text around white space is not independent; chunks cannot be reused")
+        for probe in (" naïve", "Écoles"):
+            if [t.id for t in self.tokenizer.model.tokenize(probe.encode().decode("latin-1").translate(_SPELLED))] != self.tokenizer.encode(probe).ids:
+                raise ValueError(f"{path}: not a byte-level vocabulary")
         self.bits, self.limit = bits, memo_bytes
-        self.memo: dict[bytes, list[int]] = {}
+        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces = Memo(self._piece, pieces)
+        self.memo: dict[bytes, bytes] = {}
+        n = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.bytes_of = [_token_bytes(self.tokenizer.id_to_token(i) or "") for i in range(n)]
+        self.decimal = [str(i) for i in range(n)]
         self.held = self.chunks = self.encoded = 0
 
-    def library(self, text: bytes) -> list[int]:
-        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids if text else []
-
-    def core(self, chunk: bytes, first: int, last: int) -> list[int]:
+    def _library(self, text: bytes) -> bytes:
+        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids if text else []
+        return np.array(ids, "<u4").tobytes()
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Punctuation after a letter or digit is a pre-token of its own (but for the apostrophe, which joins endings)."""
+        word = piece.rstrip(TAIL)
+        if word != piece and word[-1:].isalnum():
+            return self.pieces[word] + self.pieces[piece[len(word):]]
+        if _LETTER_RUN.fullmatch(piece):  # one pre-token: straight to the library's merge model
+            return np.array([t.id for t in self.tokenizer.model.tokenize(piece.decode("latin-1").translate(_SPELLED))], "<u4").tobytes()
+        return self._library(piece)
+
+    def library(self, text: bytes) -> bytes:
+        """Ids (little-endian 32-bit) of a text that starts and ends at safe places (or at the document's ends)."""
+        if _ODD.search(text) or any(m in text for m in self.marks):
+            return self._library(text)
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
+
+    def core(self, chunk: bytes, first: int, last: int) -> bytes:
         """Ids of a chunk's core, which is chunk[first:last]."""
         self.chunks += 1
         ids = self.memo.get(chunk)
@@ -98,10 +149,10 @@ class ChunkEncoder:
                 self.memo.clear()
                 self.held = 0
             self.memo[chunk] = ids
-            self.held += len(chunk) + 40 * len(ids) + 200
+            self.held += len(chunk) + len(ids) + 200
         return ids
 
-    def join(self, text: bytes, safe: np.ndarray, a: int, b: int, low: int, high: int) -> tuple[int, int, list[int]]:
+    def join(self, text: bytes, safe: np.ndarray, a: int, b: int, low: int, high: int) -> tuple[int, int, bytes]:
         """Ids of the join between safe[a] and safe[b] (indices), widened until the wider encoding agrees;
         ``low`` and ``high`` bound how far.  Returns the places reached and the ids."""
         ids = self.library(text[safe[a]:safe[b]])
@@ -114,36 +165,42 @@ class ChunkEncoder:
                 return a, b, ids
             a, b, ids = wide_a, wide_b, wide
 
-    def encode(self, text: bytes) -> list[int]:
+    def decode(self, ids: list[int]) -> str:
+        """The tokens' bytes end to end; what is no UTF-8 becomes U+FFFD, as the library does it."""
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+
+    def encode(self, text: bytes) -> bytes:
+        """Ids (little-endian 32-bit) of a whole text."""
         raw = np.frombuffer(text, np.uint8)
         borders, _ = cuts(raw, self.bits)
         if len(borders) == 2:
             return self.library(text)
-        inner = np.flatnonzero(_SEEN[raw[:-1]] & _SPACE[raw[1:]]) + 1
+        seen = _SEEN[raw[:-1]]
+        seen[1:] |= (raw[:-2] == 0xC3) & (raw[1:-1] >= 0x80)  # U+00C0 to U+00FF: no white space among them
+        inner = np.flatnonzero(seen & _SPACE[raw[1:]]) + 1
         safe = np.concatenate([[0], inner, [len(raw)]])
         first = np.searchsorted(safe, borders[:-1], side="right")     # first safe place inside each chunk
         last = np.searchsorted(safe, borders[1:], side="left") - 1    # last one
         cores = [(int(c), int(f), int(g)) for c, (f, g) in enumerate(zip(first, last, strict=True)) if g > f]
-        out: list[int] = []
+        out: list[bytes] = []
         done = floor = 0  # indices of safe places: up to done the text is encoded, back to floor a join may widen
         end = len(safe) - 1
         for i, (c, f, g) in enumerate(cores):
             start = int(borders[c])
             ids = self.core(text[start:int(borders[c + 1])], int(safe[f]) - start, int(safe[g]) - start)
             # the join reaches back to what is done and on into this core at most
-            a, b, between = self.join(text, safe, done, f, floor, g) if f > done else (done, f, [])
+            a, b, between = self.join(text, safe, done, f, floor, g) if f > done else (done, f, b"")
             if a != done:  # the core before was cut back
-                out = self.library(text[:safe[a]])
-            out += between
-            out += ids if b == f else self.library(text[safe[b]:safe[g]])
+                out = [self.library(text[:safe[a]])]
+            out += [between, ids if b == f else self.library(text[safe[b]:safe[g]])]
             floor = f
             done = g
         if done < end:
             a, _, between = self.join(text, safe, done, end, floor, end)
             if a != done:
-                out = self.library(text[:safe[a]])
-            out += between
-        return out
+                out = [self.library(text[:safe[a]])]
+            out.append(between)
+        return b"".join(out)
 
 
 def encoder(path: str, bits: int, memo_bytes: int) -> ChunkEncoder:
@@ -173,12 +230,12 @@ def encode_documents(docs: DataFrame, tokenizer: str, bits: int = 9, memo_bytes:
             rows = {f.name: [] for f in out}
             for text in C.payloads(b, "text"):
                 before, new = enc.chunks, enc.encoded
-                ids = enc.encode(text)
-                back = enc.tokenizer.decode(ids, skip_special_tokens=False)
+                packed = enc.encode(text)
+                ids = np.frombuffer(packed, "<u4").tolist()
                 rows["n_tokens"].append(len(ids))
-                rows["ids"].append(np.array(ids, "<u4").tobytes() if with_ids else None)
-                rows["ids_sha256"].append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                rows["decoded_sha256"].append(hashlib.sha256(back.encode()).hexdigest())
+                rows["ids"].append(packed if with_ids else None)
+                rows["ids_sha256"].append(hashlib.sha256(",".join(map(enc.decimal.__getitem__, ids)).encode()).hexdigest())
+                rows["decoded_sha256"].append(hashlib.sha256(enc.decode(ids).encode()).hexdigest())
                 rows["chunks"].append(enc.chunks - before)
                 rows["encoded_chunks"].append(enc.encoded - new)
             yield C.batch(out, **(rows | {"doc_id": b.column("doc_id")}))

@@ -14,10 +14,10 @@ import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 # Punctuation that the pre-tokenizer separates from a letter or digit before it (the apostrophe joins endings to words).
-_TAIL = bytes(ord(c) for c in string.punctuation if c != "'")
+TAIL = bytes(ord(c) for c in string.punctuation if c != "'")
 
 
-class _Memo(dict):
+class Memo(dict):
     """A dict that fills itself and forgets everything when full."""
 
     def __init__(self, make, limit: int):
@@ -46,8 +46,8 @@ class WordIds:
         apart = [i for w in probe.split() for i in self._library(w.encode())]
         if self._library(probe.encode()) != apart or self._library(b"THE") != self._library(b"the"):
             raise ValueError(f"{path}: ids depend on white space or case; the word memo does not apply")
-        self.words = _Memo(self._word, limit)
-        self.cores = _Memo(self._core, limit)
+        self.words = Memo(self._word, limit)
+        self.cores = Memo(self._core, limit)
 
     def _library(self, text: bytes) -> list[int]:
         return self.full.encode(text.decode(), add_special_tokens=False).ids
@@ -60,7 +60,7 @@ class WordIds:
         return np.array(ids, "<u4").tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        core = word.rstrip(_TAIL)
+        core = word.rstrip(TAIL)
         if core and core != word and core[-1:].isalnum():
             return self.cores[core] + self.cores[word[len(core):]]
         return self.cores[word]
@@ -69,3 +69,13 @@ class WordIds:
         if any(m in text.lower() for m in self.marks):  # a special token's string: left to the library
             return np.array(self._library(text), np.uint32)
         return np.frombuffer(b"".join(map(self.words.__getitem__, text.lower().split())), np.uint32)
+
+
+_KEPT: dict[tuple, WordIds] = {}
+
+
+def word_ids(path: str, limit: int) -> WordIds:
+    """The worker's tokenizer: it and its memos outlive a task."""
+    if (path, limit) not in _KEPT:
+        _KEPT[path, limit] = WordIds(path, limit)
+    return _KEPT[path, limit]

@@ -83,9 +83,9 @@ def test_near_duplicates(odd, odd_docs, width):
 
 
 def test_near_duplicates_block_round(odd, odd_docs):
-    """Without star rounds the blocks alone find every link."""
+    """Without a star round the blocks alone find every link."""
     roots = near_duplicates(odd, 4)
-    got = hyperminhash.near_duplicates(odd_docs, width=4, star_rounds=0).collect()
+    got = hyperminhash.near_duplicates(odd_docs, width=4, centres=0).collect()
     same([(r.doc_id, r.component_id) for r in got], [(d, roots.get(d)) for d, _ in odd])
 
 
@@ -221,7 +221,11 @@ def test_cdc_bpe_random_text():
     enc = cdc_bpe.ChunkEncoder(BYTE_BPE, 3, 1 << 14)
     for _ in range(1500):
         text = "".join(r.choice(parts) for _ in range(r.randrange(150)))
-        assert enc.encode(text.encode()) == enc.library(text.encode())
+        ids = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert enc.encode(text.encode()) == np.array(ids, "<u4").tobytes()
+        assert enc.decode(ids) == enc.tokenizer.decode(ids, skip_special_tokens=False)
+        some = r.sample(ids, len(ids) // 2)  # in an order that breaks code points
+        assert enc.decode(some) == enc.tokenizer.decode(some, skip_special_tokens=False)
 
 
 # 9 ---------------------------------------------------------------------------------------------
