@@ -12,8 +12,8 @@ expected number of chance collisions, estimates J; pairs whose estimate lies six
 threshold are left out, the others are verified on their full sets, word by word.
 
 Groups are never expanded into all pairs.  Texts with one word sequence are one class, represented by the smallest doc_id.
-In each *star round* every bucket names one centre, drawn anew by hash, and each member not yet in the centre's component is tested against
-it; links merge components.  Star rounds go on while they find links.  What remains - buckets whose members still
+In the *star round* every bucket names a few centres, drawn by hash, and each member is tested against
+them; links make components.  What remains - buckets whose members still
 lie in several components - goes to the *block round*: members outside the bucket's largest component are tested against
 all members of other components, in blocks of bounded size, so no link that the bands reveal is lost.
 
@@ -188,13 +188,14 @@ def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rows.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
-def _star_pairs(members: DataFrame, salt: int) -> DataFrame:
-    """Members of buckets that hold several components, each with its bucket's centre."""
-    centre = members.groupBy("band", "key").agg(
-        F.min(F.struct(F.xxhash64("rep", F.lit(salt)).alias("h"), "rep", "root")).alias("c"),
-        F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    pairs = members.join(centre.select("band", "key", F.col("c.rep").alias("b"), F.col("c.root").alias("b_root")), ["band", "key"])
-    return pairs.where("root <> b_root").select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
+def _star_pairs(members: DataFrame, centres: int) -> DataFrame:
+    """Members of buckets, each with its bucket's centres."""
+    names = [f"c{i}" for i in range(centres)]
+    centre = members.groupBy("band", "key").agg(*[
+        F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), "rep")).alias(c) for i, c in enumerate(names)])
+    centre = centre.select("band", "key", F.explode(F.array_distinct(F.array(*[F.col(f"{c}.rep") for c in names]))).alias("b"))
+    pairs = members.join(centre, ["band", "key"]).where("rep <> b")
+    return pairs.select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
 
 
 def _block_pairs(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -232,9 +233,9 @@ def _block_pairs(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame
     return as_x.select(*cols).union(as_o.select(*cols)).groupBy("band", "key", "x", "o").applyInArrow(run, PAIR).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int = 6, flush_words: int = 1 << 20) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, centres: int = 2, flush_words: int = 1 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``.  Documents are linked where
-    100 * |intersection| >= percent * |union|; ``star_rounds`` bounds the rounds before the block round, not the result."""
+    100 * |intersection| >= percent * |union|; ``centres`` (of each bucket in the star round) trades work between the rounds and doesn't change the result."""
     C.ship(docs.sparkSession)
     sketch = C.saved(C.texts(docs).mapInArrow(_sketch(width, flush_words), SKETCH), "sketches")
     linked = sketch.where("n_shingles > 0 and doc_id is not null")
@@ -252,24 +253,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rou
     texts = C.texts(docs).join(met, F.col("doc_id") == F.col("rep")).select("rep", "text")
     texts = C.saved(texts, "texts")
 
-    links = C.saved(ties, "links")
-    roots = components(links) if links.head(1) else None
-    for salt in range(star_rounds + 1):
-        rooted = _rooted(members, roots)
-        if salt < star_rounds:
-            pairs = _likely_pairs(_star_pairs(rooted, salt), reps, percent)
-        else:
-            pairs = _block_pairs(rooted, reps, percent)
-        found = C.saved(_verified(pairs, texts, width, percent), "links")
-        if found.head(1):
-            links = links.union(found)
-            roots = C.saved(components(links), "roots")
-        elif salt < star_rounds:  # no star finds a link any more: test what is left in blocks
-            found = C.saved(_verified(_block_pairs(rooted, reps, percent), texts, width, percent), "links")
-            if found.head(1):
-                links = links.union(found)
-                roots = C.saved(components(links), "roots")
-            break
+    def confirmed(pairs):
+        return C.saved(_verified(_likely_pairs(pairs, reps, percent), texts, width, percent), "links")
+
+    links, roots = C.saved(ties, "links"), None
+    if centres:
+        links = C.saved(links.union(confirmed(_star_pairs(members, centres))), "links")
+    if links.head(1):
+        roots = C.saved(components(links), "roots")
+    rest = C.saved(_verified(_block_pairs(_rooted(members, roots), reps, percent), texts, width, percent), "links")
+    if rest.head(1):
+        roots = C.saved(components(links.union(rest)), "roots")
+    C.drop(members, texts, links, rest)
     rooted = _rooted(of_doc, roots).groupBy("doc_id").agg(F.min("root").alias("component_id"))
     out = sketch.select("doc_id", "n_shingles").join(rooted, "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
