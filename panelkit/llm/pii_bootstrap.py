@@ -5,9 +5,10 @@ within a kind) and validated; a match that fails is dropped and not retried.  Of
 
 Bootstrapping: base spans are the seeds.  The word before an entity is a lexical pattern for its kind; a pattern's instances are the
 values that follow it.  Candidates are other tokens with digits or an @ whose shape could be of the kind.
-In each round a pattern's confidence is the sum of its instances' scores over *all* places where its word occurs in the corpus, so that a
-word which precedes anything at all says nothing, and an instance's score is the noisy-or of its patterns' confidences (seeds stay at
-1).  Patterns need ``support`` different seeds.  After ``rounds`` rounds the candidates that score at least ``accept`` are added, under
+In each round a pattern's confidence is the sum of its instances' scores, each counted at every place where it follows the word, over *all*
+places where its word occurs in the corpus, so that a word which precedes anything at all says nothing and copies change nothing.
+An instance's score is the noisy-or of its patterns' confidences (seeds stay at 1).  Patterns need ``support`` different seeds.
+After ``rounds`` rounds the candidates that score at least ``accept`` are added, under
 the best kind; they never replace or touch a base span.
 
 Scale: matching is one narrow pass over the texts and yields rows for matches alone; offsets come from running sums per document.  The corpus'
@@ -69,7 +70,7 @@ def _valid(kind: Column, m: Column) -> Column:
 
 
 def _matches(src: DataFrame, patterns: dict[str, str], context: int) -> DataFrame:
-    """One row per match, before validation: doc_id, tag, kind, i, value, s, e (code points), left (the word before it)."""
+    """One row per match, before validation: doc_id, tag, kind, i, value, s, e (code points), left (the word before it), copies (equal rows)."""
     found = F.array(*[F.struct(F.lit(k).alias("kind"), F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias("ms"), F.lit(n).alias("n"))
                       for n, (k, p) in enumerate(patterns.items())])
     # explode_outer and the later filter: the planner would otherwise repeat the matching in a filter below
@@ -81,12 +82,14 @@ def _matches(src: DataFrame, patterns: dict[str, str], context: int) -> DataFram
     each = F.arrays_zip(F.col("ms").alias("m"), F.slice("gaps", 1, F.size("ms")).alias("g"))
     rows = rows.select("doc_id", "tag", "kind", F.posexplode_outer(each).alias("i", "y")).select(
         "doc_id", "tag", "kind", "i", F.col("y.m").alias("value"), F.length("y.g").alias("gap"), F.expr(f"right(y.g, {context})").alias("before"))
-    rows = rows.dropDuplicates(["doc_id", "tag", "kind", "i"])  # of repeated rows
+    # repeated rows once, with their number
+    rows = rows.groupBy("doc_id", "tag", "kind", "i").agg(
+        *[F.first(c).alias(c) for c in ("value", "gap", "before")], F.count(F.lit(1)).alias("copies"))
     upto = Window.partitionBy("doc_id", "tag", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.length("value")).over(upto)
     return rows.withColumn("e", end).select(
         "doc_id", "tag", "kind", "i", "value", (F.col("e") - F.length("value")).alias("s"), "e",
-        F.lower(F.regexp_extract("before", r"(\S+)\s+$", 1)).alias("left"))
+        F.lower(F.regexp_extract("before", r"(\S+)\s+$", 1)).alias("left"), "copies")
 
 
 def _trimmed(rows: DataFrame) -> DataFrame:
@@ -96,7 +99,7 @@ def _trimmed(rows: DataFrame) -> DataFrame:
     core = F.regexp_extract("value", rf"^[{marks}]*+(.*?)[{marks}]*$", 1)
     return rows.withColumn("head", head).withColumn("core", core).select(
         "doc_id", "tag", (F.col("s") + F.col("head")).alias("s"), (F.col("s") + F.col("head") + F.length("core")).alias("e"),
-        F.col("core").alias("value"), "left").where("value <> ''")
+        F.col("core").alias("value"), "left", "copies").where("value <> ''")
 
 
 def _word_counts(src: DataFrame) -> DataFrame:
@@ -115,20 +118,21 @@ def _discovered(src: DataFrame, base: DataFrame, context: int, rounds: int, supp
     clash = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")) & (F.col("bs") < F.col("e")) & (F.col("s") < F.col("be"))
     tokens = C.saved(tokens.join(b, clash, "left_anti").where("left <> ''"), "candidates")
 
-    seeds = base.where("left <> ''").select("kind", "left", F.lower("value").alias("value")).distinct()
+    places = F.sum("copies").alias("n")  # counted over the same rows as a word's total
+    seeds = base.where("left <> ''").groupBy("kind", "left", F.lower("value").alias("value")).agg(places)
     able = seeds.groupBy("kind", "left").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= support).drop("seeds")
-    totals = _word_counts(src).join(able.select("left").distinct(), "left", "left_semi")
-    patterns = C.saved(able.join(totals, "left"), "patterns")
-    edges = seeds.withColumn("seed", F.lit(True)).union(
-        tokens.select("kind", "left", F.lower("value").alias("value"), F.lit(False).alias("seed")))
-    edges = edges.groupBy("kind", "left", "value").agg(F.max("seed").alias("seed")).join(patterns, ["kind", "left"])
-    edges = C.saved(edges.select("kind", "left", "value", "seed", "total"), "edges")
+    # an inner join: a semi join would be pushed below the count and shuffle every word of the corpus
+    patterns = C.saved(able.join(_word_counts(src), "left"), "patterns")
+    unseen = tokens.groupBy("kind", "left", F.lower("value").alias("value")).agg(places)
+    edges = seeds.withColumn("seed", F.lit(True)).union(unseen.withColumn("seed", F.lit(False)))
+    edges = edges.groupBy("kind", "left", "value").agg(F.max("seed").alias("seed"), F.sum("n").alias("n")).join(patterns, ["kind", "left"])
+    edges = C.saved(edges.select("kind", "left", "value", "seed", "n", "total"), "edges")
 
     made = [tokens, patterns, edges]
     scores = edges.groupBy("kind", "value").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
     for _ in range(rounds):
         trust = (edges.drop("seed").join(scores, ["kind", "value"]).groupBy("kind", "left")
-                 .agg((F.sum("score") / (F.max("total") + 1)).alias("trust")))
+                 .agg((F.sum(F.col("n") * F.col("score")) / (F.max("total") + 1)).alias("trust")))
         miss = F.sum(F.log1p(-F.least(F.col("trust"), F.lit(0.999999))))
         scores = (edges.join(trust, ["kind", "left"]).groupBy("kind", "value").agg(F.max("seed").alias("seed"), (1 - F.exp(miss)).alias("or"))
                   .select("kind", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.col("or")).alias("score")))

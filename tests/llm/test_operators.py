@@ -122,6 +122,21 @@ def test_pii_discovers_and_redacts(spark):
     assert clean[3] == "some text then contact: <EMAIL> and so on the 17 words"
 
 
+def test_pii_copies_and_recurring_values_keep_a_pattern(spark):
+    rows = [(i, f"some text then contact: user{i}@mail.example.com and so on the 17 words") for i in range(20)]
+    rows += [(i + 1000, t) for i, t in rows] + rows[:5]  # under other ids, and the same rows again
+    rows += [(i, "in any case contact: help@mail.example.com for more") for i in range(2000, 2040)]
+    rows += [(100, "write contact: root@localhost today"), (101, "see the root2@localhost today")]
+    spans = pii_bootstrap.find_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    same(spans.where("not base").select("doc_id", "kind", "s", "e").collect(), [(100, "email", 15, 29)])
+
+
+def test_pii_word_before_anything_is_no_pattern(spark):
+    rows = [(i, f"then contact: user{i % 20}@mail.example.com and contact: nobody or contact: us") for i in range(60)]
+    rows += [(100, "write contact: root@localhost today")]
+    assert pii_bootstrap.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).where("not base").count() == 0
+
+
 # 5 ---------------------------------------------------------------------------------------------
 def test_warc_store(spark):
     import hashlib
