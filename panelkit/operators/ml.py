@@ -118,12 +118,18 @@ def grid(params: dict) -> list[dict]:
     return [dict(zip(names, vals)) for vals in itertools.product(*[params[n] for n in names])]
 
 
-def fitter(family: str, features, label: str):
-    """``fit(train, **params) -> (rows -> rows with a prediction)`` for a family of models."""
+def trainer(family: str, features, label: str):
+    """``fit(train, **params) -> model`` for a family of models."""
     if family == "mlp":
-        return lambda train, **kw: NeuralModel.fit(train, features, label, **kw).transform
+        return lambda train, **kw: NeuralModel.fit(train, features, label, **kw)
     make = {"ols": ols, "random_forest": random_forest, "boosted_trees": boosted_trees}[family]
-    return lambda train, **kw: make(features, label, **kw).fit(train).transform
+    return lambda train, **kw: make(features, label, **kw).fit(train)
+
+
+def fitter(family: str, features, label: str):
+    """``fit(train, **params) -> (rows -> rows with a prediction)`` for a family of models."""
+    fit = trainer(family, features, label)
+    return lambda train, **kw: fit(train, **kw).transform
 
 
 def grid_search(base: DataFrame, fit, combos: list[dict], label: str, n_folds: int = 5, ordinal: str = "ordinal",
@@ -164,14 +170,19 @@ def best_combo(scores: DataFrame) -> DataFrame:
     return mean_scores(scores).agg(F.min_by(F.struct("combo", "params", "cv_rmse"), F.struct("cv_rmse", "combo")).alias("b")).select("b.*")
 
 
-def tune(base: DataFrame, family: str, features, label: str, params: dict | None = None, n_folds: int = 5):
+def tuned_model(base: DataFrame, family: str, features, label: str, params: dict | None = None, n_folds: int = 5):
     """Search a family's grid (the full one unless ``params`` is given) and refit the best combination on all of
-    ``base``.  Returns (predict, best parameters, scores)."""
+    ``base``.  Returns (model, best parameters, scores)."""
     combos = grid(params or GRIDS[family])
-    fit = fitter(family, features, label)
-    scores = grid_search(base, fit, combos, label, n_folds)
+    scores = grid_search(base, fitter(family, features, label), combos, label, n_folds)
     best = combos[best_combo(scores).first()["combo"]]
-    return fit(base, **best), best, scores
+    return trainer(family, features, label)(base, **best), best, scores
+
+
+def tune(base: DataFrame, family: str, features, label: str, params: dict | None = None, n_folds: int = 5):
+    """``tuned_model`` with the model as a function: (predict, best parameters, scores)."""
+    model, best, scores = tuned_model(base, family, features, label, params, n_folds)
+    return model.transform, best, scores
 
 
 # ---------------------------------------------------------------- importances

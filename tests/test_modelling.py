@@ -75,3 +75,31 @@ def test_leaderboard_and_bundle(spark, series, tmp_path):
     for name, m in models.items():
         old, new = ([r[M.PRED] for r in x.transform(first).orderBy("ordinal").collect()] for x in (m, again[name]))
         assert old == pytest.approx(new) and len(new) == 5
+
+
+def test_queries_search_the_full_grids_and_rank_the_refitted(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from panelkit.plans import catalog_model as Q
+    from panelkit.plans.registry import QUERIES
+
+    fitted = []
+
+    def search(base, fit, combos, label, n_folds=5):
+        rows = [(i, json.dumps(c, sort_keys=True), 0, float(len(combos) - i)) for i, c in enumerate(combos)]
+        return spark.createDataFrame(rows, "combo int, params string, fold int, rmse double")
+
+    def trainer(family, features, label):
+        def fit(train, **kw):
+            fitted.append((family, kw))
+            return M.ols(features, label).fit(train)
+        return fit
+
+    monkeypatch.setattr(M, "grid_search", search)
+    monkeypatch.setattr(M, "trainer", trainer)
+    monkeypatch.setattr(Q, "_tuned", {})
+    for name, family in [("cv_grid_search", "random_forest"), ("cv_grid_boosted_trees", "boosted_trees"), ("cv_grid_mlp", "mlp")]:
+        got = {r.params for r in QUERIES[name](spark, SF_SMALL).collect()}
+        assert got == {json.dumps(c, sort_keys=True) for c in M.grid(M.GRIDS[family])}
+    assert QUERIES["ml_leaderboard"](spark, SF_SMALL).count() == 4
+    # each family searched once, its best (here the last) combination refitted
+    assert fitted == [(k, M.grid(M.GRIDS[k])[-1]) for k in ("random_forest", "boosted_trees", "mlp")]
