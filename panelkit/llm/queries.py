@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bitplane, cascade, cdc_bpe, hd_langid, hyperminhash, pii_bootstrap, pu_quality, recompress, warc_store, winnow
+from panelkit.llm import (ann_graph, bitplane, cascade, cdc_bpe, hard_negatives, hd_langid, hyperminhash, pii_bootstrap, pu_quality,
+                          recompress, warc_store, whitening, winnow)
 from panelkit.llm import common as C
 
 QUERIES: dict = {}
@@ -181,3 +182,38 @@ def op4_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"n_{k}" for k in pii_bootstrap.KINDS],
                       F.sha2(F.array_join("base_spans", ",").cast("binary"), 256).alias("base_sha256"),
                       F.array_join("spans", ",").alias("spans"))
+
+
+@query
+def op11_secular_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(C.table(spark, sf_dir, "embeddings"), components=4)
+
+
+@query
+def op12_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(C.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label,
+                               positives=5, negatives=5, low=80)
+
+
+SQL["op12_kronecker_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+     s AS (SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+           FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+     p AS (SELECT anchor, other, score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other))::INTEGER AS rank,
+       s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other) <= 5
+"""
+
+
+@query
+def op13_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.table(spark, sf_dir, "embeddings")
+    return ann_graph.search(ann_graph.build_index(rows), rows.where(F.col("vec_id") % 20 == 0), k=20)

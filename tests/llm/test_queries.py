@@ -25,7 +25,7 @@ def test_matches_sql(spark, name):
 
 
 def test_all_numbers_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
