@@ -106,6 +106,14 @@ def arrow(schema) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under fixed names (so that other
     columns of ``df`` cannot clash with the operator's own)."""

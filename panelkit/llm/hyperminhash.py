@@ -13,13 +13,17 @@ threshold are left out, the others are verified on their full sets, word by word
 
 Groups are never expanded into all pairs.  Texts with one word sequence are one class, represented by the smallest doc_id.
 In the *star round* every bucket names a few centres, drawn by hash, and each member is tested against
-them; links make components.  What remains - buckets whose members still
-lie in several components - goes to the *block round*: members outside the bucket's largest component are tested against
-all members of other components, in blocks of bounded size, so no link that the bands reveal is lost.
+them; links make components.  What remains - buckets whose members still lie in several components - goes to the *block round*, which
+makes no row for a pair that is not a link.  First the sketches alone tell which components hold a likely pair; a block of a bucket
+emits only the pairs that join two of its components, and these make wide groups.  Then the shingle hashes of
+a wide group's members are compared in blocks of bounded size (members outside the group's largest component against all); a block counts its
+intersections and emits again only what joins two components.  No link that the bands reveal is lost, and rows
+between tasks grow with the members, not with the pairs.  (A group of n texts that are near, but below the threshold, still costs
+n^2 / 2 comparisons of hash sets inside its blocks, and sends each member once for each BLOCK of the others.)
 
 Scale: the sketches are 256 bytes a document; a bucket is never gathered in one task, its centre is an
 aggregate and members join back to it (adaptive execution splits a hot bucket).  Texts are shuffled once, for the
-members of buckets with two or more.  Nothing is collected but counts.
+members of buckets with two or more; very long ones count by their length when blocks are made.  Nothing is collected but counts.
 
 Defined cases: null or empty text has an empty set and no links; ties and repeated rows: rows of one doc_id are
 one node (it has the links of all its texts); a null doc_id gets no component and is kept; an empty table
@@ -41,7 +45,7 @@ from panelkit.llm.components import components
 BUCKETS, ROWS = 128, 4
 BANDS = BUCKETS // ROWS
 MANTISSA = 10
-BLOCK = 512
+BLOCK, BLOCK_WEIGHT = 2048, 1 << 21  # members and shingles of a block
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Order in which each empty bucket looks for a full one.
 PROBES = np.stack([np.random.default_rng([20240229, j]).permutation(BUCKETS) for j in range(BUCKETS)])
@@ -198,39 +202,157 @@ def _star_pairs(members: DataFrame, centres: int) -> DataFrame:
     return pairs.select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
 
 
-def _block_pairs(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs across components within buckets: members outside a bucket's largest
-    component against all, in blocks of about BLOCK by BLOCK."""
-    sizes = members.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots"))
-    top = top.where("roots > 1").select("band", "key", F.col("top.root").alias("main"),
-                                        F.ceil(F.col("all") / BLOCK).cast("int").alias("xs"),
-                                        F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("os"))
-    rows = members.join(top, ["band", "key"]).join(reps.select("rep", "regs"), "rep")
+def _joined(labels: np.ndarray, mine: np.ndarray, hits: np.ndarray, own: int, found: list) -> None:
+    """Union of the label of entry ``own`` with those of the entries ``hits``; adds (own, entry) to ``found`` where two labels meet.
+    ``mine`` maps entries to label slots."""
+    others, first = np.unique(labels[mine[hits]], return_index=True)
+    here = labels[mine[own]]
+    for label, at in zip(others, first, strict=True):
+        if label != here:
+            found.append((own, int(hits[at])))
+            labels[labels == label] = here
+
+
+def _cells(rows: DataFrame, group: list[str], weight: str) -> DataFrame:
+    """Rows of each group dealt into pairs of blocks (x, o): rows outside the group's largest root (``outer``) against all.
+    A block has about BLOCK rows and BLOCK_WEIGHT of ``weight``.  Groups of one root are left out."""
+    sizes = rows.groupBy(*group, "root").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w"))
+    top = sizes.groupBy(*group).agg(F.max(F.struct("n", "root", "w")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w"),
+                                    F.count(F.lit(1)).alias("roots")).where("roots > 1")
+
+    def blocks(n, w):
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(w / BLOCK_WEIGHT)).cast("int")
+
+    top = top.select(*group, F.col("top.root").alias("main"), blocks(F.col("n"), F.col("w")).alias("xs"),
+                     blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("os"))
+    rows = rows.join(top, group)
     cell = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
-    as_x = rows.withColumn("x", F.pmod(cell, F.col("xs"))).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("os") - 1))).withColumn("outer", F.lit(False))
-    as_o = (rows.where("root <> main").withColumn("o", F.pmod(cell, F.col("os")))
-            .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("xs") - 1))).withColumn("outer", F.lit(True)))
-    cols = ["band", "key", F.col("x").cast("int").alias("x"), F.col("o").cast("int").alias("o"), "outer", "rep", "root", "regs"]
+    as_x = rows.withColumns({"x": F.pmod(cell, F.col("xs")).cast("int"), "o": F.explode(F.sequence(F.lit(0), F.col("os") - 1)), "outer": F.lit(False)})
+    as_o = rows.where("root <> main").withColumns({"o": F.pmod(cell, F.col("os")).cast("int"), "x": F.explode(F.sequence(F.lit(0), F.col("xs") - 1)),
+                                                   "outer": F.lit(True)})
+    return as_x.drop("main", "xs", "os").unionByName(as_o.drop("main", "xs", "os"))
+
+
+def _likely_roots(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Links between components, enough to join all that hold a pair of one bucket whose sketches don't rule out a link: at most as
+    many as a block has components."""
+    rows = members.join(reps.select("rep", "regs"), "rep").withColumn("w", F.lit(1))
     out = C.arrow(PAIR)
 
     def run(table):
         import pyarrow as pa
 
         outer = np.array(table.column("outer").to_pylist(), bool)
-        rep, root = table.column("rep").to_numpy(), table.column("root").to_numpy()
+        root = table.column("root").to_numpy()
         regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), "<u2").reshape(-1, BUCKETS)
-        band = table.column("band")[0].as_py()
-        inner, found = np.flatnonzero(~outer), ([], [])
+        names, mine = np.unique(root, return_inverse=True)
+        labels, found = np.arange(len(names)), []
+        inner = np.flatnonzero(~outer)
         for i in np.flatnonzero(outer):
-            equal = regs[inner] == regs[i]
-            met = equal.reshape(-1, BANDS, ROWS).all(axis=2)
-            ok = likely(equal.sum(axis=1), percent) & (root[inner] != root[i]) & (met.argmax(axis=1) == band)  # each pair in its first band only
-            found[0].extend(np.maximum(rep[inner[ok]], rep[i]).tolist())
-            found[1].extend(np.minimum(rep[inner[ok]], rep[i]).tolist())
-        return pa.Table.from_batches([C.batch(out, a=found[0], b=found[1])])
+            rest = inner[labels[mine[inner]] != labels[mine[i]]]  # the others are joined already
+            hits = rest[likely((regs[rest] == regs[i]).sum(axis=1), percent)]
+            if len(hits):
+                _joined(labels, mine, hits, int(i), found)
+        pairs = np.array([(max(root[i], root[j]), min(root[i], root[j])) for i, j in found], np.int64).reshape(-1, 2)
+        return pa.Table.from_batches([C.batch(out, a=pairs[:, 0], b=pairs[:, 1])])
+
+    cells = _cells(rows, ["band", "key"], "w").select("band", "key", "x", "o", "outer", "root", "regs")
+    return cells.groupBy("band", "key", "x", "o").applyInArrow(run, PAIR).distinct()
+
+
+def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending."""
+    if 0 < len(words) < width:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
+    return np.unique(H.window_hashes(H.word_hashes(words), width))
+
 
-    return as_x.select(*cols).union(as_o.select(*cols)).groupBy("band", "key", "x", "o").applyInArrow(run, PAIR).distinct()
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """(rep, w, hashes): the shingle hashes of each text and their number."""
+    schema = "rep long, w long, hashes binary"
+    out = pa_schema(schema)
+
+    def run(batches):
+        for b in batches:
+            sets = [shingle_hashes(t.lower().split(), width) for t in C.payloads(b, "text")]
+            yield C.batch(out, rep=b.column("rep").to_pylist(), w=[len(s) for s in sets], hashes=[s.tobytes() for s in sets])
+
+    return texts.select("rep", "text").mapInArrow(run, schema)
+
+
+def pa_schema(ddl: str):
+    return C.arrow(T.StructType.fromDDL(ddl))
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left sets with all right sets.  Shingles that many sets share are counted by one matrix
+    product, the others by listing the pairs of sets that hold them."""
+    n, m = len(left), len(right)
+    total = np.zeros(n * m, np.float32)
+    flat = np.concatenate([*left, *right]) if n + m else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(n + m), [len(s) for s in [*left, *right]])
+    _, ids = np.unique(flat, return_inverse=True)
+    is_left = owner < n
+    size = ids.max(initial=-1) + 1
+    in_left, in_right = np.bincount(ids[is_left], minlength=size), np.bincount(ids[~is_left], minlength=size)
+    pairs = in_left * in_right
+    dense = pairs * 128 > n * m
+    order = np.argsort(ids, kind="stable")
+    ids, owner, is_left = ids[order], owner[order], is_left[order]
+
+    columns = np.flatnonzero(dense)
+    for i in range(0, len(columns), 1024):
+        part = columns[i:i + 1024]
+        place = np.full(size, -1)
+        place[part] = np.arange(len(part))
+        a, b = np.zeros((n, len(part)), np.float32), np.zeros((m, len(part)), np.float32)
+        at = place[ids]
+        use = at >= 0
+        a[owner[use & is_left], at[use & is_left]] = 1
+        b[owner[use & ~is_left] - n, at[use & ~is_left]] = 1
+        total += (a @ b.T).ravel()
+
+    sparse = np.flatnonzero(~dense & (pairs > 0))
+    lo, ro = owner[is_left], owner[~is_left] - n  # owners by shingle
+    l_at, r_at = np.cumsum(in_left) - in_left, np.cumsum(in_right) - in_right
+    done = 0
+    while done < len(sparse):
+        upto = done + max(1, int(np.searchsorted(np.cumsum(pairs[sparse[done:done + 65536]]), 1 << 21)))
+        part = sparse[done:upto]
+        done = upto
+        k = pairs[part]
+        col = np.repeat(part, k)
+        step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        i, j = lo[l_at[col] + step // in_right[col]], ro[r_at[col] + step % in_right[col]]
+        total += np.bincount(i * m + j, minlength=n * m)
+    return total.reshape(n, m).astype(np.int64)
+
+
+def _linked(grouped: DataFrame, percent: int) -> DataFrame:
+    """Links found on full sets, (rep, rep): at most as many per block as it has components, and enough to join what is linked."""
+    out = C.arrow(PAIR)
+
+    def run(table):
+        import pyarrow as pa
+
+        outer = np.array(table.column("outer").to_pylist(), bool)
+        rep, root = table.column("rep").to_numpy(), table.column("root").to_numpy()
+        sets = [np.frombuffer(h, np.uint64) for h in table.column("hashes").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        inner, outside = np.flatnonzero(~outer), np.flatnonzero(outer)
+        names, mine = np.unique(root, return_inverse=True)
+        labels, found = np.arange(len(names)), []
+        both = common_counts([sets[i] for i in outside], [sets[j] for j in inner])
+        for r, i in enumerate(outside):
+            hits = inner[100 * both[r] >= percent * (size[i] + size[inner] - both[r])]
+            hits = hits[labels[mine[hits]] != labels[mine[i]]]
+            if len(hits):
+                _joined(labels, mine, hits, int(i), found)
+        pairs = np.array([(max(rep[i], rep[j]), min(rep[i], rep[j])) for i, j in found], np.int64).reshape(-1, 2)
+        return pa.Table.from_batches([C.batch(out, a=pairs[:, 0], b=pairs[:, 1])])
+
+    cells = _cells(grouped, ["wide"], "w").select("wide", "x", "o", "outer", "rep", "root", "hashes")
+    return cells.groupBy("wide", "x", "o").applyInArrow(run, PAIR).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, centres: int = 2, flush_words: int = 1 << 20) -> DataFrame:
@@ -250,7 +372,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, centres:
     crowded = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = C.saved(bands.join(crowded, ["band", "key"]), "bands")
     met = members.select("rep").distinct()
-    texts = C.texts(docs).join(met, F.col("doc_id") == F.col("rep")).select("rep", "text")
+    texts = C.texts(docs).join(met, F.col("doc_id") == F.col("rep")).select("rep", "text").distinct()
     texts = C.saved(texts, "texts")
 
     def confirmed(pairs):
@@ -261,10 +383,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, centres:
         links = C.saved(links.union(confirmed(_star_pairs(members, centres))), "links")
     if links.head(1):
         roots = C.saved(components(links), "roots")
-    rest = C.saved(_verified(_block_pairs(_rooted(members, roots), reps, percent), texts, width, percent), "links")
-    if rest.head(1):
-        roots = C.saved(components(links.union(rest)), "roots")
-    C.drop(members, texts, links, rest)
+    rooted = _rooted(members, roots)
+    maybe = C.saved(_likely_roots(rooted, reps, percent), "maybe")
+    if maybe.head(1):
+        wide = components(maybe).select(F.col("node").alias("root"), F.col("root").alias("wide"))
+        near = _rooted(met, roots).select("rep", "root").join(wide, "root").join(_sets(texts, width), "rep")
+        near = C.saved(near, "sets")
+        rest = C.saved(_verified(_linked(near, percent), texts, width, percent), "links")
+        if rest.head(1):
+            roots = C.saved(components(links.union(rest)), "roots")
+        C.drop(near, rest)
+    C.drop(members, texts, links, maybe)
     rooted = _rooted(of_doc, roots).groupBy("doc_id").agg(F.min("root").alias("component_id"))
     out = sketch.select("doc_id", "n_shingles").join(rooted, "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
@@ -273,6 +402,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, centres:
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, all columns, whose document is the smallest of its component."""
-    stay = near_duplicates(docs, **how).where("kept").select(F.col("doc_id").alias("__d")).distinct()
-    src = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    return src.join(stay, F.col("__id").eqNullSafe(F.col("__d")), "left_semi").select(*docs.columns)
+    kept = C.unused(docs, "kept_id")
+    stay = near_duplicates(docs, **how).where("kept").select(F.col("doc_id").alias(kept)).distinct()
+    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay[kept]), "left_semi")

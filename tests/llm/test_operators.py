@@ -303,3 +303,63 @@ def test_native_operators_use_no_python():
         source = inspect.getsource(module)
         assert not any(x in source for x in ("mapIn", "applyIn", "pandas", "udf", ".rdd"))
     assert words("a b") == ["a", "b"] and redacted("x a@b.cc") == "x <EMAIL>"
+
+
+def _template(seed, size, differ, words=300):
+    """Texts of one template, each with ``differ`` words of its own."""
+    r = random.Random(seed)
+    base = [f"w{seed}x{i}" for i in range(words)]
+    out = []
+    for i in range(size):
+        text = list(base)
+        for at in r.sample(range(words), differ):
+            text[at] = f"own{i}y{at}"
+        out.append(" ".join(text))
+    return out
+
+
+def _components(texts, width=4, percent=80):
+    sets = [frozenset(zip(*[t.split()[i:] for i in range(width)], strict=False)) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            c = len(sets[i] & sets[j])
+            if 100 * c >= percent * (len(sets[i]) + len(sets[j]) - c):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("differ", [5, 10])
+def test_near_duplicates_large_group(spark, differ):
+    """500 texts of one template: about 0.86 similar (5 words differ), or 0.74 and mostly no link (10 words)."""
+    texts = _template(differ, 500, differ)
+    exp = _components(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = hyperminhash.near_duplicates(docs, width=4).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == list(enumerate(exp))
+    assert len(set(exp)) == 1 if differ == 5 else len(set(exp)) > 400
+
+
+def test_near_duplicates_repeated_rows(spark):
+    text = _template(1, 2, 4)
+    docs = spark.createDataFrame([(i % 2, text[i % 2]) for i in range(400)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in hyperminhash.near_duplicates(docs, width=4).collect()} == {(0, 0), (1, 0)}
+
+
+def test_common_counts():
+    r = np.random.default_rng(4)
+    sets = [np.unique(np.concatenate([np.arange(20), r.integers(20, 400, r.integers(0, 60))])).astype(np.uint64) for _ in range(60)] + [np.zeros(0, np.uint64)]
+    got = hyperminhash.common_counts(sets[:25], sets[25:])
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[25:]] for a in sets[:25]]
+
+
+def test_one_of_each_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 7, 8), (2, "a b c d e f", 9, 9), (None, "x", 1, 1)], "doc_id long, text string, kept_id long, __d long")
+    assert sorted(map(tuple, hyperminhash.one_of_each(docs).collect()), key=key) == [(1, "a b c d e f", 7, 8), (None, "x", 1, 1)]
