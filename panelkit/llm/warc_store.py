@@ -17,8 +17,8 @@ is the response and the others are revisit records that refer to it; shorter pay
 stored once too, but all their records are responses.
 
 Scale: page metadata (id, address, length) is pre-aggregated per address before the
-shuffle; page bytes are shuffled once, by page and address, so that a payload
-shared by a third of all pages is spread; only one copy of it is written.  The
+shuffle; page bytes are shuffled once, by address, after each partition has dropped its repeated payloads, so that a payload
+shared by a third of all pages arrives once per partition; only one copy of it is written.  The
 join of records with addresses has one row per address on the other side, which adaptive
 execution splits where one address is hot.
 
@@ -80,10 +80,8 @@ def write_archive(pages: DataFrame, path: str, revisit_bytes: int = 1000, date:
     meta = src.select("page_id", "url", "address", "n_bytes", F.sha1("payload").alias("sha1"))
     owner = meta.groupBy("address").agg(F.max("page_id").alias("response"))
 
-    stored = (src.select("address", "page_id", "n_bytes", "payload")
-              .join(owner.withColumnRenamed("address", "a"), (F.col("address") == F.col("a")) & F.col("page_id").eqNullSafe(F.col("response")))
-              .select("address", "n_bytes", "payload").dropDuplicates(["address"]))
-    stored.write.parquet(f"{path}/payloads")
+    # one address, one payload: a partition sends each of its payloads once
+    src.select("address", "n_bytes", "payload").dropDuplicates(["address"]).write.parquet(f"{path}/payloads")
 
     records = meta.join(owner, "address").withColumn(
         "revisit", (F.col("n_bytes") >= revisit_bytes) & F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response")))
