@@ -11,11 +11,13 @@ import threading
 
 from pyspark.sql import functions as F
 
+from ..operators import grids as G
 from ..operators import joins as J
 from ..operators import ml as M
 from ..operators import scenario as SC
 from ..operators import split as SP
 from ..operators.ordinal import with_ordinal
+from ..session import checkpoint_dir
 from ..sources import readers as R
 from . import bindings as B
 from . import flows as FL
@@ -30,7 +32,6 @@ LABEL = "target"
 _lock = threading.Lock()
 _tables: dict = {}
 _tune_lock = threading.Lock()
-_tuned: dict = {}
 
 
 def feature_table(spark, sf):
@@ -184,14 +185,13 @@ def _one(spark, sf, family):
 
 
 def tuned(spark, sf, family):
-    """(model, best parameters, scores): the family's full grid over expanding folds and its best combination refitted on
-    the training rows, once per (application, input)."""
+    """(model, best parameters, scores): the family's full grid over expanding folds and its best combination refitted on the
+    training rows.  Results are kept below the shared folder under a fingerprint of those rows."""
     f = feature_table(spark, sf).where(F.col("split") == "train")
-    key = (spark.sparkContext.applicationId, sf, family)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
     with _tune_lock:
-        if key not in _tuned:
-            _tuned[key] = M.tuned_model(f, family, FEATS, LABEL)
-        return _tuned[key]
+        store = G.Store(f, root, ["ordinal", LABEL, *FEATS])
+        return G.tuned(f, family, FEATS, LABEL, store, lambda name: R.scratch_path(spark, name))
 
 
 def _all(spark, sf):
@@ -220,21 +220,6 @@ def ml_mlp(spark, sf):
     return _one(spark, sf, "mlp")
 
 
-@query("ml_leaderboard")
-def ml_leaderboard(spark, sf):
-    """The four tuned models on one holdout, best first."""
-    f, models = _all(spark, sf)
-    return M.rank_models(M.metrics_wide(_scores(f, models)))
-
-
-@query("ml_holdout_predictions")
-def ml_holdout_predictions(spark, sf):
-    """Holdout rows: actual value and the four tuned models' predictions."""
-    f, models = _all(spark, sf)
-    keys = ["series", "year", "month"]
-    return M.pred_vs_actual(_scores(f, models, keys), keys, list(models))
-
-
 @query("cv_grid_search")
 def cv_grid_search(spark, sf):
     """Mean score over expanding folds of every combination of the forest's full grid."""
@@ -251,6 +236,21 @@ def cv_grid_mlp(spark, sf):
     return M.mean_scores(tuned(spark, sf, "mlp")[2])
 
 
+@query("ml_leaderboard")
+def ml_leaderboard(spark, sf):
+    """The four tuned models on one holdout, best first."""
+    f, models = _all(spark, sf)
+    return M.rank_models(M.metrics_wide(_scores(f, models)))
+
+
+@query("ml_holdout_predictions")
+def ml_holdout_predictions(spark, sf):
+    """Holdout rows: actual value and the four tuned models' predictions."""
+    f, models = _all(spark, sf)
+    keys = ["series", "year", "month"]
+    return M.pred_vs_actual(_scores(f, models, keys), keys, list(models))
+
+
 @query("ml_importance_impurity")
 def ml_importance_impurity(spark, sf):
     return M.impurity_importance(spark, tuned(spark, sf, "random_forest")[0], FEATS)

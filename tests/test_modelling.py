@@ -77,16 +77,17 @@ def test_leaderboard_and_bundle(spark, series, tmp_path):
         assert old == pytest.approx(new) and len(new) == 5
 
 
-def test_queries_search_the_full_grids_and_rank_the_refitted(spark, monkeypatch):
+def test_queries_search_the_full_grids_and_rank_the_refitted(spark, monkeypatch, tmp_path):
     from conftest import SF_SMALL
+    from panelkit.operators import grids as G
     from panelkit.plans import catalog_model as Q
     from panelkit.plans.registry import QUERIES
 
     fitted = []
 
-    def search(base, fit, combos, label, n_folds=5):
+    def scores(combos):
         rows = [(i, json.dumps(c, sort_keys=True), 0, float(len(combos) - i)) for i, c in enumerate(combos)]
-        return spark.createDataFrame(rows, "combo int, params string, fold int, rmse double")
+        return spark.createDataFrame(rows, G.SCORES)
 
     def trainer(family, features, label):
         def fit(train, **kw):
@@ -94,12 +95,15 @@ def test_queries_search_the_full_grids_and_rank_the_refitted(spark, monkeypatch)
             return M.ols(features, label).fit(train)
         return fit
 
-    monkeypatch.setattr(M, "grid_search", search)
+    net = M.NeuralModel.fit(Q.feature_table(spark, SF_SMALL).where("split = 'train'"), Q.FEATS, Q.LABEL, hidden=(2,), max_iter=2)
+    monkeypatch.setattr(G, "network_grid", lambda base, f, y, combos, n: (scores(combos), {len(combos) - 1: net}))
+    monkeypatch.setattr(G, "ensemble_grid", lambda base, family, f, y, combos, scratch, n, store: scores(combos))
     monkeypatch.setattr(M, "trainer", trainer)
-    monkeypatch.setattr(Q, "_tuned", {})
+    monkeypatch.setattr(Q, "checkpoint_dir", lambda s: str(tmp_path))
+    monkeypatch.setattr(G.Store, "path", lambda self, name: f"{tmp_path}/{name}")  # a store of this test's own
     for name, family in [("cv_grid_search", "random_forest"), ("cv_grid_boosted_trees", "boosted_trees"), ("cv_grid_mlp", "mlp")]:
         got = {r.params for r in QUERIES[name](spark, SF_SMALL).collect()}
         assert got == {json.dumps(c, sort_keys=True) for c in M.grid(M.GRIDS[family])}
     assert QUERIES["ml_leaderboard"](spark, SF_SMALL).count() == 4
     # each family searched once, its best (here the last) combination refitted
-    assert fitted == [(k, M.grid(M.GRIDS[k])[-1]) for k in ("random_forest", "boosted_trees", "mlp")]
+    assert fitted == [(k, M.grid(M.GRIDS[k])[-1]) for k in ("random_forest", "boosted_trees")]
