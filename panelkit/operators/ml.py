@@ -12,6 +12,7 @@
   the best combination is picked with ``min_by``.
 """
 
+import functools
 import itertools
 import json
 from concurrent.futures import ThreadPoolExecutor
@@ -59,6 +60,58 @@ def one_feature_ols(train: DataFrame, x: str, y: str) -> DataFrame:
     return train.agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"), F.regr_intercept(F.col(y), F.col(x)).alias("intercept"))
 
 
+def gram(df: DataFrame, features, label: str, blocks=None) -> DataFrame:
+    """Sufficient statistics of a linear fit, one row per block: n and the sum of every product of two of (1, features, label), as one
+    array in row order of the upper triangle.  ``blocks``: column expression numbering the blocks (default: one block).  Sums of blocks
+    are the statistics of their union, so one pass serves the whole fit and every expanding fold."""
+    cols = [F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(label).cast("double")]
+    known = [F.col(c).isNotNull() for c in [*features, label]]
+    pairs = [F.sum(a * b) for i, a in enumerate(cols) for b in cols[i:]]
+    rows = df.where(functools.reduce(lambda a, b: a & b, known)).withColumn("block", F.lit(0) if blocks is None else blocks)
+    return rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.array(*pairs).alias("products"))
+
+
+def solve_gram(products, size: int) -> tuple[np.ndarray, float]:
+    """(coefficients with the intercept first, sum of squared residuals) from the products of ``gram``."""
+    g = np.zeros((size, size))
+    g[np.triu_indices(size)] = products
+    g = g + np.triu(g, 1).T
+    d = np.sqrt(np.where(np.diag(g) > 0, np.diag(g), 1.0))  # unit diagonal: columns of any scale
+    x = g / d[:, None] / d[None, :]
+    beta = np.linalg.lstsq(x[:-1, :-1], x[:-1, -1], rcond=1e-13)[0] * d[-1] / d[:-1]
+    return beta, squared_error(products, beta)
+
+
+def squared_error(products, beta) -> float:
+    """Sum of squared residuals of coefficients on the rows that the products come from."""
+    size = len(beta) + 1
+    g = np.zeros((size, size))
+    g[np.triu_indices(size)] = products
+    g = g + np.triu(g, 1).T
+    w = np.append(beta, -1.0)
+    return float(max(w @ g @ w, 0.0))
+
+
+def ols_folds(base: DataFrame, features, label: str, n_folds: int = 5, ordinal: str = "ordinal") -> DataFrame:
+    """(fold, n_train, rmse, coefficients) of OLS on every expanding fold, and on all rows (fold = n_folds, RMSE on them), from one pass over
+    the rows: running sums of the blocks' statistics are the training ranges, each next block is the test."""
+    features = list(features)
+    low, n = base.agg(F.min(ordinal), F.count(F.lit(1))).first()
+    size = n // (n_folds + 1)
+    first = low + n - n_folds * size
+    block = F.when(F.col(ordinal) < first, 0).otherwise(F.floor((F.col(ordinal) - first) / max(size, 1)) + 1).cast("int")
+    rows = {r.block: r for r in gram(base, features, label, block).collect()}  # n_folds + 1 rows
+    zero = np.zeros((len(features) + 2) * (len(features) + 3) // 2)
+    at = lambda b: np.array(rows[b].products) if b in rows else zero
+    out, total, seen = [], zero, 0
+    for b in range(n_folds + 1):
+        total, seen = total + at(b), seen + (rows[b].n if b in rows else 0)
+        beta, sse = solve_gram(total, len(features) + 2)
+        test, m = (at(b + 1), rows[b + 1].n if b + 1 in rows else 0) if b < n_folds else (total, seen)
+        out.append((b, seen, float(np.sqrt(squared_error(test, beta) / m)) if m else None, beta.tolist()))
+    return base.sparkSession.createDataFrame(out, "fold int, n_train long, rmse double, coefficients array<double>")
+
+
 def scored(model_name: str, df: DataFrame, pred, label: str, split: str = "split", keys=()) -> DataFrame:
     """Normalise a scored frame to (model, split, *keys, y, pred)."""
     p = F.col(pred) if isinstance(pred, str) else pred

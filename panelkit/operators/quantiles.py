@@ -3,9 +3,10 @@
 Four methods:
 
 * ``"histogram"`` (default) - exact, one lazy plan, no sort of the data.  Three
-  aggregations refine the buckets that hold the wanted order statistics:
-  fixed logarithmic buckets (2^17 over the whole double range), then 2^20 equal buckets inside each
-  wanted one, then the distinct values inside each wanted one of those.  Every aggregation combines on the
+  aggregations refine the buckets that hold the wanted order statistics, along the digits of the doubles themselves:
+  sign, exponent and the first 9 bits of the mantissa; then its next 21 bits; then the distinct values that share those, which
+  differ in the last 22 bits.  So a pass has at most 2^22 keys for a column (or wanted bucket), whatever
+  the magnitudes and however many rows.  Every aggregation combines on the
   map side and is keyed by the bucket too, so neither a hot value nor a column
   or group with a third of the rows meets in one task; running sums are taken over bucket tables only.
   A bucket whose values are all equal is not refined further.
@@ -37,9 +38,8 @@ from .ordinal import with_ordinal
 
 DEFAULT_METHOD = "histogram"
 DEFAULT_ACCURACY = 100_000
-_LOG_MAX = 710.0    # above log1p of the largest double
-_COARSE = 1 << 17   # buckets of the first aggregation
-_FINE = 1 << 20     # buckets inside a wanted one
+_TOP = 1 << 9       # slices of a power of two in the first aggregation
+_FINE = 1 << 21     # slices of one of those in the second
 
 
 def _stack(df: DataFrame, cols, by) -> DataFrame:
@@ -89,13 +89,24 @@ def column_stats(df: DataFrame, cols, stats) -> DataFrame:
     ])).alias("r")).select("r.*")
 
 
+def _digits(v):
+    """(first, second) digit of a double, both in the order of the values: sign, exponent and 9 bits of the mantissa; the next 21 bits.
+    Powers of two scale exactly, so no rounding moves a value over a border."""
+    size = F.abs(v)
+    near = F.floor(F.log2(size))
+    power = F.when(size < F.pow(F.lit(2.0), near), near - 1).when(size >= F.pow(F.lit(2.0), near + 1), near + 1).otherwise(near)
+    slices = (size / F.pow(F.lit(2.0), power) - 1) * _TOP
+    first = F.when(size == 0, 0).when(size == float("inf"), 2100 * _TOP).otherwise((power + 1075) * _TOP + F.floor(slices))
+    second = F.when((size == 0) | (size == float("inf")), 0).otherwise(F.floor((slices - F.floor(slices)) * _FINE))
+    sign = F.signum(v)
+    return (sign * first).cast("int"), (sign * second).cast("int")
+
+
 def _histogram_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
     keys = [*by, "column"]
     # without groups the wanted buckets are 2 x columns x probabilities at most
     small = (lambda d: d) if by else F.broadcast
-    v = F.col("value")
-    scale = F.greatest(F.lit(-_LOG_MAX), F.least(F.lit(_LOG_MAX), F.signum(v) * F.log1p(F.abs(v))))
-    coarse = F.floor((scale + _LOG_MAX) * F.lit(_COARSE / (2 * _LOG_MAX))).cast("int")
+    coarse, fine = _digits(F.col("value"))
     rows = _stack(df, cols, by).withColumn("__b", coarse)
     span = [F.count(F.lit(1)).alias("__c"), F.min("value").alias("__lo"), F.max("value").alias("__hi")]
 
@@ -112,11 +123,9 @@ def _histogram_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
     open_, done = F.col("__lo") < F.col("__hi"), F.col("__lo") == F.col("__hi")
     found = [wanted.where(done).select(*keys, "p", "__frac", "__r0", F.col("__lo").alias("__v"))]
 
-    # inside each wanted bucket: equal buckets between its least and largest value
-    sel = wanted.where(open_).select(*keys, "__b", F.col("__lo").alias("__a"), F.col("__hi").alias("__z")).distinct()
-    part = F.nanvl((v - F.col("__a")) / (F.col("__z") - F.col("__a")), F.lit(1.0))
-    fine = F.least(F.floor(part * _FINE), F.lit(_FINE - 1)).cast("int")
-    rows = rows.join(small(sel), [*keys, "__b"]).withColumn("__f", fine).drop("__a", "__z")
+    # the next digits inside each wanted bucket
+    sel = wanted.where(open_).select(*keys, "__b").distinct()
+    rows = rows.join(small(sel), [*keys, "__b"]).withColumn("__f", fine)
     h = rows.groupBy(*keys, "__b", "__f").agg(*span)
     h = h.withColumn("__upto", F.sum("__c").over(Window.partitionBy(*keys, "__b").orderBy("__f")))
     first = wanted.where(open_).drop("__lo", "__hi")

@@ -63,7 +63,7 @@ def add_lookback(sdf: DataFrame, series, lags: dict | None = None, rolls: dict |
     u = base.unionByName(halo).withColumn(_SKEY, _series_key(series))
     w = Window.partitionBy(BLK).orderBy(ORD)
     cols = {}
-    same = {j: F.lag(_SKEY, j).over(w).eqNullSafe(F.col(_SKEY)) for j in range(1, depth + 1)}
+    same = {j: F.lag(_SKEY, j).over(w).eqNullSafe(F.col(_SKEY)) for _, j in lags.values()}
 
     def back(c, j):
         if j == 0:
@@ -72,16 +72,8 @@ def add_lookback(sdf: DataFrame, series, lags: dict | None = None, rolls: dict |
 
     for out, (c, k) in lags.items():
         cols[out] = back(c, k)
-    for out, (c, width) in rolls.items():
-        vals = [back(c, j) for j in range(width - 1, -1, -1)]  # oldest first
-        total = None
-        cnt = None
-        for v in vals:
-            t = F.coalesce(v.cast("double"), F.lit(0.0))
-            n = F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0))
-            total = t if total is None else total + t
-            cnt = n if cnt is None else cnt + n
-        cols[out] = F.when(cnt > 0, total / cnt)
+    for out, (c, width) in rolls.items():  # one frame, however wide
+        cols[out] = F.avg(F.col(c).cast("double")).over(Window.partitionBy(BLK, _SKEY).orderBy(ORD).rowsBetween(1 - width, 0))
     return u.withColumns(cols).where(~F.col(_HALO)).drop(_HALO, _SKEY)
 
 
@@ -89,23 +81,20 @@ def add_backfill(sdf: DataFrame, series, fills: dict) -> DataFrame:
     """On a ``sequenced`` frame set {out: col} = first non-NULL value of ``col``
     at or after the current row in the same series."""
     series = _as_list(series)
-    out = sdf
-    for name, c in fills.items():
-        w_in = Window.partitionBy(BLK, *series).orderBy(ORD).rowsBetween(0, Window.unboundedFollowing)
-        inner = F.first(F.col(c), ignorenulls=True).over(w_in)
-        # one row per (series, block): first non-NULL value of the block
-        heads = out.groupBy(*series, BLK).agg(
-            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ORD))).alias("__bf_head")
-        )
-        w_blk = Window.partitionBy(*series).orderBy(BLK).rowsBetween(1, Window.unboundedFollowing)
-        carry = heads.select(*series, BLK, F.first("__bf_head", ignorenulls=True).over(w_blk).alias("__bf_carry"))
-        out = (
-            out.withColumn("__bf_inner", inner)
-            .join(carry, [*series, BLK], "left")
-            .withColumn(name, F.coalesce(F.col("__bf_inner"), F.col("__bf_carry")))
-            .drop("__bf_inner", "__bf_carry")
-        )
-    return out
+    names = list(fills)
+    w_in = Window.partitionBy(BLK, *series).orderBy(ORD).rowsBetween(0, Window.unboundedFollowing)
+    # one row per (series, block) holds the first non-NULL value of every column
+    heads = sdf.groupBy(*series, BLK).agg(*[
+        F.min_by(F.col(fills[n]), F.when(F.col(fills[n]).isNotNull(), F.col(ORD))).alias(f"__bf_{i}") for i, n in enumerate(names)])
+    w_blk = Window.partitionBy(*series).orderBy(BLK).rowsBetween(1, Window.unboundedFollowing)
+    carry = heads.select(*[F.col(s).alias(f"__bs_{i}") for i, s in enumerate(series)], F.col(BLK).alias("__bs_blk"), *[
+        F.first(f"__bf_{i}", ignorenulls=True).over(w_blk).alias(f"__bf_{i}") for i in range(len(names))])
+    inner = sdf.withColumns({f"__bi_{i}": F.first(F.col(fills[n]), ignorenulls=True).over(w_in) for i, n in enumerate(names)})
+    same = F.col(BLK) == F.col("__bs_blk")
+    for i, s in enumerate(series):  # a NULL series is a series too
+        same = same & F.col(s).eqNullSafe(F.col(f"__bs_{i}"))
+    out = inner.join(carry, same, "left").withColumns({n: F.coalesce(f"__bi_{i}", f"__bf_{i}") for i, n in enumerate(names)})
+    return out.drop("__bs_blk", *[f"__bs_{i}" for i in range(len(series))], *[x for i in range(len(names)) for x in (f"__bi_{i}", f"__bf_{i}")])
 
 
 def finish(sdf: DataFrame) -> DataFrame:

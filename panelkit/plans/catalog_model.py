@@ -205,6 +205,56 @@ def ml_ols_full(spark, sf):
     return _one(spark, sf, "ols")
 
 
+_TERMS = ["intercept", *FEATS, LABEL]
+
+
+def _gram_sql():
+    expr = {"intercept": "CAST(1 AS DOUBLE)"}
+    sums = ", ".join(f"sum({expr.get(a, a)} * {expr.get(b, b)}) AS s{i}_{j}" for i, a in enumerate(_TERMS) for j, b in enumerate(_TERMS) if j >= i)
+    some = " AND ".join(f"{c} IS NOT NULL" for c in _TERMS[1:])
+    cells = " UNION ALL ".join(f"SELECT split, n, '{a}' AS term_a, '{b}' AS term_b, s{i}_{j} / nullif(sqrt(s{i}_{i} * s{j}_{j}), 0) AS cosine FROM g"
+                               for i, a in enumerate(_TERMS) for j, b in enumerate(_TERMS) if j >= i)
+    return features_sql(cells, g=f"SELECT split, COUNT(*) AS n, {sums} FROM features WHERE {some} GROUP BY split")
+
+
+@query("ml_gram", rsql(_gram_sql(), ["cosine"]))
+def ml_gram(spark, sf):
+    """Sufficient statistics of the linear fit by split: the cosine of every two terms."""
+    g = M.gram(feature_table(spark, sf), FEATS, LABEL, F.col("split")).withColumnRenamed("block", "split")
+    k = len(_TERMS)
+    at = {}
+    for i in range(k):
+        for j in range(i, k):
+            at[i, j] = len(at)
+    p = F.col("products")
+    cells = F.explode(F.array(*[F.struct(F.lit(_TERMS[i]).alias("term_a"), F.lit(_TERMS[j]).alias("term_b"), F.try_divide(
+        p[n], F.sqrt(p[at[i, i]] * p[at[j, j]])).alias("cosine")) for (i, j), n in at.items()]))
+    return rounded(g.select("split", "n", cells.alias("c")).select("split", "n", "c.*"))
+
+
+@query("ml_ols_residuals", rsql(features_sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS term, (SELECT COUNT(*) FROM features WHERE split = 'train') AS n, CAST(0 AS DOUBLE) AS cosine" for t in _TERMS[:-1])), ["cosine"]))
+def ml_ols_residuals(spark, sf):
+    """The residuals of the full linear fit on its training rows are orthogonal to every term (cosine 0)."""
+    train = feature_table(spark, sf).where(F.col("split") == "train")
+    beta = M.ols_folds(train, FEATS, LABEL).where("fold = 5").first().coefficients
+    e = F.col(LABEL) - F.lit(beta[0])
+    for b, c in zip(beta[1:], FEATS, strict=True):
+        e = e - F.lit(b) * F.col(c)
+    terms = [F.lit(1.0), *[F.col(c).cast("double") for c in FEATS]]
+    sums = train.withColumn("__e", e).agg(F.count(F.lit(1)).alias("n"), *[
+        F.coalesce(F.try_divide(F.sum(F.col("__e") * t), F.sqrt(F.sum(t * t) * F.sum(F.col(LABEL) * F.col(LABEL)))), F.lit(0.0)).alias(f"c{i}")
+        for i, t in enumerate(terms)])
+    cells = F.explode(F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"c{i}").alias("cosine")) for i, t in enumerate(_TERMS[:-1])]))
+    return rounded(sums.select("n", cells.alias("c")).select("c.term", "n", "c.cosine"))
+
+
+@query("cv_ols_folds")
+def cv_ols_folds(spark, sf):
+    """RMSE of the full linear fit on every expanding fold, from one pass."""
+    return M.ols_folds(feature_table(spark, sf).where(F.col("split") == "train"), FEATS, LABEL).select("fold", "n_train", "rmse")
+
+
 @query("ml_random_forest")
 def ml_random_forest(spark, sf):
     return _one(spark, sf, "random_forest")

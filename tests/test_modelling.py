@@ -107,3 +107,17 @@ def test_queries_search_the_full_grids_and_rank_the_refitted(spark, monkeypatch,
     assert QUERIES["ml_leaderboard"](spark, SF_SMALL).count() == 4
     # each family searched once, its best (here the last) combination refitted
     assert fitted == [(k, M.grid(M.GRIDS[k])[-1]) for k in ("random_forest", "boosted_trees")]
+
+
+def test_ols_folds_from_one_pass(series):
+    got = M.ols_folds(series, FEATURES, "y", n_folds=4).orderBy("fold").collect()
+    rows = sorted((r.ordinal, r.a, r.b, r.y) for r in series.collect())
+    x = np.array([[1.0, a, b] for _, a, b, _ in rows])
+    y = np.array([r[3] for r in rows])
+    for r, start in zip(got, (24, 48, 72, 96, 120), strict=True):
+        beta = np.linalg.lstsq(x[:start], y[:start], rcond=None)[0]
+        test = slice(start, start + 24) if start < 120 else slice(0, 120)
+        assert r.n_train == start and r.coefficients == pytest.approx(beta.tolist(), rel=1e-9)
+        assert r.rmse == pytest.approx(np.sqrt(np.mean((x[test] @ beta - y[test]) ** 2)), rel=1e-7)
+    again = M.ols(FEATURES, "y").fit(series).stages[-1]
+    assert got[-1].coefficients == pytest.approx([again.intercept, *again.coefficients], rel=1e-8)
