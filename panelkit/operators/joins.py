@@ -1,11 +1,7 @@
 """Join operators.
 
-``attach_group_stats`` is the one place where a statistics table is joined
-back onto its (large) source.  The statistics are a grouped aggregate, so
-their size depends on the number of groups, not on the data: we count them
-(the aggregate is cached first, so the count does not cost a second pass) and
-broadcast only below a row bound.  Above it, the join is an ordinary
-shuffle join left to AQE (which also splits skewed keys).
+``attach_group_stats`` is the one place where a statistics table is joined back onto its (large) source.  Its size depends on the number of
+groups; the join's strategy is left to the planner and to adaptive execution, which know its bytes.
 """
 
 from __future__ import annotations
@@ -14,17 +10,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
-
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
-    """Return (frame, is_broadcast): the frame wrapped in ``broadcast`` when it
-    has at most ``max_rows`` rows (checked), else unchanged."""
-    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    return (F.broadcast(cached), True) if n <= max_rows else (cached, False)
 
 
 def attach_row(big: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -37,16 +22,16 @@ def attach_row(big: DataFrame, one_row: DataFrame) -> DataFrame:
     return big.withColumn("__p", p).withColumns({c: F.col("__p").getField(c) for c in cols}).drop("__p")
 
 
-def attach_group_stats(big: DataFrame, stats: DataFrame, keys, how: str = "left",
-                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def attach_group_stats(big: DataFrame, stats: DataFrame, keys, how: str = "left") -> DataFrame:
     """Join per-group statistics onto every row of ``big``.  With no keys the
-    statistics are a single row attached by :func:`attach_row`."""
+    statistics are a single row attached by :func:`attach_row`.  Nothing is counted or
+    hinted: adaptive execution sees the statistics' bytes, broadcasts them where they are small and splits skewed groups elsewhere."""
     keys = list(keys)
     if not keys:
         return attach_row(big, stats)
-    s, _ = bounded_broadcast(stats, max_rows)
-    cond = reduce(lambda a, b: a & b, [big[k].eqNullSafe(s[k]) for k in keys])
-    return big.join(s, cond, how).drop(*[s[k] for k in keys])
+    s = stats.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *[c for c in stats.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys])
+    return big.join(s, cond, how).drop(*[f"__g_{k}" for k in keys])
 
 
 def outer_merge(a: DataFrame, b: DataFrame, keys) -> DataFrame:

@@ -22,6 +22,55 @@ RISK_DROUGHT_NOTE = "-1.0 Std Deviation"
 RISK_OK_NOTE = "Optimal Range"
 
 
+# The simulator's input ranges, and the values it starts from (by season where they differ).
+RANGES = {"rainfall": (200.0, 3000.0), "temperature": (20.0, 40.0), "gdp": (1.0, 120.0), "inflation": (0.0, 100.0),
+          "sown": (200.0, 2000.0), "ratio": (0.60, 1.00), "lag1": (100.0, 3500.0)}
+DEFAULTS = {"rainfall": {"first": 1450.0, "second": 750.0}, "temperature": {"first": 26.5, "second": 28.8}, "gdp": 85.0, "inflation": 5.5,
+            "sown": {"first": 1350.0, "second": 850.0}, "ratio": 0.95}
+
+
+def space_size(seasons, steps: dict) -> int:
+    n = len(seasons)
+    for k in steps.values():
+        n *= k
+    return n
+
+
+def scenario_space(spark, seasons: dict, steps: dict, fixed: dict | None = None, ranges: dict = RANGES, defaults: dict = DEFAULTS,
+                   start: int = 0, stop: int | None = None) -> DataFrame:
+    """All combinations of the seasons and of ``steps`` ({input: number of evenly spaced values of its range}), every other input at its
+    default: (scenario, season, inputs...).  ``seasons`` maps labels to "first" or "second".
+
+    A scenario's number is its place in mixed radix - season first, then the inputs in the order of ``steps`` - so the table is
+    ``spark.range`` and arithmetic: no product of tables is built, and any slice [start, stop) of a space of any size can run by itself.
+    ``fixed`` ({input: value}) replaces defaults, for instance the last observed production as the previous one."""
+    total, labels = space_size(seasons, steps), list(seasons)
+    rows = spark.range(start, total if stop is None else min(stop, total)).withColumnRenamed("id", "scenario")
+    rest = F.col("scenario")
+
+    def digit(k):
+        nonlocal rest
+        d = rest % k
+        rest = F.floor(rest / k)
+        return d
+
+    place = digit(len(labels))
+    season = F.element_at(F.array(*[F.lit(x) for x in labels]), (place + 1).cast("int"))
+    rows = rows.withColumn("season", season)
+    cols = {}
+    for name, k in steps.items():
+        lo, hi = ranges[name]
+        cols[name] = F.lit(lo) + F.lit(hi - lo) * digit(k) / F.lit(float(max(k - 1, 1)))
+    for name, value in {**defaults, **(fixed or {})}.items():
+        if name in cols:
+            continue
+        if isinstance(value, dict):
+            cols[name] = F.element_at(F.array(*[F.lit(float(value[seasons[x]])) for x in labels]), (place + 1).cast("int"))
+        else:
+            cols[name] = F.lit(float(value))
+    return rows.withColumns(cols)
+
+
 def grid_from_ranges(ranges: DataFrame, dims: dict, steps: int, by=("season",)) -> DataFrame:
     """Cross product of ``steps`` evenly spaced values per dimension, per
     group.  ``ranges`` holds ``{dim}_lo`` / ``{dim}_hi`` per group; ``dims``

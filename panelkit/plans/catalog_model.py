@@ -373,6 +373,25 @@ def _scen_feat_sql(body):
     return features_sql(body, scen=inner)
 
 
+_SPACE = {"rainfall": 7, "temperature": 3, "sown": 5, "ratio": 3}
+_SEASONS = {"H1": "first", "H2": "second"}
+
+
+def _space_sql(body):
+    """``scen`` over the scenario space instead of the panel rows."""
+    text, radix = _scen_feat_sql(body), 2
+    cols = []
+    for name, k in _SPACE.items():
+        lo, hi = SC.RANGES[name]
+        cols.append(f"{lo} + {hi - lo!r} * ((i // {radix}) % {k}) / {float(k - 1)} AS {_SCEN_COLS[name]}")
+        radix *= k
+    for name in ("gdp", "inflation"):
+        cols.append(f"{SC.DEFAULTS[name]} AS {_SCEN_COLS[name]}")
+    space = (f"SELECT i AS scenario, CASE WHEN i % 2 = 0 THEN 'H1' ELSE 'H2' END AS season, {', '.join(cols)}, "
+             f"(SELECT arg_max(target, ordinal) FROM features) AS yield_lag1 FROM range(0, {radix}) t(i)")
+    return text.replace("SELECT series, year, month, season, split, target,", "SELECT scenario, season,").replace("FROM features, c_par p", f"FROM ({space}), c_par p")
+
+
 _SF_OUT = ["series", "year", "month", *FEATS]
 
 
@@ -422,3 +441,35 @@ def scenario_kpis(spark, sf):
     k = k.withColumn("pred_tonnes", round_half_up("pred_tonnes", 3))
     return rounded(k.select("series", "year", "month", "pred_tonnes", "delta_pct", "kg_per_acre", "efficiency_pct",
                             "risk_status", "risk_note"))
+
+
+_SPACE_OUT = ["pred_tonnes", "delta_pct", "kg_per_acre", "efficiency_pct"]
+
+
+@query("scenario_space_kpis", rsql(rsql(_space_sql(f"""SELECT scenario, season, pred * 1000.0 AS pred_tonnes,
+    (pred - mean_target) / nullif(mean_target, 0) * 100 AS delta_pct, (pred * 1000.0) / nullif(harvested_s * 1000.0, 0) * 1000.0 AS kg_per_acre,
+    harvest_efficiency * 100.0 AS efficiency_pct, CASE WHEN drought_flag = 1 THEN '{SC.RISK_DROUGHT}' ELSE '{SC.RISK_OK}' END AS risk_status
+    FROM (SELECT *, intercept + slope * harvested_scaled AS pred FROM scen, ({_COEF_SQL})) s
+    JOIN (SELECT season, avg(target) AS mean_target FROM features GROUP BY season) USING (season)"""), _SPACE_OUT[1:]), ["pred_tonnes"], 3))
+def scenario_space_kpis(spark, sf):
+    """The simulator's whole chain in bulk: its stated ranges and season defaults, the last observed production as the previous one,
+    features with the stored scaling, score and figures."""
+    f = feature_table(spark, sf)
+    last = f.agg(F.max_by(LABEL, "ordinal").alias("v")).first().v
+    space = SC.scenario_space(spark, _SEASONS, _SPACE, fixed={"lag1": last}).withColumnsRenamed(_SCEN_COLS)
+    params = SP.scale_fit(f, CONT, where=F.col("split") == "train")
+    s = SC.scenario_features(space, params, _SCEN_COLS, "season", "H1", _CUTS)
+    coef = M.one_feature_ols(f.where(F.col("split") == "train"), "harvested_scaled", LABEL)
+    s = J.attach_row(s, coef).withColumn("pred", F.col("intercept") + F.col("slope") * F.col("harvested_scaled")).withColumn(
+        "harvested", F.col("sown") * F.col("harvest_efficiency"))
+    k = SC.kpis(s, f.groupBy("season").agg(F.avg(LABEL).alias("mean_target")), "season", "pred", "harvested", "harvest_efficiency")
+    k = k.withColumn("pred_tonnes", round_half_up("pred_tonnes", 3))
+    return rounded(k.select("scenario", "season", *_SPACE_OUT, "risk_status"))
+
+
+@query("scenario_best_model")
+def scenario_best_model(spark, sf):
+    """The panel's scenarios scored by the model of the tuned leaderboard that ranks first."""
+    f, models = _all(spark, sf)
+    best = M.rank_models(M.metrics_wide(_scores(f, models))).first().model
+    return models[best].transform(_scenario_feats(spark, sf)).select("series", "year", "month", F.lit(best).alias("model"), M.PRED)

@@ -172,14 +172,12 @@ def grid_header_row(spark, sf):
 
 @query("grid_key_column", W("SELECT * FROM keys", cells=B.CELLS_SQL, hdr=_HDR_SQL, keys=_KEY_SQL.format(agg="min")))
 def grid_key_column(spark, sf):
-    c = B.cells(spark, sf)
-    return G.key_columns(c, G.header_rows(c))
+    return G.key_columns(B.cells(spark, sf))
 
 
 @query("grid_header_fill", W("SELECT * FROM fill", cells=B.CELLS_SQL, hdr=_HDR_SQL, fill=_FILL_SQL))
 def grid_header_fill(spark, sf):
-    c = B.cells(spark, sf)
-    return G.header_fill(c, G.header_rows(c))
+    return G.header_fill(B.cells(spark, sf))
 
 
 _BANDED = W(_EMIT, cells=B.CELLS_SQL, hdr=_HDR_SQL, keys=_KEY_SQL.format(agg="min"), fill=_FILL_SQL,
@@ -202,6 +200,36 @@ def grid_unpivot_simple(spark, sf):
     return G.unpivot_simple(B.cells_simple(spark, sf))
 
 
+_KINDS = {"yield": ("banded", "orders_total"), "production": ("simple", "orders_simple")}
+
+
+def _report_files(spark, sf):
+    """Both kinds of report files, written as one folder per file and read again with the file's name."""
+    both = [c.withColumn("file", F.concat(F.lit(f"{kind}_"), "file")) for kind, c in (("yield", B.cells(spark, sf)), ("production", B.cells_simple(spark, sf)))]
+    stray = both[1].select(F.lit("notes.xlsx").alias("file"), "row_idx", "col_idx", "value").where("row_idx = 0")
+    path = R.scratch_path(spark, "reports")
+    R.write_table(both[0].unionByName(both[1]).unionByName(stray), path, partition_by=["file"])
+    return R.read_files(spark, path).drop("file").withColumn("file", F.regexp_extract("file_path", "/file=([^/]+)/", 1)).drop("file_name", "file_path")
+
+
+@query("src_load_reports", f"""SELECT district, year, season, a.value AS orders_total, b.value AS orders_simple
+    FROM ({_BANDED}) a FULL JOIN ({_SIMPLE}) b USING (district, year, season)""")
+def src_load_reports(spark, sf):
+    """The loader as one flow: a folder of files of two layouts, routed by file name, parsed, merged and sorted."""
+    return G.load_reports(_report_files(spark, sf), _KINDS)
+
+
+_STATUS_SQL = "SELECT 'yield_' || file AS file, header_row FROM ({a}) UNION ALL SELECT 'production_' || file, header_row FROM ({b})"
+
+
+@query("src_load_status", f"""SELECT file, split_part(file, '_', 1) AS kind, CASE WHEN file LIKE 'yield%' THEN 'banded' ELSE 'simple' END AS layout,
+    header_row, CAST(NULL AS VARCHAR) AS problem FROM ({_STATUS_SQL.format(a=W(_HDR_SQL, cells=B.CELLS_SQL), b=W(_HDR_SQL, cells=B.CELLS_SIMPLE_SQL))})
+    UNION ALL SELECT 'notes.xlsx', NULL, NULL, NULL, 'No layout for notes.xlsx'""")
+def src_load_status(spark, sf):
+    """One row per file of that folder: its kind, layout, header row, and what is wrong with it."""
+    return G.load_status(_report_files(spark, sf), _KINDS)
+
+
 _POS_COLS = ", ".join(f"max(value) FILTER (WHERE col_idx = {i}) AS {n}" for n, i in G.POSITIONAL.items())
 _POS = W(f"""SELECT {_parse_year_sql('year')} AS year, {_season_sql('file')} AS season,
     {', '.join(f'{_double_sql(n)} AS {n}' for n in G.POSITIONAL if n != 'year')}

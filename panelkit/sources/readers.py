@@ -64,12 +64,12 @@ def route_path(path_col) -> dict:
 
 def read_files(spark: SparkSession, pattern: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """Load every file matching ``pattern`` at once, tagged with its file
-    name (``_metadata``), so routing happens per row, not per driver loop."""
+    name and path (``_metadata``), so routing happens per row, not per driver loop."""
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
     df = r.load(pattern)
-    return df.withColumn("file_name", F.col("_metadata.file_name"))
+    return df.withColumns({"file_name": F.col("_metadata.file_name"), "file_path": F.col("_metadata.file_path")})
 
 
 def read_optional(spark: SparkSession, path: str, fmt: str = "parquet", date_col: str | None = None,

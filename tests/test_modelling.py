@@ -121,3 +121,17 @@ def test_ols_folds_from_one_pass(series):
         assert r.rmse == pytest.approx(np.sqrt(np.mean((x[test] @ beta - y[test]) ** 2)), rel=1e-7)
     again = M.ols(FEATURES, "y").fit(series).stages[-1]
     assert got[-1].coefficients == pytest.approx([again.intercept, *again.coefficients], rel=1e-8)
+
+
+def test_scenario_space_runs_in_slices(spark):
+    from panelkit.operators import scenario as SC
+
+    seasons, steps = {"Maha": "first", "Yala": "second"}, {"rainfall": 3, "sown": 2}
+    assert SC.space_size(seasons, steps) == 12
+    rows = [r.asDict() for r in SC.scenario_space(spark, seasons, steps, fixed={"lag1": 7.0}).orderBy("scenario").collect()]
+    assert [(r["season"], r["rainfall"], r["sown"]) for r in rows] == [
+        (s, w, a) for a in (200.0, 2000.0) for w in (200.0, 1600.0, 3000.0) for s in ("Maha", "Yala")]
+    assert {(r["season"], r["temperature"], r["gdp"], r["inflation"], r["ratio"], r["lag1"]) for r in rows} == {
+        ("Maha", 26.5, 85.0, 5.5, 0.95, 7.0), ("Yala", 28.8, 85.0, 5.5, 0.95, 7.0)}
+    parts = [r.asDict() for a in (0, 5, 10) for r in SC.scenario_space(spark, seasons, steps, fixed={"lag1": 7.0}, start=a, stop=a + 5).collect()]
+    assert sorted(parts, key=lambda r: r["scenario"]) == rows

@@ -102,14 +102,26 @@ def test_ordinal_in_order_when_adaptive_execution_merges_range_partitions(spark)
 
 
 def test_group_stats_lookup_same_on_broadcast_and_shuffle_paths(spark):
-    # group "hot" holds a third of the rows; max_rows=0 drops the broadcast hint (the planner
-    # may still broadcast the small side from its own size statistics)
+    # group "hot" holds a third of the rows; the planner picks the join by size
     rows = [("hot" if i % 3 == 0 else f"g{i % 50}", float(i % 101)) for i in range(6000)]
     rows += [(None, 1.0), (None, 3.0)]  # NULL keys match each other (as pandas groupby + merge)
     df = spark.createDataFrame(rows, "g string, x double")
     st = df.groupBy("g").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s"))
     a = J.attach_group_stats(df, st, ["g"]).toPandas()
-    b = J.attach_group_stats(df, st, ["g"], max_rows=0).toPandas()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+           if spark.conf.get(k, None) is not None}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        b = J.attach_group_stats(df, st, ["g"])
+        assert "SortMergeJoin" in b._jdf.queryExecution().executedPlan().toString()
+        b = b.toPandas()
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            if k in old:
+                spark.conf.set(k, old[k])
+            else:
+                spark.conf.unset(k)
     key = ["g", "x", "m", "s"]
     a = a[key].sort_values(["g", "x"], na_position="first").reset_index(drop=True)
     b = b[key].sort_values(["g", "x"], na_position="first").reset_index(drop=True)

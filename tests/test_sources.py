@@ -45,8 +45,25 @@ def test_positional_layout(spark):
 
 
 def test_missing_header_raises_with_file(spark):
-    with pytest.raises(ValueError, match="nohdr.xlsx"):
-        G.header_rows(_cells(spark, "nohdr.xlsx", [["a", "b"]]))
+    cells = _cells(spark, "nohdr.xlsx", [["a", "b"]]).unionByName(_cells(spark, "some_yield_maha.xlsx", [["District", "2001"], ["x", "4"]]))
+    rows = G.header_rows(cells)  # nothing runs while the plan is built
+    with pytest.raises(Exception, match="Cannot find 'district' header row in nohdr.xlsx"):
+        rows.collect()
+    assert [r.file for r in G.header_rows(cells, strict=False).collect()] == ["some_yield_maha.xlsx"]
+    kinds = {"yield": ("simple", "t")}
+    status = {r.file: (r.kind, r.layout, r.header_row, r.problem) for r in G.load_status(cells, kinds).collect()}
+    assert status == {"nohdr.xlsx": (None, None, None, "No layout for nohdr.xlsx"), "some_yield_maha.xlsx": ("yield", "simple", 0, None)}
+    assert [tuple(r) for r in G.load_reports(cells, kinds).collect()] == [("X", 2001, "Maha", 4.0)]
+
+
+def test_banded_labels_fill_to_the_right(spark):
+    grid = [["title"], [None, " District ", "2001/02", None, "nan", "2003"], [None, None, "Major", "Total", "total", " TOTAL "],
+            [None, "kandy", "1", "2", "3", "x"], [None, "total", "1", "2", "3", "4"], [None, " galle ", None, None, "7", "8"]]
+    c = _cells(spark, "yield_yala.xlsx", grid)
+    assert sorted(map(tuple, G.header_fill(c).collect())) == [("yield_yala.xlsx", 3, "2001/02"), ("yield_yala.xlsx", 4, "2001/02"), ("yield_yala.xlsx", 5, "2003")]
+    got = sorted(map(tuple, G.unpivot_banded(c).collect()), key=str)
+    assert got == sorted([("KANDY", 2001, "Yala", 2.0), ("KANDY", 2001, "Yala", 3.0), ("KANDY", 2003, "Yala", None),
+                          ("GALLE", 2001, "Yala", None), ("GALLE", 2001, "Yala", 7.0), ("GALLE", 2003, "Yala", 8.0)], key=str)
 
 
 def test_missing_inputs(spark, tmp_path):
