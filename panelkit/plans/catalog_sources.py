@@ -209,7 +209,7 @@ def _report_files(spark, sf):
     stray = both[1].select(F.lit("notes.xlsx").alias("file"), "row_idx", "col_idx", "value").where("row_idx = 0")
     path = R.scratch_path(spark, "reports")
     R.write_table(both[0].unionByName(both[1]).unionByName(stray), path, partition_by=["file"])
-    return R.read_files(spark, path).drop("file").withColumn("file", F.regexp_extract("file_path", "/file=([^/]+)/", 1)).drop("file_name", "file_path")
+    return R.read_files(spark, path).drop("file").withColumn("file", F.url_decode(F.regexp_replace(F.regexp_extract("file_path", "/file=([^/]+)/", 1), r"\+", "%2B"))).drop("file_name", "file_path")
 
 
 @query("src_load_reports", f"""SELECT district, year, season, a.value AS orders_total, b.value AS orders_simple
