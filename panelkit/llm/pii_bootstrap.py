@@ -116,14 +116,14 @@ def _discovered(src: DataFrame, base: DataFrame, context: int, rounds: int, supp
     # outside every base span: none starts or ends within the token, and none covers it
     b = base.select(F.col("doc_id").alias("d"), F.col("tag").alias("t"), F.col("s").alias("bs"), F.col("e").alias("be"))
     clash = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")) & (F.col("bs") < F.col("e")) & (F.col("s") < F.col("be"))
-    tokens = C.saved(tokens.join(b, clash, "left_anti").where("left <> ''"), "candidates")
+    tokens = C.saved(tokens.join(b, clash, "left_anti"), "candidates")  # all: only learning needs a word on the left
 
     places = F.sum("copies").alias("n")  # counted over the same rows as a word's total
     seeds = base.where("left <> ''").groupBy("kind", "left", F.lower("value").alias("value")).agg(places)
     able = seeds.groupBy("kind", "left").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= support).drop("seeds")
     # an inner join: a semi join would be pushed below the count and shuffle every word of the corpus
     patterns = C.saved(able.join(_word_counts(src), "left"), "patterns")
-    unseen = tokens.groupBy("kind", "left", F.lower("value").alias("value")).agg(places)
+    unseen = tokens.where("left <> ''").groupBy("kind", "left", F.lower("value").alias("value")).agg(places)
     edges = seeds.withColumn("seed", F.lit(True)).union(unseen.withColumn("seed", F.lit(False)))
     edges = edges.groupBy("kind", "left", "value").agg(F.max("seed").alias("seed"), F.sum("n").alias("n")).join(patterns, ["kind", "left"])
     edges = C.saved(edges.select("kind", "left", "value", "seed", "n", "total"), "edges")
@@ -187,13 +187,15 @@ def redact(docs: DataFrame, spans: DataFrame, text_col: str = "text") -> DataFra
     runs = spans.withColumn("fresh", F.coalesce(F.col("s") >= F.max("e").over(upto), F.lit(True)))
     runs = runs.withColumn("run", F.sum(F.col("fresh").cast("long")).over(upto_now))
     runs = runs.groupBy("doc_id", "tag", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("kind", F.struct("s", "e", "kind")).alias("kind"))
-    per = runs.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind"))).alias("__runs"))
-    src = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__tag": F.xxhash64(F.col(text_col).cast("string"))})
-    per = per.withColumnsRenamed({"doc_id": "__d", "tag": "__t"})
-    both = src.join(per, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__tag") == F.col("__t")), "left")
-    pieces = F.expr(f"""transform(__runs, (x, i) -> concat(
-        substring({text_col}, CAST(if(i = 0, 0, element_at(__runs, i).e) + 1 AS INT), CAST(x.s - if(i = 0, 0, element_at(__runs, i).e) AS INT)),
+    at = C.unused(docs, "span_runs")
+    own_id, own_tag = F.col(C.unused(docs, "span_id")), F.col(C.unused(docs, "span_tag"))
+    per = runs.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind"))).alias(at))
+    per = per.select(F.col("doc_id").alias(C.unused(docs, "span_id")), F.col("tag").alias(C.unused(docs, "span_tag")), at)
+    both = docs.join(per, docs["doc_id"].cast("long").eqNullSafe(own_id) & (F.xxhash64(docs[text_col].cast("string")) == own_tag), "left")
+    text = f"`{text_col}`"
+    pieces = F.expr(f"""transform({at}, (x, i) -> concat(
+        substring({text}, CAST(if(i = 0, 0, element_at({at}, i).e) + 1 AS INT), CAST(x.s - if(i = 0, 0, element_at({at}, i).e) AS INT)),
         '<', upper(x.kind), '>'))""")
-    rest = F.expr(f"substring({text_col}, CAST(element_at(__runs, -1).e + 1 AS INT))")
-    clean = F.when(F.size("__runs") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col(text_col))
+    rest = F.expr(f"substring({text}, CAST(element_at({at}, -1).e + 1 AS INT))")
+    clean = F.when(F.size(at) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col(text_col))
     return both.withColumn(text_col, clean).select(*docs.columns)
