@@ -114,6 +114,7 @@ def contaminated() -> F.Column:
 
 def clean_rows(docs: DataFrame, items: DataFrame, size: int = 13, k: int = 5) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
-    bad = decontaminate(docs, items, size, k).where(contaminated()).select(F.col("doc_id").alias("__d"), F.col("tag").alias("__t"))
-    src = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__tag": F.xxhash64(F.col("text").cast("string"))})
-    return src.join(bad, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__tag") == F.col("__t")), "left_anti").select(*docs.columns)
+    i, t = C.unused(docs, "bad_id"), C.unused(docs, "bad_tag")
+    bad = decontaminate(docs, items, size, k).where(contaminated()).select(F.col("doc_id").alias(i), F.col("tag").alias(t))
+    same = docs["doc_id"].cast("long").eqNullSafe(bad[i]) & (F.xxhash64(docs["text"].cast("string")) == bad[t])
+    return docs.join(bad, same, "left_anti")
