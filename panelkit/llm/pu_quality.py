@@ -86,7 +86,7 @@ def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 500, rate:
     return model.w
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray, steps: int = 300) -> float:
+def estimate_prior(p: np.ndarray, u: np.ndarray, steps: int = 300, shares=None) -> float:
     """Share of positives among ``u``."""
     model = _Adam(p.shape[1], 0.05)
     a, b = p[::2], u[::2]
@@ -98,8 +98,8 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, steps: int = 300) -> float:
         return 0.5
     at = np.unique(np.quantile(sp, np.linspace(0, 0.9, 91)))
     qp = 1 - np.searchsorted(sp, at) / len(sp)
-    qu = 1 - np.searchsorted(su, at) / len(su)
-    slack = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(sp)) + 1 / np.sqrt(len(su)))
+    qu, n = shares(model.w, at) if shares else (1 - np.searchsorted(su, at) / len(su), len(su))
+    slack = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(sp)) + 1 / np.sqrt(n))
     best = int(np.argmin((qu + slack) / np.maximum(qp, 1e-9)))
     return float(np.clip(qu[best] / qp[best], 0.02, 0.98))
 
@@ -116,20 +116,56 @@ def measure(docs: DataFrame) -> DataFrame:
     return C.texts(docs).mapInArrow(run, MEASURED)
 
 
+def _scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))])
+
+
+def _summed(rows: DataFrame, values) -> np.ndarray:
+    """Sum over all rows of ``values(inputs)``, an array of one row's numbers each: partial sums per batch, added by Spark."""
+    out = C.arrow(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", T.DoubleType())]))
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                v = values(_inputs(np.array(b.column("x").to_pylist()))).sum(axis=0)
+                yield C.batch(out, i=range(len(v)), v=v)
+
+    got = rows.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()  # one row per number
+    return np.array([r.v for r in sorted(got)])
+
+
+def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of the inputs over all rows."""
+    total = _summed(rows, lambda x: np.hstack([np.ones((len(x), 1)), x]))
+    mean = total[1:] / total[0]
+    return mean, np.sqrt(_summed(rows, lambda x: (x - mean) ** 2) / total[0]) + 1e-3
+
+
+def _shares(rows: DataFrame, mean, scale, w, at) -> tuple[np.ndarray, int]:
+    """Share of all rows whose score is at or above each threshold, and their number."""
+    total = _summed(rows, lambda x: np.hstack([np.ones((len(x), 1)), (_scaled(x, mean, scale) @ w)[:, None] >= at[None, :]]))
+    return total[1:] / total[0], int(total[0])
+
+
 def fit(measured: DataFrame, labels: DataFrame, learnable: Column, fit_rows: int = 20_000) -> dict | None:
     """A model from the rows of ``measured`` for which ``learnable`` holds; ``labels`` has doc_id and quality (0, 1)."""
     good = (labels.select("doc_id", "quality").groupBy("doc_id").agg(F.min("quality").alias("least"))
             .select("doc_id", (F.col("least") == 1).alias("good")))
     rows = measured.where(F.col("doc_id").isNotNull() & learnable).join(good, "doc_id", "left")
     rows = rows.withColumn("good", F.coalesce("good", F.lit(False)))
-    samples = [np.array([r.x for r in rows.where(F.col("good") == g).orderBy(F.xxhash64("doc_id"), "doc_id", "x").select("x").limit(fit_rows).collect()])
-               for g in (True, False)]
+    n = {r.good: r.n for r in rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
+        return None
+    # a sample by a hash threshold: about ``fit_rows`` rows reach the driver, whatever the number of partitions
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    samples = [np.array([r.x for r in rows.where((F.col("good") == g) & (draw < int(min(1.0, fit_rows / n[g]) * (1 << 31))))
+                         .orderBy("doc_id", "x").select("x").collect()]) for g in (True, False)]
     if not all(len(s) for s in samples):
         return None
-    p, u = map(_inputs, samples)
-    mean, scale = u.mean(axis=0), u.std(axis=0) + 1e-3
-    p, u = (np.hstack([np.clip((s - mean) / scale, -8, 8), np.ones((len(s), 1))]) for s in (p, u))
-    prior = estimate_prior(p, u)
+    unlabelled = rows.where(~F.col("good")).select("x")
+    mean, scale = _moments(unlabelled)
+    p, u = (_scaled(_inputs(s), mean, scale) for s in samples)
+    prior = estimate_prior(p, u, shares=lambda w, at: _shares(unlabelled, mean, scale, w, at))
     return {"w": fit_nnpu(p, u, prior), "mean": mean, "scale": scale, "prior": prior}
 
 
@@ -142,8 +178,7 @@ def score(measured: DataFrame, model: dict | None) -> DataFrame:
             if model is None:
                 yield C.batch(out, doc_id=b.column("doc_id"), score=[0.5] * b.num_rows)
             elif b.num_rows:
-                x = _inputs(np.array(b.column("x").to_pylist()))
-                x = np.hstack([np.clip((x - model["mean"]) / model["scale"], -8, 8), np.ones((len(x), 1))])
+                x = _scaled(_inputs(np.array(b.column("x").to_pylist())), model["mean"], model["scale"])
                 yield C.batch(out, doc_id=b.column("doc_id"), score=_sigmoid(x @ model["w"]))
 
     return measured.mapInArrow(run, SCORED)
