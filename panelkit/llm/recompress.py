@@ -29,7 +29,7 @@ No passage length, count or document length is capped.
 
 Defined cases: null or empty text has no words and an empty kept text; texts under 13 words lose nothing;
 rows repeated with one doc_id don't remove each other (no smaller id), rows of one doc_id with other texts are told
-apart by a text hash; a null doc_id counts as larger than all others; an empty table gives an empty result;
+apart by a 64-bit text hash; a null doc_id counts as larger than all others, and such rows are spread by that hash; an empty table gives an empty result;
 further columns are ignored.
 """
 
@@ -52,7 +52,7 @@ LONGEST = 6  # words of a symbol of the third round
 ROUTED = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("dest", T.IntegerType()),
                        T.StructField("one", T.BinaryType()), T.StructField("more", T.BinaryType())])
 FOUND = T.StructType([T.StructField("dest", T.IntegerType()), T.StructField("blob", T.BinaryType())])
-OF_DOC = T.StructType([T.StructField("id", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("blob", T.BinaryType())])
+OF_DOC = T.StructType([T.StructField("id", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("blob", T.BinaryType())])
 KEPT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
                      T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.BinaryType()),
                      T.StructField("kept_sha256", T.StringType())])
@@ -92,6 +92,11 @@ def dest_of(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys & H.U(0xFFFFFF)) % H.U(n)).astype(np.int64)
 
 
+def home(ids: np.ndarray, tags: np.ndarray, n: int) -> np.ndarray:
+    """The destination of a document's own results; texts without an id are spread by their hash."""
+    return H.home(np.where(ids == H.LAST, tags, ids), n)
+
+
 def _round1(n: int, flush_words: int):
     """Documents -> border names, to the name's destination (kind 0) or, if shared within the flush, to the document's (kind 1)."""
     schema = C.arrow(ROUTED)
@@ -117,7 +122,7 @@ def _round1(n: int, flush_words: int):
             one.append(H.pack(ids[owner[lone]], tags[owner[lone]], H.to5(short[lone])))
             more.append(H.pack(np.sort(short[known])))
         shared = np.flatnonzero(~alone)
-        for d, i in H.split_by(H.home(ids[owner[shared]], n), n):
+        for d, i in H.split_by(home(ids[owner[shared]], tags[owner[shared]], n), n):
             i = shared[i]
             i = i[np.argsort(ids[owner[i]], kind="stable")]
             kind.append(1)
@@ -146,7 +151,7 @@ def _meet1(n: int):
     def run(table: pa.Table) -> pa.Table:
         if not table.num_rows or table.column("kind")[0].as_py() == 1:
             return pa.table({"dest": table.column("dest"), "blob": table.column("one")})
-        ids, tags, raw = H.unpack_all(table.column("one").to_pylist(), "<i8", "<u2", ("u1", 5))
+        ids, tags, raw = H.unpack_all(table.column("one").to_pylist(), "<i8", "<i8", ("u1", 5))
         known, = H.unpack_all(table.column("more").to_pylist(), "<u8")
         key = H.from5(raw)
         value, back, count = np.unique(key, return_inverse=True, return_counts=True)
@@ -156,14 +161,14 @@ def _meet1(n: int):
     return run
 
 
-def _to_docs(ids, n, *cols):
+def _to_docs(ids, n, tags, *cols):
     import pyarrow as pa
 
     dest, blob = [], []
-    for d, i in H.split_by(H.home(ids, n), n):
+    for d, i in H.split_by(home(ids, tags, n), n):
         i = i[np.argsort(ids[i], kind="stable")]
         dest.append(d)
-        blob.append(H.pack(ids[i], *[c[i] for c in cols]))
+        blob.append(H.pack(ids[i], tags[i], *[c[i] for c in cols]))
     return pa.table({"dest": pa.array(dest, pa.int32()), "blob": pa.array(blob, pa.binary())})
 
 
@@ -172,12 +177,12 @@ def _of_doc(value):
     import pyarrow as pa
 
     def run(table: pa.Table) -> pa.Table:
-        ids, tags, vals = H.unpack_all(table.column("blob").to_pylist(), "<i8", "<u2", value)
+        ids, tags, vals = H.unpack_all(table.column("blob").to_pylist(), "<i8", "<i8", value)
         order = np.lexsort((tags, ids))
         ids, tags, vals = ids[order], tags[order], vals[order]
         cut = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]))) if len(ids) else np.zeros(0, int)
         ends = np.append(cut[1:], len(ids))
-        return pa.table({"id": pa.array(ids[cut], pa.int64()), "tag": pa.array(tags[cut].astype(np.int32), pa.int32()),
+        return pa.table({"id": pa.array(ids[cut], pa.int64()), "tag": pa.array(tags[cut], pa.int64()),
                          "blob": pa.array([np.ascontiguousarray(vals[a:b]).tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary())})
 
     return run
@@ -221,7 +226,7 @@ def _round2(n: int, flush_words: int):
             one.append(H.pack(ids[o[i]], tags[o[i]], pos[i], full[i]))
             more.append(b"")
         known = np.flatnonzero(gone)
-        for d, i in H.split_by(H.home(ids[o[known]], n), n):
+        for d, i in H.split_by(home(ids[o[known]], tags[o[known]], n), n):
             i = known[i]
             i = i[np.argsort(ids[o[i]], kind="stable")]
             kind.append(1)
@@ -250,7 +255,7 @@ def _meet2(n: int):
     def run(table: pa.Table) -> pa.Table:
         if not table.num_rows or table.column("kind")[0].as_py() == 1:
             return pa.table({"dest": table.column("dest"), "blob": table.column("one")})
-        ids, tags, pos, key = H.unpack_all(table.column("one").to_pylist(), "<i8", "<u2", "<u4", "<u8")
+        ids, tags, pos, key = H.unpack_all(table.column("one").to_pylist(), "<i8", "<i8", "<u4", "<u8")
         value, back = np.unique(key, return_inverse=True)
         least = np.full(len(value), H.LAST)
         np.minimum.at(least, back, ids)
@@ -297,7 +302,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, flush_words: int = 1
     C.ship(spark)
     n = max(32, spread * C.partitions(spark))
     src = C.texts(docs).select(F.coalesce("doc_id", F.lit(H.LAST)).alias("id"),
-                               F.pmod(F.xxhash64("text"), F.lit(65536)).cast("int").alias("tag"), "text")
+                               F.xxhash64("text").alias("tag"), "text")
 
     def exchange(rows, meet, value):
         met = rows.groupBy("kind", "dest").applyInArrow(meet, FOUND)

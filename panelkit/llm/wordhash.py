@@ -68,7 +68,7 @@ class Flush:
     def arrays(self):
         """doc ids, tags, joined hashes, document starts."""
         h = np.concatenate(self.hashes) if self.hashes else np.zeros(0, np.uint64)
-        return (np.array(self.docs, np.int64), np.array(self.tags, np.uint16), h,
+        return (np.array(self.docs, np.int64), np.array(self.tags, np.int64), h,
                 starts_of(np.array([len(x) for x in self.hashes], np.int64)))
 
 

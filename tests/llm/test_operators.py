@@ -363,3 +363,39 @@ def test_common_counts():
 def test_one_of_each_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", 7, 8), (2, "a b c d e f", 9, 9), (None, "x", 1, 1)], "doc_id long, text string, kept_id long, __d long")
     assert sorted(map(tuple, hyperminhash.one_of_each(docs).collect()), key=key) == [(1, "a b c d e f", 7, 8), (None, "x", 1, 1)]
+
+
+def test_recompress_many_rows_without_id(spark):
+    """Texts under one id, or none, are told apart whatever their number: the rows without a repeat lose nothing."""
+    passage = " ".join(prose(2, 20))
+    rows = [(1, passage)] + [(None, f"{passage} {i}" if i % 50 == 0 else " ".join(f"n{i}x{j}" for j in range(20))) for i in range(600)]
+    rows += [(5, f"{passage} five" if i == 0 else " ".join(f"m{i}x{j}" for j in range(20))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = recompress.remove_repeats(docs).collect()
+    same([(r.doc_id, r.n_words, r.n_removed) for r in got],
+         [(d, len(t.split()), 20 if d != 1 and t.startswith(passage) else 0) for d, t in rows])
+
+
+def test_pii_accepted_value_at_the_start(spark):
+    rows = [(i, f"some text then contact: user{i}@mail.example.com and so on") for i in range(20)]
+    rows += [(100, "write contact: root@localhost today"), (101, "root@localhost is mine"), (102, " " * 200 + "root@localhost")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = pii_bootstrap.find_spans(docs)
+    assert sorted((r.doc_id, r.s, r.e) for r in spans.where("not base").collect()) == [(100, 15, 29), (101, 0, 14), (102, 200, 214)]
+
+
+def test_clashing_names_stay(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.cc now", 99, "t", 5)], "doc_id long, text string, __id long, span_runs string, bad_id int")
+    items = spark.createDataFrame([("x", "nothing here")], "item_id string, text string")
+    out = pii_bootstrap.redact(winnow.clean_rows(docs, items), pii_bootstrap.find_spans(docs))
+    assert out.columns == docs.columns and tuple(out.first()) == (1, "mail <EMAIL> now", 99, "t", 5)
+
+
+def test_pu_statistics_over_all_rows(spark):
+    measured = pu_quality.measure(spark.createDataFrame([(i, " ".join(prose(i, 10 + i))) for i in range(60)], "doc_id long, text string")).repartition(4)
+    x = pu_quality._inputs(np.array([r.x for r in measured.collect()]))
+    mean, scale = pu_quality._moments(measured.select("x"))
+    assert np.allclose(mean, x.mean(axis=0)) and np.allclose(scale, x.std(axis=0) + 1e-3)
+    w, at = np.linspace(-1, 1, x.shape[1] + 1), np.array([-1.0, 0.0, 2.0])
+    share, n = pu_quality._shares(measured.select("x"), mean, scale, w, at)
+    assert n == 60 and np.allclose(share, [((pu_quality._scaled(x, mean, scale) @ w) >= a).mean() for a in at])
