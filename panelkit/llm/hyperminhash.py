@@ -133,7 +133,7 @@ def _sketch(width: int, flush_words: int):
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), C.payloads(b, "text"), strict=True):
                 words = text.lower().split()
-                if f.add(0, 0, words, (doc, xxhash.xxh3_128_digest(b" ".join(words)))) or len(f.docs) >= 20_000:
+                if f.add(0, 0, words, (doc, xxhash.xxh3_128_digest(b" ".join(words)))) or len(f.docs) >= 4_096:
                     yield emit(f)
         if f.docs:
             yield emit(f)
@@ -170,10 +170,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     out = C.arrow(PAIR)
 
     def run(batches):
+        import pyarrow as pa
+
         last, kept = None, set()
         for b in batches:
             rows = ([], [])
-            for x, y, s, t in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), C.payloads(b, "ta"), C.payloads(b, "tb"), strict=True):
+            left, right = (b.column(c).cast(pa.large_binary()) for c in ("ta", "tb"))
+            for i, (x, y) in enumerate(zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True)):
+                s, t = left[i].as_py() or b"", right[i].as_py() or b""  # two texts at a time: a batch may hold many long ones
                 if t != last:
                     last, kept = t, shingles(t.lower().split(), width)
                 other = shingles(s.lower().split(), width)
@@ -355,7 +359,7 @@ def _linked(grouped: DataFrame, percent: int) -> DataFrame:
     return cells.groupBy("wide", "x", "o").applyInArrow(run, PAIR).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, centres: int = 2, flush_words: int = 1 << 20) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, centres: int = 2, flush_words: int = 1 << 18) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``.  Documents are linked where
     100 * |intersection| >= percent * |union|; ``centres`` (of each bucket in the star round) trades work between the rounds and doesn't change the result."""
     C.ship(docs.sparkSession)
