@@ -19,12 +19,13 @@ shard order is document order, and a document's place in the whole stream is the
 sum of the earlier shards' ids plus its place in the shard.
 
 Scale: one range shuffle of the texts, no shuffle of ids or payloads.  A task holds
-one Arrow batch and one open block.  Only per-shard totals (one row for
+one Arrow batch, one open block and the words' memo (bounded in bytes).  Only per-shard totals (one row for
 each task) are summed in one place.
 
 Defined cases: null text is an empty document (only the end id); a null doc_id
 sorts first; repeated doc_ids are kept, ordered by text; an empty table gives
-empty files; further columns of the input are ignored.
+empty files; a very long text is encoded whole and fills as many blocks as it needs;
+further columns of the input, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ class _Writer:
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1, block_ids: int = 1 << 16,
-              layout: str = "byte", level: int = 3, cache_words: int = 400_000) -> None:
+              layout: str = "byte", level: int = 3, cache_bytes: int = 64 << 20) -> None:
     """Tokenize ``docs`` (doc_id, text) and write the id files to ``path``."""
     spark = docs.sparkSession
     C.ship(spark)
@@ -124,7 +125,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1
     def encode(batches):
         from pyspark import TaskContext
 
-        words = word_ids(tokenizer, cache_words)
+        words = word_ids(tokenizer, cache_bytes)
         out = _Writer(TaskContext.get().partitionId(), block_ids, layout, level)
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for b in batches:
