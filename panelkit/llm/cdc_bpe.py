@@ -6,8 +6,8 @@ to its last safe place: a visible ASCII or accented Latin-1 character before ASC
 always splits.  The ids of a core depend on its bytes alone and are encoded once and reused.
 
 Joins: between two cores lies a join (the end of one chunk, the start of the next, and whole chunks without a safe place).
-It is re-encoded on its own, then again with one more piece on either side; if the wider ids are not the pieces' and
-the join's ids end to end, the join is widened by those pieces and the neighbouring cores are cut back, until both agree
+It is encoded on its own, then the tokenizer encodes it again with one more piece on either side; if these wider ids are not the
+pieces' and the join's ids end to end, the join is widened by those pieces and the neighbouring cores are cut back, until both agree
 or the text's ends are reached.  The result equals encoding the whole text.
 
 Within a core or a join the library sees each *piece* (white space and the visible run after it) once while a worker's
@@ -16,14 +16,14 @@ second memo holds it; text with unusual white space, control characters or speci
 Routing: documents that share chunks should meet.  Each goes to the task of its least chunk hash, and documents
 lie sorted by that hash in a task, so a chunk is encoded once where its documents meet and is
 forgotten when the memo is full (``memo_bytes``).  A hash shared by more than half a task's documents is dealt over several tasks:
-only such hashes are collected, at most two a shuffle partition.
+the table of such hashes, at most two a shuffle partition, is broadcast.
 
-Scale: the texts are shuffled once, and no ids are.  A task holds one Arrow batch and the memo.
+Scale: the texts are shuffled once, and no ids are.  A task holds one Arrow batch and two memos bounded in bytes.
 
 Defined cases: null text is empty and has no ids; a special token's string in a text gets the special id, as the
 library does it (it has no white space in it, so no cut divides it for good); texts without any
-safe place are encoded whole; repeated rows give equal results; an empty table gives an empty result; a null
-doc_id is kept; further columns are ignored.
+safe place are encoded whole, very long texts chunk by chunk in time that grows with their length; repeated rows give equal results; an empty table gives an empty result; a null
+doc_id is kept; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.llm import common as C
-from panelkit.llm.wordcache import TAIL, Memo
+from panelkit.llm.wordcache import BYTE_OF, LETTERS, TAIL, Memo, ends_in_letter_or_digit, merged, packed
 
 WINDOW = 8
 FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -48,7 +48,7 @@ _SEEN[33:127] = True
 #: Pieces: white space and what follows it.  Their borders are safe places.
 _PIECE = re.compile(rb"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: A space or none and a run of ASCII and accented Latin-1 letters.
-_LETTER_RUN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_LETTER_RUN = re.compile(rb" ?" + LETTERS + rb"+")
 #: What keeps a text from being split into pieces: other white space, control characters, the start of a special token.
 _ODD = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]|\xc2[\x80-\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _ENCODERS: dict[tuple, "ChunkEncoder"] = {}
@@ -81,24 +81,12 @@ def route_of(text: bytes, bits: int) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that byte-level vocabularies write for each byte: visible Latin-1 bytes
-    stand for themselves, the others for the code points from 256 on, in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
-_LETTERS = _byte_letters()
-_SPELLED = {b: c for c, b in _LETTERS.items()}
-
-
 def _token_bytes(token: str) -> bytes:
-    return bytes(_LETTERS[c] for c in token) if all(c in _LETTERS for c in token) else token.encode()
+    return bytes(BYTE_OF[c] for c in token) if all(c in BYTE_OF for c in token) else token.encode()
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, bits: int, memo_bytes: int, pieces: int = 1_000_000):
+    def __init__(self, path: str, bits: int, memo_bytes: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -108,33 +96,38 @@ class ChunkEncoder:
                for t in self.tokenizer.get_added_tokens_decoder().values()) or self.tokenizer.normalizer is not None:
             raise ValueError(f"{path}: text around white space is not independent; chunks cannot be reused")
         for probe in (" naïve", "Écoles"):
-            if [t.id for t in self.tokenizer.model.tokenize(probe.encode().decode("latin-1").translate(_SPELLED))] != self.tokenizer.encode(probe).ids:
+            if merged(self.tokenizer.model, probe.encode()) != self._library(probe.encode()):
                 raise ValueError(f"{path}: not a byte-level vocabulary")
         self.bits, self.limit = bits, memo_bytes
         self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Memo(self._piece, pieces)
+        self.pieces = Memo(self._piece, memo_bytes)
         self.memo: dict[bytes, bytes] = {}
         n = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.bytes_of = [_token_bytes(self.tokenizer.id_to_token(i) or "") for i in range(n)]
         self.decimal = [str(i) for i in range(n)]
-        self.held = self.chunks = self.encoded = 0
+        self.plain = False  # the text in hand is known to be plain
+        self.held = self.chunks = self.encoded = self.widened = 0
 
     def _library(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids if text else []
-        return np.array(ids, "<u4").tobytes()
+        return packed(ids)
 
     def _piece(self, piece: bytes) -> bytes:
         """Punctuation after a letter or digit is a pre-token of its own (but for the apostrophe, which joins endings)."""
         word = piece.rstrip(TAIL)
-        if word != piece and word[-1:].isalnum():
+        if word != piece and ends_in_letter_or_digit(word):
             return self.pieces[word] + self.pieces[piece[len(word):]]
         if _LETTER_RUN.fullmatch(piece):  # one pre-token: straight to the library's merge model
-            return np.array([t.id for t in self.tokenizer.model.tokenize(piece.decode("latin-1").translate(_SPELLED))], "<u4").tobytes()
+            return merged(self.tokenizer.model, piece)
         return self._library(piece)
 
+    def is_plain(self, text: bytes) -> bool:
+        """White-space pieces of a plain text are independent; so are those of its parts."""
+        return not _ODD.search(text) and not any(m in text for m in self.marks)
+
     def library(self, text: bytes) -> bytes:
         """Ids (little-endian 32-bit) of a text that starts and ends at safe places (or at the document's ends)."""
-        if _ODD.search(text) or any(m in text for m in self.marks):
+        if not self.plain and not self.is_plain(text):
             return self._library(text)
         return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
 
@@ -153,16 +146,17 @@ class ChunkEncoder:
         return ids
 
     def join(self, text: bytes, safe: np.ndarray, a: int, b: int, low: int, high: int) -> tuple[int, int, bytes]:
-        """Ids of the join between safe[a] and safe[b] (indices), widened until the wider encoding agrees;
-        ``low`` and ``high`` bound how far.  Returns the places reached and the ids."""
+        """Ids of the join between safe[a] and safe[b] (indices), widened until the tokenizer's own encoding of the wider span
+        agrees with the parts; ``low`` and ``high`` bound how far.  Returns the places reached and the ids."""
         ids = self.library(text[safe[a]:safe[b]])
         while True:
             wide_a, wide_b = max(a - 1, low), min(b + 1, high)
             if (wide_a, wide_b) == (a, b):
                 return a, b, ids
-            wide = self.library(text[safe[wide_a]:safe[wide_b]])
+            wide = self._library(text[safe[wide_a]:safe[wide_b]])
             if wide == self.library(text[safe[wide_a]:safe[a]]) + ids + self.library(text[safe[b]:safe[wide_b]]):
                 return a, b, ids
+            self.widened += 1
             a, b, ids = wide_a, wide_b, wide
 
     def decode(self, ids: list[int]) -> str:
@@ -171,6 +165,7 @@ class ChunkEncoder:
 
     def encode(self, text: bytes) -> bytes:
         """Ids (little-endian 32-bit) of a whole text."""
+        self.plain = self.is_plain(text)
         raw = np.frombuffer(text, np.uint8)
         borders, _ = cuts(raw, self.bits)
         if len(borders) == 2:
@@ -190,15 +185,15 @@ class ChunkEncoder:
             ids = self.core(text[start:int(borders[c + 1])], int(safe[f]) - start, int(safe[g]) - start)
             # the join reaches back to what is done and on into this core at most
             a, b, between = self.join(text, safe, done, f, floor, g) if f > done else (done, f, b"")
-            if a != done:  # the core before was cut back
-                out = [self.library(text[:safe[a]])]
+            if a != done:  # the core before, which lies from floor to done, was cut back
+                out[-1] = self.library(text[safe[floor]:safe[a]])
             out += [between, ids if b == f else self.library(text[safe[b]:safe[g]])]
-            floor = f
+            floor = b
             done = g
         if done < end:
             a, _, between = self.join(text, safe, done, end, floor, end)
             if a != done:
-                out = [self.library(text[:safe[a]])]
+                out[-1] = self.library(text[safe[floor]:safe[a]])
             out.append(between)
         return b"".join(out)
 
@@ -243,10 +238,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, bits: int = 9, memo_bytes:
     routed = C.texts(docs).mapInArrow(route, ROUTE)
     counts = C.saved(routed.groupBy("route").agg(F.count(F.lit(1)).alias("n")), "routes")
     share = max(1, (counts.agg(F.sum("n")).first()[0] or 0) // (2 * n))  # half a task's documents
-    hot = {r.route: -(-r.n // share) for r in counts.where(F.col("n") > share).collect()}  # at most 2 n of them
-    deal = F.lit(0)
-    if hot:
-        parts = F.element_at(F.create_map(*[F.lit(x) for kv in hot.items() for x in kv]), F.col("route"))
-        deal = F.coalesce(F.pmod(F.xxhash64("doc_id"), parts), F.lit(0))
-    dealt = routed.withColumn("deal", deal.cast("int")).repartition(n, "route", "deal").sortWithinPartitions("route")
+    # at most 2 n hashes are that frequent: a table of that bound is broadcast
+    hot = C.saved(counts.where(F.col("n") > share).select("route", F.ceil(F.col("n") / share).cast("long").alias("parts")), "hot-routes")
+    deal = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.lit(0)).cast("int")
+    dealt = routed.join(F.broadcast(hot), "route", "left").withColumn("deal", deal).repartition(n, "route", "deal").sortWithinPartitions("route")
     return dealt.select("doc_id", "text").mapInArrow(encode, ENCODED)

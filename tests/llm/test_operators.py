@@ -243,6 +243,36 @@ def test_cdc_bpe_random_text():
         assert enc.decode(some) == enc.tokenizer.decode(some, skip_special_tokens=False)
 
 
+def test_cdc_bpe_join_widens_until_the_tokenizer_agrees():
+    """Cuts inside a word: the ids of the parts are not those of the whole, and the join grows until they are."""
+    enc = cdc_bpe.ChunkEncoder(BYTE_BPE, 3, 1 << 14)
+    text = b"the international conference today"
+    safe = np.array([0, 4, 9, 12, 15, 21, 28, len(text)])
+    a, b, ids = enc.join(text, safe, 3, 4, 0, len(safe) - 1)
+    assert enc.widened and a < 3 and b > 4
+    assert enc.library(text[:safe[a]]) + ids + enc.library(text[safe[b]:]) == enc.library(text)
+
+
+def test_cdc_bpe_very_long_text_and_full_memo():
+    text = " ".join(prose(21, 60_000)).encode()
+    enc = cdc_bpe.ChunkEncoder(BYTE_BPE, 9, 1 << 16)
+    assert enc.encode(text) == enc._library(text)
+    assert enc.pieces.held <= (1 << 16) + 1000 and len(enc.pieces.old)
+
+
+def test_word_memo(spark):
+    from panelkit.llm.wordcache import Memo, WordIds
+    calls = []
+    memo = Memo(lambda k: calls.append(k) or k.upper(), 1000, longest=8)
+    for i in range(200):
+        assert memo[b"often"] == b"OFTEN" and memo[b"k%d" % i] == b"K%d" % i and memo[b"much too long"] == b"MUCH TOO LONG"
+    assert calls.count(b"often") == 1 and calls.count(b"much too long") == 200 and memo.held < 1400
+    enc, r = WordIds(WORD_BPE, 1 << 14), random.Random(3)
+    for _ in range(3000):
+        text = "".join(r.choice("abEÉéßÀÿ×÷µ'’.,!<|>12 \n\té\u0301İſK日😀-\xa0") for _ in range(r.randint(0, 30))).encode()
+        assert enc.encode(text).tolist() == enc._library(text)
+
+
 # 9 ---------------------------------------------------------------------------------------------
 def test_pu_quality(spark, odd_docs):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
