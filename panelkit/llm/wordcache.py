@@ -47,7 +47,13 @@ SPELLED = {b: c for c, b in BYTE_OF.items()}
 
 def merged(model, raw: bytes) -> bytes:
     """Ids (little-endian 32-bit) of one pre-token by a byte-level model."""
-    return packed([t.id for t in model.tokenize(raw.decode("latin-1").translate(SPELLED))])
+    if raw.isalpha():  # ASCII letters stand for themselves
+        spelled = raw.decode()
+    elif raw[:1] == b" " and raw[1:].isalpha():
+        spelled = SPELLED[32] + raw[1:].decode()
+    else:
+        spelled = raw.decode("latin-1").translate(SPELLED)
+    return packed([t.id for t in model.tokenize(spelled)])
 
 
 def packed(ids: list[int]) -> bytes:
