@@ -3,10 +3,11 @@
 Base: e-mail addresses, IPv4 addresses, payment cards and phone numbers are found by the patterns below (leftmost, not overlapping
 within a kind) and validated; a match that fails is dropped and not retried.  Offsets are code points.
 
-Bootstrapping: base spans are the seeds.  The word before an entity is a lexical pattern for its kind; a pattern's instances are the
-values that follow it.  Candidates are other tokens with digits or an @ whose shape could be of the kind.
-In each round a pattern's confidence is the sum of its instances' scores, each counted at every place where it follows the word, over *all*
-places where its word occurs in the corpus, so that a word which precedes anything at all says nothing and copies change nothing.
+Bootstrapping: base spans are the seeds.  The word before an entity and the word after it are lexical patterns for its kind; a pattern's
+instances are the values beside it.  Candidates are other tokens with digits or an @, and groups of digits with single blanks between them,
+whose shape could be of the kind.
+In each round a pattern's confidence is the sum of its instances' scores, each counted at every place where it stands beside the word, over *all*
+places where its word occurs in the corpus, so that a word which stands beside anything at all says nothing and copies change nothing.
 An instance's score is the noisy-or of its patterns' confidences (seeds stay at 1).  Patterns need ``support`` different seeds.
 After ``rounds`` rounds the candidates that score at least ``accept`` are added, under
 the best kind; they never replace or touch a base span.
@@ -37,11 +38,13 @@ PATTERNS = {
 }
 #: Non-space runs with a digit or an @.
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Digit groups with single blanks between them.
+GROUPS = r"(?<!\S)[+(]*+[0-9][0-9().-]*+(?: [(]?+[0-9][0-9().-]*+)++(?![A-Za-z0-9@_/])"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 #: What an unseen value of a kind must look like.
 SHAPES = {
     "email": r"^[^@\s]+(?:@|\[at\]|\(at\))[^@\s]+$", "ip": r"^[0-9]+(?:[.:][0-9]+){3,}$",
-    "card": r"^[0-9](?:-?[0-9]){11,18}$", "phone": r"^[+(]?[0-9](?:[().-]*[0-9]){6,14}$",
+    "card": r"^[0-9](?:[ -]?[0-9]){11,18}$", "phone": r"^[+(]?[0-9](?:[() .-]*+[0-9]){6,14}$",
 }
 EDGE_MARKS = "\"'()[]{}<>,;:!?*$%&#|."
 
@@ -70,7 +73,7 @@ def _valid(kind: Column, m: Column) -> Column:
 
 
 def _matches(src: DataFrame, patterns: dict[str, str], context: int) -> DataFrame:
-    """One row per match, before validation: doc_id, tag, kind, i, value, s, e (code points), left (the word before it), copies (equal rows)."""
+    """One row per match, before validation: doc_id, tag, kind, i, value, s, e (code points), left and right (the words before and after it), copies (equal rows)."""
     found = F.array(*[F.struct(F.lit(k).alias("kind"), F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias("ms"), F.lit(n).alias("n"))
                       for n, (k, p) in enumerate(patterns.items())])
     # explode_outer and the later filter: the planner would otherwise repeat the matching in a filter below
@@ -79,17 +82,20 @@ def _matches(src: DataFrame, patterns: dict[str, str], context: int) -> DataFram
     for k, p in patterns.items():
         between = F.when(F.col("x.kind") == k, F.split("text", p, -1)).otherwise(between)
     rows = rows.select("doc_id", "tag", F.col("x.kind").alias("kind"), F.col("x.ms").alias("ms"), between.alias("gaps"))
-    each = F.arrays_zip(F.col("ms").alias("m"), F.slice("gaps", 1, F.size("ms")).alias("g"))
+    n = F.size("ms")
+    each = F.arrays_zip(F.col("ms").alias("m"), F.slice("gaps", 1, n).alias("g"), F.slice("gaps", 2, n).alias("h"))
     rows = rows.select("doc_id", "tag", "kind", F.posexplode_outer(each).alias("i", "y")).select(
-        "doc_id", "tag", "kind", "i", F.col("y.m").alias("value"), F.length("y.g").alias("gap"), F.expr(f"right(y.g, {context})").alias("before"))
+        "doc_id", "tag", "kind", "i", F.col("y.m").alias("value"), F.length("y.g").alias("gap"), F.expr(f"right(y.g, {context})").alias("before"),
+        F.expr(f"left(y.h, {context})").alias("after"))
     # repeated rows once, with their number
     rows = rows.groupBy("doc_id", "tag", "kind", "i").agg(
-        *[F.first(c).alias(c) for c in ("value", "gap", "before")], F.count(F.lit(1)).alias("copies"))
+        *[F.first(c).alias(c) for c in ("value", "gap", "before", "after")], F.count(F.lit(1)).alias("copies"))
     upto = Window.partitionBy("doc_id", "tag", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.length("value")).over(upto)
     return rows.withColumn("e", end).select(
         "doc_id", "tag", "kind", "i", "value", (F.col("e") - F.length("value")).alias("s"), "e",
-        F.lower(F.regexp_extract("before", r"(\S+)\s+$", 1)).alias("left"), "copies")
+        F.lower(F.regexp_extract("before", r"(\S+)\s+$", 1)).alias("left"),
+        F.lower(F.regexp_extract("after", r"^\s+(\S+)", 1)).alias("right"), "copies")
 
 
 def _trimmed(rows: DataFrame) -> DataFrame:
@@ -99,42 +105,47 @@ def _trimmed(rows: DataFrame) -> DataFrame:
     core = F.regexp_extract("value", rf"^[{marks}]*+(.*?)[{marks}]*$", 1)
     return rows.withColumn("head", head).withColumn("core", core).select(
         "doc_id", "tag", (F.col("s") + F.col("head")).alias("s"), (F.col("s") + F.col("head") + F.length("core")).alias("e"),
-        F.col("core").alias("value"), "left", "copies").where("value <> ''")
+        F.col("core").alias("value"), "left", "right", "copies").where("value <> ''")
 
 
 def _word_counts(src: DataFrame) -> DataFrame:
-    """(left, total): how often each word occurs, lower-cased, between white space."""
-    return (src.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("left")).where("left <> ''")
-            .groupBy("left").agg(F.count(F.lit(1)).alias("total")))
+    """(word, total): how often each word occurs, lower-cased, between white space."""
+    return (src.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
+            .groupBy("word").agg(F.count(F.lit(1)).alias("total")))
+
+
+def _edges(rows: DataFrame) -> DataFrame:
+    """(kind, side, word, value, n): the values beside each word, and at how many places."""
+    sides = F.array(*[F.struct(F.lit(x).alias("side"), F.col(x).alias("word")) for x in ("left", "right")])
+    rows = rows.select("kind", F.lower("value").alias("value"), "copies", F.explode(sides).alias("x"))
+    return rows.where("x.word <> ''").groupBy("kind", "x.side", "x.word", "value").agg(F.sum("copies").alias("n"))
 
 
 def _discovered(src: DataFrame, base: DataFrame, context: int, rounds: int, support: int, accept: float) -> tuple[DataFrame, list[DataFrame]]:
     """Spans (doc_id, tag, kind, s, e) that bootstrapping adds, and the scratch tables that they are read from."""
-    tokens = _trimmed(_matches(src, {"any": CANDIDATE}, context))
+    tokens = _trimmed(_matches(src, {"any": CANDIDATE, "groups": GROUPS}, context))
     kinds = F.array(*[F.when(F.col("value").rlike(p), F.lit(k)) for k, p in SHAPES.items()])
     tokens = tokens.select("*", F.explode(F.array_compact(kinds)).alias("kind"))
     # outside every base span: none starts or ends within the token, and none covers it
     b = base.select(F.col("doc_id").alias("d"), F.col("tag").alias("t"), F.col("s").alias("bs"), F.col("e").alias("be"))
     clash = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")) & (F.col("bs") < F.col("e")) & (F.col("s") < F.col("be"))
-    tokens = C.saved(tokens.join(b, clash, "left_anti"), "candidates")  # all: only learning needs a word on the left
+    tokens = C.saved(tokens.join(b, clash, "left_anti"), "candidates")  # all: only learning needs a word beside them
 
-    places = F.sum("copies").alias("n")  # counted over the same rows as a word's total
-    seeds = base.where("left <> ''").groupBy("kind", "left", F.lower("value").alias("value")).agg(places)
-    able = seeds.groupBy("kind", "left").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= support).drop("seeds")
+    seeds = _edges(base)  # counted over the same rows as a word's total
+    able = seeds.groupBy("kind", "side", "word").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= support).drop("seeds")
     # an inner join: a semi join would be pushed below the count and shuffle every word of the corpus
-    patterns = C.saved(able.join(_word_counts(src), "left"), "patterns")
-    unseen = tokens.where("left <> ''").groupBy("kind", "left", F.lower("value").alias("value")).agg(places)
-    edges = seeds.withColumn("seed", F.lit(True)).union(unseen.withColumn("seed", F.lit(False)))
-    edges = edges.groupBy("kind", "left", "value").agg(F.max("seed").alias("seed"), F.sum("n").alias("n")).join(patterns, ["kind", "left"])
-    edges = C.saved(edges.select("kind", "left", "value", "seed", "n", "total"), "edges")
+    patterns = C.saved(able.join(_word_counts(src), "word"), "patterns")
+    edges = seeds.withColumn("seed", F.lit(True)).unionByName(_edges(tokens).withColumn("seed", F.lit(False)))
+    edges = edges.groupBy("kind", "side", "word", "value").agg(F.max("seed").alias("seed"), F.sum("n").alias("n"))
+    edges = C.saved(edges.join(patterns, ["kind", "side", "word"]), "edges")
 
     made = [tokens, patterns, edges]
     scores = edges.groupBy("kind", "value").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
     for _ in range(rounds):
-        trust = (edges.drop("seed").join(scores, ["kind", "value"]).groupBy("kind", "left")
+        trust = (edges.drop("seed").join(scores, ["kind", "value"]).groupBy("kind", "side", "word")
                  .agg((F.sum(F.col("n") * F.col("score")) / (F.max("total") + 1)).alias("trust")))
         miss = F.sum(F.log1p(-F.least(F.col("trust"), F.lit(0.999999))))
-        scores = (edges.join(trust, ["kind", "left"]).groupBy("kind", "value").agg(F.max("seed").alias("seed"), (1 - F.exp(miss)).alias("or"))
+        scores = (edges.join(trust, ["kind", "side", "word"]).groupBy("kind", "value").agg(F.max("seed").alias("seed"), (1 - F.exp(miss)).alias("or"))
                   .select("kind", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.col("or")).alias("score")))
         scores = C.saved(scores, "scores")
         made.append(scores)

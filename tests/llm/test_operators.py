@@ -131,6 +131,17 @@ def test_pii_copies_and_recurring_values_keep_a_pattern(spark):
     same(spans.where("not base").select("doc_id", "kind", "s", "e").collect(), [(100, "email", 15, 29)])
 
 
+def test_pii_grouped_digits_and_word_after(spark):
+    rows = [(i, f"please tel: +1 555 123 4{i:03d} and more") for i in range(20)]
+    rows += [(50 + i, f"ask for user{i}@mail.example.com (mailbox) if needed") for i in range(20)]
+    rows += [(100, "please tel: 555 123 4567, or not"), (101, "please tel: 555 123"), (102, "root@localhost (mailbox)"),
+             (103, "see 555 123 4567 there"), (104, "please tel: 1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8 9 1 2 3 4 5")]
+    spans = pii_bootstrap.find_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = spans.where("not base and doc_id >= 100").select("doc_id", "kind", "s", "e").collect()
+    # the value of 103 is the one that 100 has shown to be a phone number
+    same(got, [(100, "phone", 12, 24), (102, "email", 0, 14), (103, "phone", 4, 16)])
+
+
 def test_pii_word_before_anything_is_no_pattern(spark):
     rows = [(i, f"then contact: user{i % 20}@mail.example.com and contact: nobody or contact: us") for i in range(60)]
     rows += [(100, "write contact: root@localhost today")]
