@@ -2,7 +2,8 @@
 
 * ``network_grid``: all networks of a grid, for every expanding fold and for the refit on all rows, are trained together.  One Spark job
   per pass gives the gradients of every network still in training; networks of one shape and fold are one batched matrix product.
-  A pass costs one job however many combinations there are, so a grid ends after at most ``max_iter`` jobs.
+  A pass costs one job however many combinations there are, so a grid ends after at most ``max_iter`` jobs.  Where one partition holds
+  all rows, a pass has nothing to exchange, so a job makes ``STEPS`` passes with the same arithmetic.
 * ``ensemble_grid``: a boosted ensemble scores its own shorter prefixes, and a forest its own prefixes and its own trees cut at lower
   depths, so a fit of the longest (and deepest) setting gives the errors of all shorter ones.  Only settings that change the trees
   themselves are fitted.
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from . import ml as M
 
 ROWS_PER_PARTITION = 1 << 16
+STEPS = 50  # passes of a job over a single partition
 SCORES = "combo int, params string, fold int, rmse double"
 
 
@@ -128,19 +130,57 @@ def _batched_pass(x, y, o, shapes, weights, group):
     return np.concatenate([*parts[::-1], sums], axis=1)
 
 
-def _sum_by_net(out: DataFrame, single: bool) -> DataFrame:
-    """One summed vector per network; over many partitions the sums are taken in groups of partitions first."""
+class _Net:
+    """One network in training: weights, moments of Adam and the best weights so far."""
+
+    FIELDS = ("w", "m", "v", "best_w")
+
+    def __init__(self, start: np.ndarray, alpha: float, rate: float, patience: int):
+        self.w, self.m, self.v, self.best_w = start.copy(), np.zeros_like(start), np.zeros_like(start), start.copy()
+        self.best, self.bad, self.active, self.alpha, self.rate, self.patience = np.inf, 0, True, alpha, rate, patience
+
+    def step(self, g: np.ndarray, t: int, b1: float = 0.9, b2: float = 0.999, eps: float = 1e-8) -> None:
+        """Pass ``t`` (from 1): gradients and error sums of the current weights; stops after ``patience`` passes without a better error."""
+        sse, count, vsse, vcount = g[-4:]
+        if vcount > 0:
+            score = float(np.sqrt(vsse / vcount))  # error of the current weights
+            if score < self.best - 1e-9:
+                self.best, self.best_w, self.bad = score, self.w.copy(), 0
+            else:
+                self.bad += 1
+                if self.bad >= self.patience:
+                    self.active = False
+                    return
+        step = g[:-4] / max(count, 1) + self.alpha * self.w
+        self.m = b1 * self.m + (1 - b1) * step
+        self.v = b2 * self.v + (1 - b2) * step * step
+        self.w = self.w - self.rate * (self.m / (1 - b1 ** t)) / (np.sqrt(self.v / (1 - b2 ** t)) + eps)
+        if vcount == 0:
+            self.best_w = self.w
+
+    def pack(self) -> bytes:
+        return np.concatenate([[self.best, self.bad, self.active], *[getattr(self, f) for f in self.FIELDS]]).tobytes()
+
+    def unpack(self, blob: bytes) -> None:
+        state = np.frombuffer(blob)
+        self.best, self.bad, self.active = float(state[0]), int(state[1]), bool(state[2])
+        for f, part in zip(self.FIELDS, np.split(state[3:], len(self.FIELDS)), strict=True):
+            setattr(self, f, part)
+
+
+def _sum_by_net(out: DataFrame) -> DataFrame:
+    """One summed vector per network; the sums are taken in groups of partitions first."""
     schema = "net int, slot int, g binary"
 
     def add(t: pa.Table) -> pa.Table:
         total = np.sum([np.frombuffer(g) for g in t.column("g").to_pylist()], axis=0)
         return pa.table({"net": t.column("net")[:1], "slot": pa.array([0], pa.int32()), "g": pa.array([total.tobytes()], pa.binary())})
 
-    return out if single else out.groupBy("net", "slot").applyInArrow(add, schema).groupBy("net").applyInArrow(add, schema)
+    return out.groupBy("net", "slot").applyInArrow(add, schema).groupBy("net").applyInArrow(add, schema)
 
 
 def network_grid(base: DataFrame, features, label: str, combos: list[dict], n_folds: int = 5, ordinal: str = "ordinal",
-                 max_iter: int = 800, patience: int = 10, seed: int = 42):
+                 max_iter: int = 800, patience: int = 10, seed: int = 42, steps: int = STEPS):
     """Scores of every combination (hidden, alpha, rate) on every fold, and each combination fitted on all of ``base``:
     (scores as SCORES, models by combination).  Same solver as ``ml.fit_mlp``: full-batch Adam, stopped early on the last tenth
     of a training range, whose scaling it takes from that range."""
@@ -167,9 +207,7 @@ def network_grid(base: DataFrame, features, label: str, combos: list[dict], n_fo
     for g, s in zip(groups, shapes, strict=True):
         rng = np.random.default_rng(seed)
         start[g.key] = np.concatenate([np.concatenate([rng.normal(0, np.sqrt(2.0 / a), a * b), np.zeros(b)]) for a, b in s])
-    w = [start[groups[gi].key].copy() for _, _, gi in nets]
-    m, v = [np.zeros_like(x) for x in w], [np.zeros_like(x) for x in w]
-    best, best_w, bad, active = [np.inf] * len(nets), [x.copy() for x in w], [0] * len(nets), set(range(len(nets)))
+    state = [_Net(start[groups[gi].key], combos[ci]["alpha"], combos[ci]["rate"], patience) for ci, _, gi in nets]
 
     # a small table has few partitions: the groups are dealt over chunks, so that all cores have work
     parts = max(1, -(-n // ROWS_PER_PARTITION))
@@ -185,55 +223,57 @@ def network_grid(base: DataFrame, features, label: str, combos: list[dict], n_fo
     order = np.argsort([-max(s[0][0] * s[0][1] for s in [sh]) * g.until for g, sh in zip(groups, shapes, strict=True)], kind="stable")
     chunk_of = {int(gi): i % chunks for i, gi in enumerate(order)}  # dealt by falling cost
 
-    def one_pass(weights: dict[int, tuple[list[int], np.ndarray]]) -> dict[int, np.ndarray]:
+    def passes(live: dict[int, list[int]], t: int, upto: int) -> None:
+        """The passes from ``t`` on, before ``upto``, of the networks ``live`` (by group)."""
+        held_state = {i: state[i] for ids in live.values() for i in ids}
+
         def run(batches):
             from pyspark import TaskContext
 
             held = [b for b in batches if b.num_rows]
             if not held:
                 return
-            t = pa.Table.from_batches(held)
-            chunk = t.column("chunk").to_numpy()
-            x = t.column("x").combine_chunks().flatten().to_numpy().reshape(len(t), -1)
-            y, o = t.column("y").to_numpy(), t.column("o").to_numpy()
+            table = pa.Table.from_batches(held)
+            chunk = table.column("chunk").to_numpy()
+            xs = table.column("x").combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+            ys, os_ = table.column("y").to_numpy(), table.column("o").to_numpy()
             slot = TaskContext.get().partitionId() % 64
             for c in np.unique(chunk):
-                here = chunk == c
-                for gi, (ids, ws) in weights.items():
-                    if chunk_of[gi] == c:
-                        g = _batched_pass(x[here], y[here], o[here], shapes[gi], ws, groups[gi])
-                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([slot] * len(ids), pa.int32()),
-                                                          pa.array([r.tobytes() for r in g], pa.binary())], schema=out)
-
-        got = _sum_by_net(rows.mapInArrow(run, "net int, slot int, g binary"), parts == 1)
-        return {r.net: np.frombuffer(r.g) for r in got.collect()}
-
-    def batches_of(ids, source):
-        return {gi: (live, np.stack([source[i] for i in live])) for gi, mem in enumerate(members) if (live := [i for i in mem if i in ids])}
-
-    b1, b2, eps = 0.9, 0.999, 1e-8
+                x, y, o = xs[chunk == c], ys[chunk == c], os_[chunk == c]
+                for gi, ids in live.items():
+                    if chunk_of[gi] != c:
+                        continue
+                    if parts == 1:  # all rows are here
+                        for at in range(t, upto):
+                            on = [i for i in ids if held_state[i].active]
+                            if not on:
+                                break
+                            got = _batched_pass(x, y, o, shapes[gi], np.stack([held_state[i].w for i in on]), groups[gi])
+                            for i, g in zip(on, got, strict=True):
+                                held_state[i].step(g, at)
+                        blobs = [held_state[i].pack() for i in ids]
+                    else:
+                        got = _batched_pass(x, y, o, shapes[gi], np.stack([held_state[i].w for i in ids]), groups[gi])
+                        blobs = [g.tobytes() for g in got]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([slot] * len(ids), pa.int32()),
+                                                      pa.array(blobs, pa.binary())], schema=out)
+
+        got = rows.mapInArrow(run, "net int, slot int, g binary")
+        for r in (got if parts == 1 else _sum_by_net(got)).collect():
+            if parts == 1:
+                state[r.net].unpack(r.g)
+            else:
+                state[r.net].step(np.frombuffer(r.g), t)
+
+    stride, t = steps if parts == 1 else 1, 1
     try:
-        for t in range(1, max_iter + 1):
-            if not active:
+        while t <= max_iter:
+            live = {gi: on for gi, mem in enumerate(members) if (on := [i for i in mem if state[i].active])}
+            if not live:
                 break
-            for i, g in one_pass(batches_of(active, w)).items():
-                sse, count, vsse, vcount = g[-4:]
-                if vcount > 0:
-                    score = np.sqrt(vsse / vcount)  # error of the current weights
-                    if score < best[i] - 1e-9:
-                        best[i], best_w[i], bad[i] = score, w[i].copy(), 0
-                    else:
-                        bad[i] += 1
-                        if bad[i] >= patience:
-                            active.discard(i)
-                            continue
-                c = combos[nets[i][0]]
-                step = g[:-4] / max(count, 1) + c["alpha"] * w[i]
-                m[i] = b1 * m[i] + (1 - b1) * step
-                v[i] = b2 * v[i] + (1 - b2) * step * step
-                w[i] = w[i] - c["rate"] * (m[i] / (1 - b1 ** t)) / (np.sqrt(v[i] / (1 - b2 ** t)) + eps)
-                if vcount == 0:
-                    best_w[i] = w[i]
+            upto = min(t + stride, max_iter + 1)
+            passes(live, t, upto)
+            t = upto
     finally:
         rows.unpersist()
 
@@ -241,7 +281,7 @@ def network_grid(base: DataFrame, features, label: str, combos: list[dict], n_fo
     for i, (ci, f, gi) in enumerate(nets):
         g = groups[gi]
         scaling = {c: (float(a), float(b)) for c, a, b in zip(cols, g.mean, g.std, strict=True)}
-        net = {"weights": best_w[i], "shapes": shapes[gi], "features": [f"__z_{c}" for c in features]}
+        net = {"weights": state[i].best_w, "shapes": shapes[gi], "features": [f"__z_{c}" for c in features]}
         model = M.NeuralModel(net, scaling, features, label)
         if f == n_folds:
             models[ci] = model

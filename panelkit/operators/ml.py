@@ -44,14 +44,14 @@ def random_forest(features, label: str, num_trees: int = 100, max_depth: int | N
                   min_leaf: int = 1, seed: int = 42, subset: str = "all") -> Pipeline:
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=PRED, numTrees=num_trees,
                                maxDepth=30 if max_depth is None else max_depth, minInstancesPerNode=min_leaf,
-                               featureSubsetStrategy=subset, seed=seed)
+                               featureSubsetStrategy=subset, seed=seed, cacheNodeIds=True)  # deep trees aren't shipped to find a row's node
     return Pipeline(stages=[assembler(features), rf])
 
 
 def boosted_trees(features, label: str, n_iter: int = 100, max_depth: int = 3, rate: float = 0.1,
                   min_leaf: int = 1, seed: int = 42) -> Pipeline:
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=PRED, maxIter=n_iter,
-                       maxDepth=max_depth, stepSize=rate, minInstancesPerNode=min_leaf, seed=seed)
+                       maxDepth=max_depth, stepSize=rate, minInstancesPerNode=min_leaf, seed=seed, checkpointInterval=50)
     return Pipeline(stages=[assembler(features), gbt])
 
 

@@ -42,6 +42,15 @@ def test_networks_of_a_grid_equal_single_fits(series, monkeypatch, block):
         assert rmse(models[1], series) == pytest.approx(rmse(whole, series), rel=1e-9)
 
 
+def test_passes_of_one_job_equal_a_job_each(series):
+    combos = M.grid({"hidden": [(4,), (3, 2)], "alpha": [0.01], "rate": [0.05, 0.2]})
+    found = []
+    for steps in (1, 7, 100):
+        scores, models = G.network_grid(series, FEATURES, "y", combos, n_folds=2, max_iter=30, patience=2, steps=steps)
+        found.append((sorted(map(tuple, scores.collect())), [models[i].net["weights"].tolist() for i in sorted(models)]))
+    assert found[0] == found[1] == found[2]
+
+
 def test_prefix_of_boosting_equals_a_shorter_fit(spark, series, tmp_path):
     long = M.boosted_trees(FEATURES, "y", n_iter=6, max_depth=3).fit(series)
     trees = G.node_arrays(spark, long, str(tmp_path / "m"))
