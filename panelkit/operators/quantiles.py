@@ -28,12 +28,11 @@ NULL and NaN are missing.  All return a long table ``(*by, column, p, value)``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import no_nan
+from .joins import attach_group_stats
 from .ordinal import with_ordinal
 
 DEFAULT_METHOD = "histogram"
@@ -102,48 +101,67 @@ def _digits(v):
     return (sign * first).cast("int"), (sign * second).cast("int")
 
 
+#: What is known of a wanted order statistic: its rank ``r0`` among the group's values and ``rank`` inside the bucket (b, f), which spans lo..hi.
+_FOUND = "struct<p:double,frac:double,r0:bigint,rank:bigint,b:int,f:int,lo:double,hi:double>"
+
+
 def _histogram_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
+    """Each pass attaches to the values one row per group, which lists its wanted order statistics, and narrows their buckets.  The list is
+    a grouping key of the next pass's buckets (it depends on the group alone), so every pass reads the one before it once and the plan is a
+    chain."""
     keys = [*by, "column"]
-    # without groups the wanted buckets are 2 x columns x probabilities at most
+    # without groups there is one row per column
     small = (lambda d: d) if by else F.broadcast
     coarse, fine = _digits(F.col("value"))
     rows = _stack(df, cols, by).withColumn("__b", coarse)
     span = [F.count(F.lit(1)).alias("__c"), F.min("value").alias("__lo"), F.max("value").alias("__hi")]
+    upto, before = F.col("__upto"), F.col("__upto") - F.col("__c")
+    b, f = F.col("__b"), F.col("__f")
+
+    def is_open(e):
+        return e["lo"] < e["hi"]
+
+    def narrowed(wanted, rank, f, lo, hi):
+        """The entries of ``wanted`` whose ``rank`` lies in this bucket."""
+        here = F.filter(wanted, lambda e: (e[rank] >= before) & (e[rank] < upto))
+        return F.transform(here, lambda e: F.struct(e["p"], e["frac"], e["r0"], e[rank] - before, b, f, lo, hi).cast(_FOUND))
+
+    def gathered(h, hits, *more):
+        return h.withColumn("__hits", hits).groupBy(*keys, *more).agg(
+            F.flatten(F.collect_list(F.when(F.size("__hits") > 0, F.col("__hits")))).alias("__hits"))
+
+    def carried(h, hits):
+        """One row per group: its entries that were narrowed in a bucket of ``h``, and those that were done before."""
+        g = gathered(h, hits, "__want")
+        return g.select(*keys, F.concat(F.filter("__want", lambda e: ~is_open(e)), "__hits").alias("__want"))
 
     h = rows.groupBy(*keys, "__b").agg(*span)
-    h = h.withColumn("__upto", F.sum("__c").over(Window.partitionBy(*keys).orderBy("__b")))
-    h = h.withColumn("__n", F.sum("__c").over(Window.partitionBy(*keys)))
-    pos = F.col("p") * (F.col("__n") - 1)
-    wanted = h.withColumn("p", F.explode(F.array(*[F.lit(p) for p in probs]))).select(
-        "*", (pos - F.floor(pos)).alias("__frac"),
-        F.explode(F.array(F.floor(pos).cast("long"), F.ceil(pos).cast("long"))).alias("__rank"))
-    wanted = wanted.where((F.col("__rank") >= F.col("__upto") - F.col("__c")) & (F.col("__rank") < F.col("__upto")))
-    wanted = wanted.select(*keys, "p", "__frac", F.col("__rank").alias("__r0"), "__b", "__lo", "__hi",
-                           (F.col("__rank") - (F.col("__upto") - F.col("__c"))).alias("__rank"))
-    open_, done = F.col("__lo") < F.col("__hi"), F.col("__lo") == F.col("__hi")
-    found = [wanted.where(done).select(*keys, "p", "__frac", "__r0", F.col("__lo").alias("__v"))]
-
-    # the next digits inside each wanted bucket
-    sel = wanted.where(open_).select(*keys, "__b").distinct()
-    rows = rows.join(small(sel), [*keys, "__b"]).withColumn("__f", fine)
-    h = rows.groupBy(*keys, "__b", "__f").agg(*span)
+    h = h.withColumns({"__upto": F.sum("__c").over(Window.partitionBy(*keys).orderBy("__b")),
+                       "__n": F.sum("__c").over(Window.partitionBy(*keys))})
+    places = [(p, F.lit(p) * (F.col("__n") - 1)) for p in probs]
+    asked = F.array(*[F.struct(F.lit(p).alias("p"), (pos - F.floor(pos)).alias("frac"), side(pos).cast("long").alias("r0"))
+                      for p, pos in places for side in (F.floor, F.ceil)])
+    want = gathered(h, narrowed(asked, "r0", F.lit(None), F.col("__lo"), F.col("__hi"))).withColumnRenamed("__hits", "__want")
+
+    # the next digits inside each wanted bucket; the rows of a bucket that is done stay together, so no group is lost
+    near = attach_group_stats(rows, small(want), keys, "inner").where(F.exists("__want", lambda e: e["b"] == b))
+    near = near.withColumn("__f", F.when(F.exists("__want", lambda e: (e["b"] == b) & is_open(e)), fine))
+    h = near.groupBy(*keys, "__want", "__b", "__f").agg(*span)
     h = h.withColumn("__upto", F.sum("__c").over(Window.partitionBy(*keys, "__b").orderBy("__f")))
-    first = wanted.where(open_).drop("__lo", "__hi")
-    wanted = h.join(small(first), [*keys, "__b"]).where(
-        (F.col("__rank") >= F.col("__upto") - F.col("__c")) & (F.col("__rank") < F.col("__upto")))
-    wanted = wanted.withColumn("__rank", F.col("__rank") - (F.col("__upto") - F.col("__c"))).drop("__upto", "__c")
-    found.append(wanted.where(done).select(*keys, "p", "__frac", "__r0", F.col("__lo").alias("__v")))
+    mine = F.filter("__want", lambda e: (e["b"] == b) & is_open(e))
+    want = carried(h, narrowed(mine, "rank", f, F.col("__lo"), F.col("__hi")))
 
     # the distinct values of what is still open
-    sel = wanted.where(open_).select(*keys, "__b", "__f").distinct()
-    h = rows.join(small(sel), [*keys, "__b", "__f"]).groupBy(*keys, "__b", "__f", F.col("value").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    near = attach_group_stats(rows.withColumn("__f", fine), small(want), keys, "inner")
+    near = near.where(F.exists("__want", lambda e: (e["b"] == b) & (~is_open(e) | (e["f"] == f))))
+    mine = F.filter("__want", lambda e: (e["b"] == b) & (e["f"] == f) & is_open(e))
+    near = near.withColumn("__v", F.when(F.size(mine) > 0, F.col("value"))).withColumn("__f", F.when(F.col("__v").isNotNull(), f))
+    h = near.groupBy(*keys, "__want", "__b", "__f", "__v").agg(F.count(F.lit(1)).alias("__c"))
     h = h.withColumn("__upto", F.sum("__c").over(Window.partitionBy(*keys, "__b", "__f").orderBy("__v")))
-    last = h.join(small(wanted.where(open_).drop("__lo", "__hi")), [*keys, "__b", "__f"]).where(
-        (F.col("__rank") >= F.col("__upto") - F.col("__c")) & (F.col("__rank") < F.col("__upto")))
-    found.append(last.select(*keys, "p", "__frac", "__r0", "__v"))
+    want = carried(h, narrowed(mine, "rank", f, F.col("__v"), F.col("__v")))
 
-    both = reduce(lambda a, b: a.union(b), found).groupBy(*keys, "p").agg(
-        F.first("__frac").alias("__frac"), F.min_by("__v", "__r0").alias("__vlo"), F.max_by("__v", "__r0").alias("__vhi"))
+    both = want.select(*keys, F.explode("__want").alias("e")).groupBy(*keys, F.col("e.p").alias("p")).agg(
+        F.first("e.frac").alias("__frac"), F.min_by("e.lo", "e.r0").alias("__vlo"), F.max_by("e.lo", "e.r0").alias("__vhi"))
     val = F.when(F.col("__frac") == 0, F.col("__vlo")).otherwise(
         F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac"))
     return both.select(*keys, "p", val.alias("value"))
