@@ -51,7 +51,7 @@ def random_forest(features, label: str, num_trees: int = 100, max_depth: int | N
 def boosted_trees(features, label: str, n_iter: int = 100, max_depth: int = 3, rate: float = 0.1,
                   min_leaf: int = 1, seed: int = 42) -> Pipeline:
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=PRED, maxIter=n_iter,
-                       maxDepth=max_depth, stepSize=rate, minInstancesPerNode=min_leaf, seed=seed, checkpointInterval=50)
+                       maxDepth=max_depth, stepSize=rate, minInstancesPerNode=min_leaf, seed=seed, checkpointInterval=10)
     return Pipeline(stages=[assembler(features), gbt])
 
 

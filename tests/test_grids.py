@@ -97,3 +97,57 @@ def test_search_goes_on_where_it_was(spark, series, tmp_path, monkeypatch):
     assert again[1] == best and rmse(again[0], series) == pytest.approx(rmse(model, series))
     rest = G.ensemble_grid(series, "boosted_trees", FEATURES, "y", M.grid(params), None, 2, store=store)
     assert sorted(map(tuple, rest.collect())) == sorted(map(tuple, scores.collect()))
+
+
+BOOSTED = [{"n_iter": 7, "max_depth": 3, "rate": 0.1}, {"n_iter": 4, "max_depth": 6, "rate": 0.3}, {"n_iter": 3, "max_depth": 4, "rate": 0.1, "min_leaf": 5}]
+
+
+def test_ensembles_grown_together_equal_single_fits(series):
+    one = series.coalesce(1).cache()
+    wanted = [(BOOSTED[0], 123), (BOOSTED[1], 123), (BOOSTED[2], 43)]
+    got = G.boosted_grid(one, FEATURES, "y", wanted)
+    again = G.boosted_grid(one, FEATURES, "y", wanted, steps=2)  # over several jobs
+    x = one.orderBy("ordinal").toPandas()[FEATURES].to_numpy()
+    for (trees, weights), (same, _), (c, end) in zip(got, again, wanted, strict=True):
+        model = M.boosted_trees(FEATURES, "y", **c).fit(one.where(F.col("ordinal") < end))
+        assert weights == list(model.stages[-1].treeWeights)
+        assert {k: z.tolist() for k, z in trees.items()} == {k: z.tolist() for k, z in same.items()}
+        found = G.staged_values(trees, x, [None])[0] @ np.array(weights)
+        expected = [r[0] for r in model.transform(one).orderBy("ordinal").select(M.PRED).collect()]
+        assert found.tolist() == pytest.approx(expected, rel=1e-9)
+
+
+def test_ensembles_of_many_partitions_equal_those_of_one(spark, monkeypatch):
+    """Whole numbers, so that sums don't depend on the order; weights 1 and 0.5, so that targets stay exact for some rounds."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 50, size=(300, 2))
+    rows = [(i, float(a), float(b), float(a * b % 17 + 64 * (a > 20))) for i, (a, b) in enumerate(x.tolist())]
+    base = spark.createDataFrame(rows, "ordinal int, a double, b double, y double").repartition(4).cache()
+    settings = [({"n_iter": 2, "max_depth": 2, "rate": 0.5}, 200), ({"n_iter": 3, "max_depth": 2, "rate": 0.25}, 300)]
+    whole = G.boosted_grid(base, FEATURES, "y", settings)
+    monkeypatch.setattr(G, "ROWS_PER_PARTITION", 80)
+    monkeypatch.setattr(G, "KEEP", 2)
+    monkeypatch.setattr(G, "SLOTS", 2)
+    for (a, w), (b, v) in zip(whole, G.boosted_grid(base, FEATURES, "y", settings), strict=True):
+        assert w == v and {k: z.tolist() for k, z in a.items() if k != "value"} == {k: z.tolist() for k, z in b.items() if k != "value"}
+        assert b["value"].tolist() == pytest.approx(a["value"].tolist(), rel=1e-9, abs=1e-9)
+
+
+def test_boosted_grid_trains_no_single_fits(series, monkeypatch):
+    """Every combination and fold is scored without a fit of its own (about 1,000 jobs each)."""
+    monkeypatch.setattr(M, "trainer", None)
+    combos = M.grid({"n_iter": [2, 3], "max_depth": [2], "rate": [0.1, 0.2]})
+    scores = {(r.combo, r.fold): r.rmse for r in G.ensemble_grid(series, "boosted_trees", FEATURES, "y", combos, None, n_folds=2).collect()}
+    assert len(scores) == 8
+    start = G.fold_starts(3, 120, 2)[1]
+    one = M.boosted_trees(FEATURES, "y", **combos[3]).fit(series.coalesce(1).where(F.col("ordinal") < start))
+    assert scores[3, 1] == pytest.approx(rmse(one, series.where(F.col("ordinal") >= start)))
+
+
+def test_candidate_thresholds_and_missing_values(spark):
+    assert G.thresholds(np.array([1.0, 3.0, 1.0, 0.0]), 4, 31).tolist() == [0.5, 2.0]
+    assert G.thresholds(np.array([2.0, 2.0]), 2, 31).tolist() == []
+    assert G.thresholds(np.arange(8.0), 8, 3).tolist() == [1.5, 3.5, 5.5]
+    rows = spark.createDataFrame([(0, 1.0, None), (1, 2.0, 3.0)], "ordinal int, a double, y double")
+    with pytest.raises(ValueError, match="1 rows to fit"):
+        G.boosted_grid(rows, ["a"], "y", [({"n_iter": 1}, 2)])
