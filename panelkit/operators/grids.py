@@ -457,6 +457,13 @@ class _Tree:
                     impurity.append(spread)
         self.open, self.impurity, self.depth = after, impurity, self.depth + 1
 
+    def finished(self) -> "_Tree":
+        """The grown tree in compact arrays: a search holds thousands of trees."""
+        for name in ("feature", "bin", "left", "right"):
+            setattr(self, name, np.array(getattr(self, name), np.int32))
+        self.value, self.open, self.impurity = np.array(self.value), [], []
+        return self
+
 
 def best_splits(hist: np.ndarray, n_splits: np.ndarray, min_leaf: int, impurity) -> np.ndarray:
     """Per node of a histogram: gain (not above 0: stays a leaf), feature and bin of the split that lowers the variance most (the first of
@@ -506,9 +513,12 @@ class _Ensemble:
         first = np.cumsum([0, *[len(t.value) for t in self.trees[:-1]]])
         out = {"first": first, "value": np.concatenate([t.value for t in self.trees])}
         for side in ("left", "right"):
-            out[side] = np.concatenate([np.array(getattr(t, side)) + f for t, f in zip(self.trees, first, strict=True)])
+            out[side] = np.concatenate([getattr(t, side) + np.int32(f) for t, f in zip(self.trees, first, strict=True)])
         out["feature"] = np.concatenate([t.feature for t in self.trees])
-        out["threshold"] = np.array([cuts[f][b] if len(cuts[f]) else 0.0 for t in self.trees for f, b in zip(t.feature, t.bin, strict=True)])
+        table = np.zeros((len(cuts), BINS))
+        for i, c in enumerate(cuts):
+            table[i, :len(c)] = c
+        out["threshold"] = table[out["feature"], np.concatenate([t.bin for t in self.trees])]
         return out
 
 
@@ -584,7 +594,7 @@ def _grow_here(spark, rows, nets, cuts, n_splits, steps: int) -> None:
                             tree.advance(best_splits(tree.histogram(bins, target, at), n_splits[e.fold], e.min_leaf, tree.impurity))
                             at = tree.places(bins)
                         so_far = so_far + np.array(tree.value)[at] * e.weight(len(e.trees))
-                        e.trees.append(tree)
+                        e.trees.append(tree.finished())
                     yield pa.RecordBatch.from_pydict({"net": pa.array([i], pa.int32()), "g": pa.array([pickle.dumps(e.trees[had:])], pa.binary())})
 
             for r in rows.mapInArrow(run, "net int, g binary").collect():
@@ -654,7 +664,7 @@ def _grow_apart(rows, nets, cuts, n_splits, parts: int) -> None:
                 while old:
                     old.pop().unpersist()
             for i, tree in growing.items():
-                nets[i].trees.append(tree)
+                nets[i].trees.append(tree.finished())
             if max(len(e.trees) - e.kept for e in nets) >= KEEP:
                 old.append(held)
                 held = kept(held, copy.deepcopy(nets))
@@ -700,7 +710,7 @@ def ensemble_grid(base: DataFrame, family: str, features, label: str, combos: li
             return [(r.combo, fold, r.rmse) for r in known]
         o = F.col(ordinal)
         if task in grown:
-            trees, weights = grown[task]
+            trees, weights = grown.pop(task)
         else:
             model = M.trainer(family, features, label)(data.where(o < starts[fold]), **longest(own))
             trees, weights = node_arrays(spark, model, scratch(f"{family}-nodes")), None
