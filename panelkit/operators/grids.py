@@ -9,6 +9,7 @@
   themselves are fitted.
 * ``boosted_grid``: the boosted ensembles left after that are grown together for all settings and folds, with one job per level of their
   trees however many there are, instead of one of Spark's fits each (up to about 1,000 jobs for 150 rounds).  The trees are the same.
+  Where one partition holds all rows, the ensembles are also scored where they grow, so the driver gets their errors instead of their trees.
 
 Folds are ranges of a dense ordinal, as in ``ml.grid_search``: no row is copied for a fold.
 """
@@ -365,6 +366,18 @@ def staged_values(trees: dict, x: np.ndarray, depths: list[int | None]) -> list[
     return [out.get(d, whole) for d in depths]
 
 
+def _staged_sse(trees: dict, x, y, cells, depths, weights) -> np.ndarray:
+    """Sums of squared errors by cell (length, depth)."""
+    sse = np.zeros(len(cells))
+    for i in range(0, len(x), 4096):
+        staged = dict(zip(map(str, depths), staged_values(trees, x[i:i + 4096], depths), strict=True))
+        for k, (n, d) in enumerate(cells):
+            values = staged[str(d)][:, :n]
+            e = (values.mean(axis=1) if weights is None else values @ np.array(weights[:n])) - y[i:i + 4096]
+            sse[k] += e @ e
+    return sse
+
+
 def staged_errors(test: DataFrame, trees: dict, features, label: str, lengths: list[int], depths: list[int | None], weights=None) -> dict:
     """RMSE by (length, depth): of the first ``length`` trees, cut at ``depth``; the mean of the trees, or their sum under ``weights``."""
     rows = test.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), F.col(label).cast("double").alias("y"))
@@ -375,13 +388,7 @@ def staged_errors(test: DataFrame, trees: dict, features, label: str, lengths: l
             if not b.num_rows:
                 continue
             x, y = b.column("x").flatten().to_numpy().reshape(b.num_rows, -1), b.column("y").to_numpy()
-            sse = np.zeros(len(cells))
-            for i in range(0, len(x), 4096):
-                staged = dict(zip(map(str, depths), staged_values(trees, x[i:i + 4096], depths), strict=True))
-                for k, (n, d) in enumerate(cells):
-                    values = staged[str(d)][:, :n]
-                    e = (values.mean(axis=1) if weights is None else values @ np.array(weights[:n])) - y[i:i + 4096]
-                    sse[k] += e @ e
+            sse = _staged_sse(trees, x, y, cells, depths, weights)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(cells)), pa.int32()), pa.array(sse), pa.array([len(x)] * len(cells))],
                                              names=["cell", "sse", "n"])
 
@@ -494,7 +501,10 @@ class _Ensemble:
 
     def __init__(self, fold: int, until: int, n_iter: int = 100, max_depth: int = 3, rate: float = 0.1, min_leaf: int = 1):
         self.fold, self.until, self.n_iter, self.max_depth, self.rate, self.min_leaf = fold, until, n_iter, max_depth, rate, min_leaf
-        self.trees, self.kept = [], 0
+        self.trees, self.kept, self.test, self.errors = [], 0, None, None
+
+    def weights(self) -> list[float]:
+        return [self.weight(i) for i in range(len(self.trees))]
 
     def weight(self, i: int) -> float:
         return self.rate if i else 1.0  # the first tree counts fully, as in Spark's learner
@@ -532,17 +542,18 @@ def _matrix(column, n: int) -> np.ndarray:
 
 
 def boosted_grid(base: DataFrame, features, label: str, settings: list[tuple[dict, int]], ordinal: str = "ordinal", seed: int = 42,
-                 steps: int = STEPS) -> list[tuple[dict, list[float]]]:
+                 steps: int | None = STEPS, tests: list[tuple[int, int, list[int]]] | None = None) -> list:
     """Boosted ensembles of many settings and training ranges, grown together: per (setting, end of the training range) the trees in the form
     of ``node_arrays`` and their weights.  Trees, thresholds and weights are those of Spark's learner.  One job per level gives the histograms of
     all open nodes of all ensembles, added up over the partitions, and their best splits.  Where one partition holds all rows, there is
-    nothing to add up, and a job grows ``steps`` trees of every ensemble."""
+    nothing to add up, and a job grows ``steps`` trees of every ensemble (None: all).
+    ``tests``: per setting (first ordinal, end, lengths) of its test range; then its result is that of ``staged_errors`` on it instead."""
     spark, features = base.sparkSession, list(features)
     ends = sorted({end for _, end in settings})
     rows = base.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), F.col(label).cast("double").alias("y"),
                        F.col(ordinal).cast("long").alias("o"))
     unknown = F.exists("x", lambda v: v.isNull() | F.isnan(v)) | F.col("y").isNull() | F.isnan("y")
-    seen = rows.agg(F.count_if(unknown).alias("bad"), F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("o") < e).alias(f"n{i}") for i, e in enumerate(ends)]).first()
+    seen = rows.agg(F.count_if(unknown & (F.col("o") < ends[-1])).alias("bad"), F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("o") < e).alias(f"n{i}") for i, e in enumerate(ends)]).first()
     if seen.bad:
         raise ValueError(f"{seen.bad} rows to fit have a missing feature or label")
     cuts = []
@@ -557,23 +568,30 @@ def boosted_grid(base: DataFrame, features, label: str, settings: list[tuple[dic
         cuts.append([thresholds(x[:, k], len(x), min(BINS, n) - 1) for k in range(len(features))])
     n_splits = [np.array([len(c) for c in cs]) for cs in cuts]
     nets = [_Ensemble(ends.index(end), end, **setting) for setting, end in settings]
+    for e, test in zip(nets, tests or [], strict=bool(tests)):
+        e.test = test
 
     parts = max(1, -(-seen.n // ROWS_PER_PARTITION))
     if parts == 1:
         _grow_here(spark, compact(rows, seen.n), nets, cuts, n_splits, steps)
     else:
-        _grow_apart(compact(rows, seen.n), nets, cuts, n_splits, parts)
-    return [(e.arrays(cuts[e.fold]), [e.weight(i) for i in range(len(e.trees))]) for e in nets]
+        _grow_apart(compact(rows.where(F.col("o") < ends[-1]), seen.n), nets, cuts, n_splits, parts)
+    if tests:
+        o = F.col(ordinal)
+        return [e.errors if parts == 1 else staged_errors(base.where((o >= e.test[0]) & (o < e.test[1])), e.arrays(cuts[e.fold]), features, label,
+                                                          e.test[2], [None], e.weights()) for e in nets]
+    return [(e.arrays(cuts[e.fold]), e.weights()) for e in nets]
 
 
-def _grow_here(spark, rows, nets, cuts, n_splits, steps: int) -> None:
-    """All rows in one partition: the ensembles are dealt over chunks by falling cost, each with a copy of the rows."""
+def _grow_here(spark, rows, nets, cuts, n_splits, steps: int | None) -> None:
+    """All rows in one partition: the ensembles are dealt over chunks by falling cost, each with a copy of the rows.  An ensemble with a
+    test range is scored when its last tree is grown, and its trees stay there."""
     chunks = max(1, min(len(nets), spark.sparkContext.defaultParallelism))
     order = np.argsort([-e.until * e.max_depth * e.n_iter for e in nets], kind="stable")
     chunk_of = {int(i): k % chunks for k, i in enumerate(order)}
     rows = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).repartitionByRange(chunks, "chunk").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        while live := {i: e for i, e in enumerate(nets) if len(e.trees) < e.n_iter}:
+        while live := {i: e for i, e in enumerate(nets) if e.errors is None and len(e.trees) < e.n_iter}:
             def run(batches, live=live):
                 held = [b for b in batches if b.num_rows]
                 if not held:
@@ -587,7 +605,7 @@ def _grow_here(spark, rows, nets, cuts, n_splits, steps: int) -> None:
                         continue
                     bins, y, had = _binned(xs[use], cuts[e.fold]), ys[use], len(e.trees)
                     so_far = e.predicted(bins, np.zeros(len(y)))
-                    for _ in range(min(steps, e.n_iter - had)):
+                    for _ in range(min(steps or e.n_iter, e.n_iter - had)):
                         tree, target = _Tree(e.max_depth, e.min_leaf), e.target(y, so_far)
                         at = np.zeros(len(y), int)
                         while tree.open:
@@ -595,10 +613,22 @@ def _grow_here(spark, rows, nets, cuts, n_splits, steps: int) -> None:
                             at = tree.places(bins)
                         so_far = so_far + np.array(tree.value)[at] * e.weight(len(e.trees))
                         e.trees.append(tree.finished())
-                    yield pa.RecordBatch.from_pydict({"net": pa.array([i], pa.int32()), "g": pa.array([pickle.dumps(e.trees[had:])], pa.binary())})
+                    found = e.trees[had:]
+                    if e.test and len(e.trees) == e.n_iter:
+                        low, high, lengths = e.test
+                        held_out = (chunk == chunk_of[i]) & (os_ >= low) & (os_ < high)
+                        cells = [(n, None) for n in lengths]
+                        sse = _staged_sse(e.arrays(cuts[e.fold]), xs[held_out], ys[held_out], cells, [None], e.weights())
+                        found = {c: float(np.sqrt(v / held_out.sum())) for c, v in zip(cells, sse, strict=True)} if held_out.any() else {}
+                        e.trees = []
+                    yield pa.RecordBatch.from_pydict({"net": pa.array([i], pa.int32()), "g": pa.array([pickle.dumps(found)], pa.binary())})
 
             for r in rows.mapInArrow(run, "net int, g binary").collect():
-                nets[r.net].trees += pickle.loads(r.g)
+                found = pickle.loads(r.g)
+                if isinstance(found, dict):
+                    nets[r.net].errors, nets[r.net].trees = found, []
+                else:
+                    nets[r.net].trees += found
     finally:
         rows.unpersist()
 
@@ -710,11 +740,11 @@ def ensemble_grid(base: DataFrame, family: str, features, label: str, combos: li
             return [(r.combo, fold, r.rmse) for r in known]
         o = F.col(ordinal)
         if task in grown:
-            trees, weights = grown.pop(task)
+            errors = grown.pop(task)
         else:
             model = M.trainer(family, features, label)(data.where(o < starts[fold]), **longest(own))
-            trees, weights = node_arrays(spark, model, scratch(f"{family}-nodes")), None
-        errors = staged_errors(data.where((o >= starts[fold]) & (o < starts[fold + 1])), trees, features, label, lengths, depths, weights)
+            trees = node_arrays(spark, model, scratch(f"{family}-nodes"))
+            errors = staged_errors(data.where((o >= starts[fold]) & (o < starts[fold + 1])), trees, features, label, lengths, depths)
         found = [(ci, fold, errors[c[length], c["max_depth"] if "max_depth" in axes else None]) for ci, c in zip(cis, own, strict=True)]
         if store:
             store.put(at, spark.createDataFrame([(ci, e) for ci, _, e in found], "combo int, rmse double"))
@@ -726,7 +756,8 @@ def ensemble_grid(base: DataFrame, family: str, features, label: str, combos: li
             left = [t for t in tasks if not (store and store.has(kept_as(*t)))]
             if left:
                 settings = [(longest([combos[ci] for ci in cis]), starts[f]) for cis, f in left]
-                grown = dict(zip(left, boosted_grid(data.where(F.col(ordinal) < starts[n_folds - 1]), features, label, settings, ordinal), strict=True))
+                tests = [(starts[f], starts[f + 1], sorted({combos[ci][length] for ci in cis})) for cis, f in left]
+                grown = dict(zip(left, boosted_grid(data, features, label, settings, ordinal, steps=None, tests=tests), strict=True))
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             rows = [r for part in pool.map(run, tasks) for r in part]
     finally:

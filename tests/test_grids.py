@@ -144,6 +144,22 @@ def test_boosted_grid_trains_no_single_fits(series, monkeypatch):
     assert scores[3, 1] == pytest.approx(rmse(one, series.where(F.col("ordinal") >= start)))
 
 
+@pytest.mark.parametrize("block", [1 << 16, 40])
+def test_boosted_grid_scores_where_it_grows(series, monkeypatch, block):
+    """The errors of the grown trees' prefixes without a job per ensemble; the same over several jobs and many partitions."""
+    one, lengths = series.coalesce(1).cache(), [1, 3]
+    wanted = [({"n_iter": 3, "max_depth": 2, "rate": 0.5}, 63), ({"n_iter": 3, "max_depth": 3, "rate": 0.2}, 93)]
+    expected = [G.staged_errors(one.where((F.col("ordinal") >= end) & (F.col("ordinal") < end + 30)), trees, FEATURES, "y", lengths, [None], weights)
+                for (trees, weights), (_, end) in zip(G.boosted_grid(one, FEATURES, "y", wanted), wanted, strict=True)]
+    monkeypatch.setattr(G, "ROWS_PER_PARTITION", block)
+    if block > 100:
+        monkeypatch.setattr(G, "staged_errors", None)
+    for steps in (None, 2) if block > 100 else (None,):
+        got = G.boosted_grid(series, FEATURES, "y", wanted, steps=steps, tests=[(end, end + 30, lengths) for _, end in wanted])
+        for a, b in zip(got, expected, strict=True):
+            assert a == pytest.approx(b, rel=1e-6)
+
+
 def test_candidate_thresholds_and_missing_values(spark):
     assert G.thresholds(np.array([1.0, 3.0, 1.0, 0.0]), 4, 31).tolist() == [0.5, 2.0]
     assert G.thresholds(np.array([2.0, 2.0]), 2, 31).tolist() == []
