@@ -338,9 +338,16 @@ def node_arrays(spark, model, path: str) -> dict:
     """The trees of a fitted pipeline's ensemble as arrays (all trees joined; children are places in them), read from the node table
     that Spark ML saves."""
     model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/stages/1_*/data").select("treeID", "nodeData.*").orderBy("treeID", "id").select(
-        "treeID", "id", "prediction", "leftChild", "rightChild", "split.featureIndex",
-        F.get("split.leftCategoriesOrThreshold", 0).alias("threshold")).toPandas()
+    return _tree_arrays(_node_table(spark, path).orderBy("treeID", "id").toPandas())
+
+
+def _node_table(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/stages/1_*/data").select("treeID", "nodeData.*").select(
+        "treeID", "id", "prediction", "leftChild", "rightChild", "split.featureIndex", F.get("split.leftCategoriesOrThreshold", 0).alias("threshold"))
+
+
+def _tree_arrays(nodes) -> dict:
+    """The arrays of trees numbered from 0, from their nodes in order."""
     tree = nodes["treeID"].to_numpy()
     first = np.searchsorted(tree, np.arange(tree.max() + 1))
     place = {k: i for i, k in enumerate(zip(tree.tolist(), nodes["id"].tolist(), strict=True))}
@@ -396,6 +403,47 @@ def staged_errors(test: DataFrame, trees: dict, features, label: str, lengths: l
     return {cells[r.cell]: float(np.sqrt(r.sse / r.n)) for r in got}
 
 
+def forest_errors(test: DataFrame, nodes: DataFrame, features, label: str, lengths: list[int], depths: list[int | None]) -> dict:
+    """``staged_errors`` of a forest whose trees stay in their node table: every tree meets every block of rows in a task of its own,
+    and the values of a block are put together by tree.  The driver gets the errors only."""
+    rows = test.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), F.col(label).cast("double").alias("y"))
+    cells, width = [(n, d) for n in lengths for d in depths], len(features)
+
+    def block(batches):
+        from pyspark import TaskContext
+
+        held = 0
+        for b in batches:
+            x, y = _matrix(b.column("x"), b.num_rows), b.column("y").to_numpy(zero_copy_only=False)
+            for i in range(0, len(y), 4096):
+                yield pa.RecordBatch.from_pydict({"block": [f"{TaskContext.get().partitionId()}-{held}"], "x": [x[i:i + 4096].tobytes()], "y": [y[i:i + 4096].tobytes()]})
+                held += 1
+
+    def packed(t: pa.Table) -> pa.Table:
+        tree = _tree_arrays(t.to_pandas().sort_values("id").assign(treeID=0))
+        return pa.table({"tree": t.column("treeID")[:1].cast(pa.int32()), "arrays": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    def values(batches):
+        for b in batches:
+            for one in (b.slice(i, 1) for i in range(b.num_rows)):
+                r = one.to_pylist()[0]
+                staged = staged_values(pickle.loads(r["arrays"]), np.frombuffer(r["x"]).reshape(-1, width), depths)
+                yield pa.RecordBatch.from_arrays([one.column("block"), one.column("tree"), one.column("y"), pa.array([np.stack(staged).tobytes()], pa.binary())],
+                                                 names=["block", "tree", "y", "v"])
+
+    def errors(t: pa.Table) -> pa.Table:
+        t = t.sort_by("tree")
+        y = np.frombuffer(t.column("y")[0].as_py())
+        v = np.stack([np.frombuffer(z).reshape(len(depths), -1) for z in t.column("v").to_pylist()], axis=2)  # depth, row, tree
+        sse = [float(e @ e) for n in lengths for d in range(len(depths)) for e in (v[d, :, :n].mean(axis=1) - y,)]
+        return pa.table({"cell": pa.array(range(len(cells)), pa.int32()), "sse": pa.array(sse), "n": pa.array([len(y)] * len(cells))})
+
+    trees = nodes.groupBy("treeID").applyInArrow(packed, "tree int, arrays binary")
+    met = rows.mapInArrow(block, "block string, x binary, y binary").crossJoin(trees)
+    got = met.mapInArrow(values, "block string, tree int, y binary, v binary").groupBy("block").applyInArrow(errors, "cell int, sse double, n long")
+    return {cells[r.cell]: float(np.sqrt(r.sse / r.n)) for r in got.groupBy("cell").agg(F.sum("sse").alias("sse"), F.sum("n").alias("n")).collect()}
+
+
 # ------------------------------------------------------------------ boosting
 BINS = 32  # of a feature, as Spark's learner has them by default
 SPLIT_ROWS = 10_000  # rows from which Spark's learner takes its candidate thresholds where there are more
@@ -710,9 +758,10 @@ STAGED = {"random_forest": ("num_trees", "max_depth"), "boosted_trees": ("n_iter
 
 
 def ensemble_grid(base: DataFrame, family: str, features, label: str, combos: list[dict], scratch, n_folds: int = 5,
-                  ordinal: str = "ordinal", parallelism: int = 8, store: "Store | None" = None) -> DataFrame:
+                  ordinal: str = "ordinal", parallelism: int = 3, store: "Store | None" = None) -> DataFrame:
     """Scores (SCORES) of every combination on every fold.  ``scratch(name)``: a new folder for a node table.  With a ``store`` the
-    scores of each fit are kept as soon as it ends, so a search that was stopped goes on where it was."""
+    scores of each fit are kept as soon as it ends, so a search that was stopped goes on where it was.  ``parallelism``: fits at a time;
+    Spark's learner holds a forest's uncut trees on the driver."""
     spark, axes = base.sparkSession, STAGED[family]
     length = axes[0]
     low, n = base.agg(F.min(ordinal), F.count(F.lit(1))).first()
@@ -743,8 +792,10 @@ def ensemble_grid(base: DataFrame, family: str, features, label: str, combos: li
             errors = grown.pop(task)
         else:
             model = M.trainer(family, features, label)(data.where(o < starts[fold]), **longest(own))
-            trees = node_arrays(spark, model, scratch(f"{family}-nodes"))
-            errors = staged_errors(data.where((o >= starts[fold]) & (o < starts[fold + 1])), trees, features, label, lengths, depths)
+            path = scratch(f"{family}-nodes")
+            model.write().overwrite().save(path)
+            del model  # uncut trees fill the driver
+            errors = forest_errors(data.where((o >= starts[fold]) & (o < starts[fold + 1])), _node_table(spark, path), features, label, lengths, depths)
         found = [(ci, fold, errors[c[length], c["max_depth"] if "max_depth" in axes else None]) for ci, c in zip(cis, own, strict=True)]
         if store:
             store.put(at, spark.createDataFrame([(ci, e) for ci, _, e in found], "combo int, rmse double"))

@@ -69,6 +69,16 @@ def test_cut_forest_equals_a_lower_one(spark, series, tmp_path):
     assert one.shape == (1, 1)
 
 
+def test_forest_is_scored_without_collecting_its_trees(spark, series, tmp_path, monkeypatch):
+    deep = M.random_forest(FEATURES, "y", num_trees=5, max_depth=None).fit(series)
+    expected = G.staged_errors(series, G.node_arrays(spark, deep, str(tmp_path / "m")), FEATURES, "y", [1, 5], [2, None])
+    got = G.forest_errors(series, G._node_table(spark, str(tmp_path / "m")), FEATURES, "y", [1, 5], [2, None])
+    assert got == pytest.approx(expected, rel=1e-12)
+    monkeypatch.setattr(G, "node_arrays", None)
+    scores = G.ensemble_grid(series, "random_forest", FEATURES, "y", [{"num_trees": 2, "max_depth": None, "min_leaf": 1}], lambda name: str(tmp_path / name), n_folds=1)
+    assert scores.count() == 1
+
+
 def test_ensemble_grid_scores_every_combination(series, tmp_path):
     combos = M.grid({"num_trees": [2, 4], "max_depth": [1, None], "min_leaf": [1, 3]})
     count = iter(range(100))
